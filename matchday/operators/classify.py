@@ -89,12 +89,29 @@ def prepare_features(
     return assembler, fit_label_index(df, label)
 
 
+def training_layout(df: DataFrame) -> DataFrame:
+    """Give a training input enough partitions for every core, in a fixed order.
+
+    Tree training makes one pass over its input per tree level, each pass one
+    task per partition, so an input that arrives in fewer partitions than the
+    cluster has cores (a single large file, a small table) trains on a few
+    cores.  Such an input is hash-partitioned over all columns and sorted
+    within partitions, which also fixes the row order that bootstrap sampling
+    sees, so a seeded forest comes out the same on every run.  An input that
+    already has enough partitions is left alone (no extra shuffle at scale).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *df.columns).sortWithinPartitions(*df.columns)
+
+
 def _fit_and_score(df: DataFrame, features: Sequence[str], label: str, estimator, split: dict | None) -> DataFrame:
     split = dict(split or {})
     cols = [*features, label]
     if split.get("method", "key") == "key":
         cols.append(split.get("key", "time"))
-    data = df.select(*dict.fromkeys(cols))
+    data = training_layout(df.select(*dict.fromkeys(cols)))
     assembler, indexer = prepare_features(data, features, label)
     train, test = split_rows(data, **split)
     model = Pipeline(stages=[assembler, indexer, estimator]).fit(train)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import cyclic_within, half_up_ratio
-from matchday.operators.classify import LABEL_INDEX, naive_bayes_job, random_forest_job
+from matchday.operators.classify import LABEL_INDEX, naive_bayes_job, random_forest_job, training_layout
 from matchday.session import checkpoint_dir
 
 # English day names, Monday first, for calendar-order distances.
@@ -197,7 +197,7 @@ def experiment_report(
     columns = sorted({c for r in runs for c in (*r.features, r.label)} | {(split or {}).get("key", "time")})
     checkpoint_dir(df.sparkSession)
     rows = []
-    with _persisted(df.select(*columns)) as data:
+    with _persisted(training_layout(df.select(*columns))) as data:
         for position, run in enumerate(runs):
             preds = predictions_for(data, run, split)
             report = model_report(preds, run.classifier, run.features, run.label, order=order)

@@ -491,3 +491,86 @@ FROM (SELECT month, count(*) AS n FROM fb_calendar GROUP BY month) counts
 
 def all_oracles() -> dict[str, str]:
     return {**FOOTBALL, **ENERGY}
+
+
+# --- multinomial naive Bayes, stated in SQL ----------------------------------
+# Label index: frequency descending, ties by label text, fitted on all rows.
+# Test rows: (time div 60) % 5 = 0.  Classes are the labels present in the
+# training part, in index order; the prediction is the position of the best
+# class (first on ties), the probability a softmax of the class scores.
+# Score of class c: log prior + sum_j x_j * log theta_cj, smoothing 1.
+
+_cte(
+    "nb_index",
+    ["fb_weekday"],
+    """
+SELECT weekday, row_number() OVER (ORDER BY n DESC, weekday ASC) - 1 AS label_index
+FROM (SELECT weekday, count(*) AS n FROM fb_weekday GROUP BY weekday) counts
+""",
+)
+
+_cte(
+    "nb_rows",
+    ["fb_weekday", "nb_index"],
+    """
+SELECT row_number() OVER () AS rid, w.temperature, w.humidity, w.wind_speed, i.label_index,
+       (w.time // 60) % 5 = 0 AS is_test
+FROM fb_weekday w JOIN nb_index i ON w.weekday = i.weekday
+""",
+)
+
+_cte(
+    "nb_model",
+    ["nb_rows"],
+    """
+SELECT label_index AS class_index,
+       row_number() OVER (ORDER BY label_index) - 1 AS pos,
+       ln(n + 1.0) - ln(sum(n) OVER () + count(*) OVER ()) AS pi,
+       ln(s0 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t0,
+       ln(s1 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t1,
+       ln(s2 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t2
+FROM (SELECT label_index, count(*) AS n, sum(temperature) AS s0, sum(humidity) AS s1, sum(wind_speed) AS s2
+      FROM nb_rows WHERE NOT is_test GROUP BY label_index) per_class
+""",
+)
+
+_cte(
+    "nb_pred",
+    ["nb_rows", "nb_model"],
+    """
+SELECT rid, any_value(label_index) AS label_index,
+       min(pos) FILTER (WHERE raw = max_raw) AS prediction,
+       sum(CASE WHEN pos = label_index THEN exp(raw - max_raw) END) / sum(exp(raw - max_raw)) AS true_prob
+FROM (SELECT r.rid, r.label_index, m.pos, raw, max(raw) OVER (PARTITION BY r.rid) AS max_raw
+      FROM nb_rows r, nb_model m,
+           LATERAL (SELECT m.pi + (m.t0 * r.temperature + m.t1 * r.humidity + m.t2 * r.wind_speed) AS raw) s
+      WHERE r.is_test) scored
+GROUP BY rid
+""",
+)
+
+
+def _nb_report(label_expr: str, pred_expr: str, cycle: int) -> str:
+    d = f"abs(({label_expr}) - ({pred_expr}))"
+    pct = "((2 * count(*) FILTER (WHERE {cond}) * 10000 + count(*)) // (2 * count(*))) / 100"
+    return f"""
+SELECT 'NaiveBayes' AS classifier, 'temperature humidity wind_speed' AS input, 'weekday' AS label,
+       {pct.format(cond=f"{d} = 0")} AS correct,
+       {pct.format(cond=f"{d} <= 1 OR {d} = {cycle - 1}")} AS within_one,
+       {pct.format(cond=f"{d} <= 2 OR {d} >= {cycle - 2}")} AS within_two,
+       round(avg(coalesce(true_prob, 0.0)), 4) AS avg_prob
+FROM nb_pred
+"""
+
+
+_WEEKDAY_NUMBER = (
+    "list_position(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'], "
+    "(SELECT weekday FROM nb_index WHERE nb_index.label_index = {col})) - 1"
+)
+
+ENERGY["nb_report"] = with_views(_nb_report("label_index", "prediction", 24), "nb_pred", "nb_index")
+ENERGY["nb_calendar_report"] = with_views(
+    _nb_report(_WEEKDAY_NUMBER.format(col="nb_pred.label_index"), _WEEKDAY_NUMBER.format(col="nb_pred.prediction"), 7),
+    "nb_pred",
+    "nb_index",
+)

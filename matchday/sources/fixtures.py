@@ -52,38 +52,76 @@ def _match_parts(m: Column) -> tuple[Column, Column, Column]:
     return ci, hi, ai
 
 
+N_COMPETITIONS = N_MATCHES // MATCHES_PER_COMPETITION
+TEAMS_PER_COMPETITION = 10
+
+
 def _team_name(ci: Column, number: Column) -> Column:
-    return F.concat(F.lit("T"), ci.cast("string"), F.lit("_"), number.cast("string"))
+    """``T<competition>_<team number>``, looked up in a constant array of the
+    50 names (built by rule) rather than concatenated per row: the names are
+    compared in pushed-down filters, where a lookup costs nothing and string
+    building costs an allocation per use."""
+    names = [f"T{c}_{t}" for c in range(N_COMPETITIONS) for t in range(TEAMS_PER_COMPETITION)]
+    return F.element_at(F.array(*map(F.lit, names)), (ci * TEAMS_PER_COMPETITION + number + 1).cast("int"))
+
+
+def _competition_name(ci: Column) -> Column:
+    names = [f"L{c}" for c in range(N_COMPETITIONS)]
+    return F.element_at(F.array(*map(F.lit, names)), (ci + 1).cast("int"))
 
 
 def events_view(spark: SparkSession, base: str) -> DataFrame:
-    """Match events (schema ``matchday.schemas.EVENTS``) from ``lineitem``."""
+    """Match events (schema ``matchday.schemas.EVENTS``) from ``lineitem``.
+
+    Built in layers (numbers, then team names, then event columns) so each
+    derived name is computed once per row.
+    """
     li = read_table(spark, base, "lineitem")
     ok, p, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     m = (ok % N_MATCHES).cast("int")
-    ci, hi, ai = _match_parts(m)
-    home, away = _team_name(ci, hi), _team_name(ci, ai)
-    r = (p + ln) % 50
-    tag = (
-        F.when((r < 2) & ((ok + sk) % 2 == 0), F.lit("Goal"))
-        .when((r < 40) & (F.col("l_quantity") > 10), F.lit("Accurate"))
-        .when(r < 40, F.lit("Not accurate"))
-    )
-    return li.select(
+    numbered = li.select(
         m.alias("match_id"),
-        F.concat(F.lit("L"), ci.cast("string")).alias("competition"),
-        F.lit(SEASON).alias("season"),
-        home.alias("home_team"),
-        away.alias("away_team"),
-        F.when(sk % 3 == 0, home).otherwise(away).alias("event_team"),
-        F.when(r < 2, F.lit("Save attempt")).when(r < 40, F.lit("Pass")).otherwise(F.lit("Duel")).alias("event"),
-        F.when(tag.isNotNull(), F.array(tag)).alias("tags"),
+        *(c.alias(n) for c, n in zip(_match_parts(m), ("ci", "hi", "ai"))),
+        ((p + ln) % 50).alias("r"),
+        ((ok + sk) % 2 == 0).alias("even"),
+        (sk % 3 == 0).alias("home_side"),
+        (F.col("l_quantity") > 10).alias("accurate"),
         F.when(ln == 7, F.lit("E1"))
         .when(F.col("l_linestatus") == "O", F.lit("1H"))
         .otherwise(F.lit("2H"))
         .alias("event_period"),
         ((ok * 31 + ln * 397 + p * 7) % 2880).cast("double").alias("event_time"),
     )
+    ci, r = F.col("ci"), F.col("r")
+    named = numbered.select(
+        "match_id",
+        _competition_name(ci).alias("competition"),
+        _team_name(ci, F.col("hi")).alias("home_team"),
+        _team_name(ci, F.col("ai")).alias("away_team"),
+        "r",
+        "even",
+        "home_side",
+        "accurate",
+        "event_period",
+        "event_time",
+    )
+    tag = (
+        F.when((r < 2) & F.col("even"), F.lit("Goal"))
+        .when((r < 40) & F.col("accurate"), F.lit("Accurate"))
+        .when(r < 40, F.lit("Not accurate"))
+    )
+    return named.select(
+        "match_id",
+        "competition",
+        F.lit(SEASON).alias("season"),
+        "home_team",
+        "away_team",
+        F.when(F.col("home_side"), F.col("home_team")).otherwise(F.col("away_team")).alias("event_team"),
+        F.when(r < 2, F.lit("Save attempt")).when(r < 40, F.lit("Pass")).otherwise(F.lit("Duel")).alias("event"),
+        F.when(r < 40, F.array(tag)).alias("tags"),
+        "event_period",
+        "event_time",
+    )
 
 
 def _match_numbers(spark: SparkSession, base: str) -> DataFrame:
@@ -115,7 +153,7 @@ def matches_view(spark: SparkSession, base: str) -> DataFrame:
     ci, hi, ai = _match_parts(m)
     return _match_numbers(spark, base).select(
         m.alias("match_id"),
-        F.concat(F.lit("L"), ci.cast("string")).alias("competition"),
+        _competition_name(ci).alias("competition"),
         F.lit(SEASON).alias("season"),
         _sheet(m, ci * 10 + hi, _team_name(ci, hi), F.lit(False)).alias("home_team_data"),
         _sheet(m, ci * 10 + ai, _team_name(ci, ai), m % 97 == 5).alias("away_team_data"),
