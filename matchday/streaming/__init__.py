@@ -1,0 +1,10 @@
+"""Incremental (Structured Streaming) runs of the batch operators.
+
+The original analyses are batch only.  This package does not add operators;
+it runs the aggregating ones (match results, pass counts) over a stream of
+event files so tables stay current while a season is being played.
+"""
+
+from matchday.streaming.live import latest_rows, start_live_table
+
+__all__ = ["latest_rows", "start_live_table"]

@@ -1,0 +1,70 @@
+"""Keep an aggregate table current from a stream of event files.
+
+``start_live_table`` applies a DataFrame -> DataFrame operator (for example
+``operators.match_results``) to a streaming source.  Aggregations emit, per
+micro-batch, only the groups that changed (``update`` mode); every batch is
+appended to a Parquet folder tagged with its batch id.  ``latest_rows`` reads
+the folder back and keeps the newest row of every group.
+
+Failure handling: the query's checkpoint (offsets and aggregation state) lives
+under the session's ``spark.checkpoint.dir`` unless a location is given, so a
+restarted query resumes where it stopped.  A micro-batch that is retried after
+a failure appends rows with the *same* batch id; those rows are identical, so
+reading the newest row per group gives the same table as a single attempt.
+"""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
+
+from matchday.operators.topn import first_n_per_group
+from matchday.session import checkpoint_dir
+
+BATCH_COL = "batch_id"
+
+
+def read_event_stream(spark: SparkSession, path: str, schema: StructType, max_files: int | None = None) -> DataFrame:
+    """Parquet files arriving in ``path`` as a stream (schema required)."""
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.parquet(path)
+
+
+def start_live_table(
+    stream: DataFrame,
+    operator: Callable[[DataFrame], DataFrame],
+    output_path: str,
+    name: str,
+    checkpoint_location: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Run ``operator`` on ``stream`` and append each batch's changed groups
+    to ``output_path``.  Returns the running query."""
+    result = operator(stream)
+    location = checkpoint_location or os.path.join(checkpoint_dir(stream.sparkSession), "live", name)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("append").parquet(output_path)
+
+    writer = (
+        result.writeStream.outputMode("update")
+        .foreachBatch(write_batch)
+        .option("checkpointLocation", location)
+        .queryName(name)
+    )
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
+
+
+def latest_rows(spark: SparkSession, output_path: str, keys: Sequence[str]) -> DataFrame:
+    """The current table: the newest row per group key (batch id column dropped)."""
+    appended = spark.read.parquet(output_path)
+    newest = first_n_per_group(appended, list(keys), [F.desc(BATCH_COL)], n=1)
+    return newest.drop(BATCH_COL)

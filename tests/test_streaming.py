@@ -1,0 +1,34 @@
+"""The streaming run of an aggregating operator ends at the batch result."""
+
+import os
+import tempfile
+
+from conftest import SF_SMALL
+from helpers import canon
+from matchday import operators as op
+from matchday import schemas
+from matchday.operators.results import MATCH_KEYS
+from matchday.sources.fixtures import events_view
+from matchday.streaming import latest_rows, start_live_table
+from matchday.streaming.live import read_event_stream
+
+
+def test_live_match_results_equal_batch(spark):
+    root = tempfile.mkdtemp(prefix="matchday-stream-")
+    source = os.path.join(root, "events")
+    events = events_view(spark, SF_SMALL)
+    # two arrivals of event files
+    first, second = events.randomSplit([0.5, 0.5], seed=3)
+    first.write.parquet(source)
+    stream = read_event_stream(spark, source, schemas.EVENTS)
+    out = os.path.join(root, "results")
+    ckpt = os.path.join(root, "ckpt")
+    q = start_live_table(stream, op.match_results, out, "live_results_a", ckpt, available_now=True)
+    q.awaitTermination(300)
+    second.write.mode("append").parquet(source)
+    q = start_live_table(read_event_stream(spark, source, schemas.EVENTS), op.match_results, out, "live_results_b", ckpt, available_now=True)
+    q.awaitTermination(300)
+    live = latest_rows(spark, out, MATCH_KEYS)
+    batch = op.match_results(spark.read.parquet(source))
+    cols = sorted(batch.columns)
+    assert canon(tuple(r) for r in live.select(cols).collect()) == canon(tuple(r) for r in batch.select(cols).collect())
