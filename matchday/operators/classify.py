@@ -8,6 +8,9 @@ nodes) reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
@@ -98,7 +101,8 @@ def training_layout(df: DataFrame) -> DataFrame:
     cores.  Such an input is hash-partitioned over all columns and sorted
     within partitions, which also fixes the row order that bootstrap sampling
     sees, so a seeded forest comes out the same on every run.  An input that
-    already has enough partitions is left alone (no extra shuffle at scale).
+    already has enough partitions is returned unchanged (no extra shuffle at
+    scale).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
@@ -106,16 +110,32 @@ def training_layout(df: DataFrame) -> DataFrame:
     return df.repartition(cores, *df.columns).sortWithinPartitions(*df.columns)
 
 
-def _fit_and_score(df: DataFrame, features: Sequence[str], label: str, estimator, split: dict | None) -> DataFrame:
+@contextmanager
+def persisted(df: DataFrame):
+    """Keep ``df`` cached (memory, spilling to disk) for the block.  Lost
+    blocks are recomputed from lineage, so losing an executor is harmless."""
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+def _fit_and_score(
+    df: DataFrame, features: Sequence[str], label: str, estimator, split: dict | None, multi_pass: bool
+) -> DataFrame:
     split = dict(split or {})
     cols = [*features, label]
     if split.get("method", "key") == "key":
         cols.append(split.get("key", "time"))
-    data = training_layout(df.select(*dict.fromkeys(cols)))
-    assembler, indexer = prepare_features(data, features, label)
-    train, test = split_rows(data, **split)
-    model = Pipeline(stages=[assembler, indexer, estimator]).fit(train)
-    return model.transform(test)
+    data = df.select(*dict.fromkeys(cols))
+    # indexing and training read the input several times: compute the
+    # projected input once and keep it for the fit
+    with persisted(training_layout(data) if multi_pass else data) as cached:
+        assembler, indexer = prepare_features(cached, features, label)
+        model = Pipeline(stages=[assembler, indexer, estimator]).fit(split_rows(cached, **split)[0])
+    # scoring is one pass; rows are scored where they are
+    return model.transform(split_rows(data, **split)[1])
 
 
 def random_forest_job(
@@ -136,7 +156,7 @@ def random_forest_job(
     probability, prediction.
     """
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL_INDEX, numTrees=num_trees, seed=seed)
-    return _fit_and_score(df, features, label, rf, split)
+    return _fit_and_score(df, features, label, rf, split, multi_pass=True)
 
 
 def naive_bayes_job(
@@ -152,4 +172,4 @@ def naive_bayes_job(
     Output: as ``random_forest_job``.
     """
     nb = NaiveBayes(featuresCol=FEATURES, labelCol=LABEL_INDEX, modelType="multinomial", smoothing=smoothing)
-    return _fit_and_score(df, features, label, nb, split)
+    return _fit_and_score(df, features, label, nb, split, multi_pass=False)

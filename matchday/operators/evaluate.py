@@ -7,17 +7,15 @@ predictions (one job), not one action per metric.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import cyclic_within, half_up_ratio
-from matchday.operators.classify import LABEL_INDEX, naive_bayes_job, random_forest_job, training_layout
+from matchday.operators.classify import LABEL_INDEX, naive_bayes_job, persisted, random_forest_job, training_layout
 from matchday.session import checkpoint_dir
 
 # English day names, Monday first, for calendar-order distances.
@@ -171,15 +169,6 @@ def predictions_for(df: DataFrame, run: Run, split: dict | None = None, seed: in
     raise ValueError(f"unknown classifier {run.classifier!r}")
 
 
-@contextmanager
-def _persisted(df: DataFrame):
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
 def experiment_report(
     df: DataFrame,
     runs: Sequence[Run] = tuple(FOREST_RUNS),
@@ -197,7 +186,7 @@ def experiment_report(
     columns = sorted({c for r in runs for c in (*r.features, r.label)} | {(split or {}).get("key", "time")})
     checkpoint_dir(df.sparkSession)
     rows = []
-    with _persisted(training_layout(df.select(*columns))) as data:
+    with persisted(training_layout(df.select(*columns))) as data:
         for position, run in enumerate(runs):
             preds = predictions_for(data, run, split)
             report = model_report(preds, run.classifier, run.features, run.label, order=order)

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from matchday.functions.columns import all_nonnegative, local_wall_clock
 
+# English day names in ``dayofweek`` order (1 = Sunday).
+DAY_NAMES_FROM_SUNDAY = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+
 
 def clean_measurements(df: DataFrame) -> DataFrame:
     """Drop every row with a null or NaN in any column."""
@@ -28,10 +31,12 @@ def calendar_labels(
     on every cluster.
     """
     local = local_wall_clock(time_col, zone)
+    # day names by position: a lookup instead of formatting a date per row
+    day_names = F.array(*[F.lit(d) for d in DAY_NAMES_FROM_SUNDAY])
     exprs = {
         "month": F.month(local),
         "hour": F.hour(local),
-        "weekday": F.date_format(local, "EEEE"),
+        "weekday": F.element_at(day_names, F.dayofweek(local)),
     }
     unknown = set(fields) - set(exprs)
     if unknown:

@@ -52,14 +52,13 @@ def nb_predictions(spark: SparkSession, base: str) -> DataFrame:
 
 
 def nb_report(spark: SparkSession, base: str) -> DataFrame:
-    preds = nb_predictions(spark, base)
-    return op.model_report(preds, "naive_bayes", WEATHER, "weekday")
+    """Naive Bayes on weekday; distances between label indices (cycle 24)."""
+    return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS[:1])
 
 
 def nb_calendar_report(spark: SparkSession, base: str) -> DataFrame:
     """Naive Bayes on weekday with distances in calendar order over 7 days."""
-    preds = nb_predictions(spark, base)
-    return op.model_report(preds, "naive_bayes", WEATHER, "weekday", order="calendar")
+    return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS[:1], order="calendar")
 
 
 def rf_experiments(spark: SparkSession, base: str) -> DataFrame:
