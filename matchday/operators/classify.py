@@ -98,8 +98,10 @@ def training_layout(df: DataFrame) -> DataFrame:
     Tree training makes one pass over its input per tree level, each pass one
     task per partition, so an input that arrives in fewer partitions than the
     cluster has cores (a single large file, a small table) trains on a few
-    cores.  Such an input is hash-partitioned over all columns and sorted
-    within partitions, which also fixes the row order that bootstrap sampling
+    cores.  Such an input is dealt round-robin into one partition per core
+    (even sizes, whatever the values: a row repeated a million times does not
+    pile up in one partition as it would under hash partitioning) and sorted
+    within partitions, which fixes the row order that bootstrap sampling
     sees, so a seeded forest comes out the same on every run.  An input that
     already has enough partitions is returned unchanged (no extra shuffle at
     scale).
@@ -107,7 +109,7 @@ def training_layout(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return df.repartition(cores, *df.columns).sortWithinPartitions(*df.columns)
+    return df.repartition(cores).sortWithinPartitions(*df.columns)
 
 
 @contextmanager

@@ -52,8 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when nothing is configured (local tests) a fresh scratch folder
-    is created and registered.
+    is.  Only in local mode with nothing configured (tests) a fresh scratch
+    folder is created and registered; a cluster session without the setting
+    is an error, because a machine-local folder would not survive the loss of
+    the machine that wrote it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +65,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (HDFS, object store) for this cluster session"
+            )
         base = os.environ.get("MATCHDAY_SCRATCH", tempfile.gettempdir())
         configured = tempfile.mkdtemp(prefix="matchday-ckpt-", dir=base)
     sc.setCheckpointDir(configured)
