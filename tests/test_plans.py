@@ -34,6 +34,11 @@ def test_pass_filter_pushed_to_parquet(spark, tmp_path):
     ev.write.parquet(path)
     p = plan(op.match_pass_counts(spark.read.parquet(path)))
     assert "EqualTo(event,Pass)" in p
+    # also through the name-conforming reader
+    from matchday.sources import read_events
+
+    p = plan(op.match_pass_counts(read_events(spark, path)))
+    assert "EqualTo(event,Pass)" in p
 
 
 @pytest.mark.parametrize(
