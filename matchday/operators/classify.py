@@ -106,8 +106,12 @@ def training_layout(df: DataFrame) -> DataFrame:
     already has enough partitions is returned unchanged (no extra shuffle at
     scale).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        partitions = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no SparkContext; leave the layout to the server
+        return df
+    if partitions >= cores:
         return df
     return df.repartition(cores).sortWithinPartitions(*df.columns)
 

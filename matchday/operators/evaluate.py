@@ -7,6 +7,7 @@ predictions (one job), not one action per metric.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -174,21 +175,33 @@ def experiment_report(
     runs: Sequence[Run] = tuple(FOREST_RUNS),
     order: str = "frequency",
     split: dict | None = None,
+    parallelism: int = 1,
 ) -> DataFrame:
     """One report row per run, in run order.
 
     The runs are a short driver-side list; each run's indexing, training and
-    scoring are distributed jobs.  The prepared input is persisted for the
-    runs (recomputed from its lineage if an executor is lost) and each
-    one-row report is checkpointed to the session's checkpoint directory, so
-    the returned table no longer depends on the cached input or the models.
+    scoring are distributed jobs.  With ``parallelism > 1`` up to that many
+    runs are fitted at the same time from a thread pool, as
+    ``CrossValidator(parallelism=...)`` does: Spark's scheduler is
+    thread-safe, and concurrent fits fill the gaps each fit leaves while the
+    driver chooses splits.  The prepared input is persisted for the runs
+    (recomputed from its lineage if an executor is lost) and each one-row
+    report is checkpointed to the session's checkpoint directory, so the
+    returned table no longer depends on the cached input or the models.
     """
     columns = sorted({c for r in runs for c in (*r.features, r.label)} | {(split or {}).get("key", "time")})
     checkpoint_dir(df.sparkSession)
-    rows = []
+
     with persisted(training_layout(df.select(*columns))) as data:
-        for position, run in enumerate(runs):
+
+        def one(position: int, run: Run) -> DataFrame:
             preds = predictions_for(data, run, split)
             report = model_report(preds, run.classifier, run.features, run.label, order=order)
-            rows.append(report.withColumn("_run", F.lit(position)).checkpoint(eager=True))
+            return report.withColumn("_run", F.lit(position)).checkpoint(eager=True)
+
+        if parallelism > 1 and len(runs) > 1:
+            with ThreadPoolExecutor(max_workers=min(parallelism, len(runs))) as pool:
+                rows = list(pool.map(lambda item: one(*item), enumerate(runs)))
+        else:
+            rows = [one(position, run) for position, run in enumerate(runs)]
     return reduce(DataFrame.unionByName, rows).orderBy("_run").drop("_run")

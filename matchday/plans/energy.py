@@ -61,12 +61,17 @@ def nb_calendar_report(spark: SparkSession, base: str) -> DataFrame:
     return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS[:1], order="calendar")
 
 
+# Runs fitted at the same time by the report queries (each run caches its own
+# training points, so memory use grows with this number).
+REPORT_PARALLELISM = 3
+
+
 def rf_experiments(spark: SparkSession, base: str) -> DataFrame:
-    return op.experiment_report(month_hour_data(spark, base), FOREST_RUNS)
+    return op.experiment_report(month_hour_data(spark, base), FOREST_RUNS, parallelism=REPORT_PARALLELISM)
 
 
 def model_comparison(spark: SparkSession, base: str) -> DataFrame:
-    return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS)
+    return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS, parallelism=REPORT_PARALLELISM)
 
 
 def nb_prediction_rows(spark: SparkSession, base: str) -> DataFrame:

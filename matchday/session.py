@@ -57,7 +57,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     is an error, because a machine-local folder would not survive the loss of
     the machine that wrote it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
