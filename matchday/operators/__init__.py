@@ -26,11 +26,18 @@ from matchday.operators.presence import (
     matches_with_length,
     minutes_per_player,
     player_presence,
+    presence_rows,
     substitution_rows,
 )
 from matchday.operators.results import match_results, team_match_rows
 from matchday.operators.standings import competition_totals, league_table, season_standings
-from matchday.operators.topn import best_teams, first_n_per_group, lowest_pass_ratio
+from matchday.operators.summary import (
+    best_teams_from_events,
+    match_goal_summary,
+    match_summary,
+    plus_minus_from_events,
+)
+from matchday.operators.topn import best_teams, first_n_per_group, lowest_pass_ratio, top_teams_report
 
 __all__ = [
     "FOREST_RUNS",
@@ -43,6 +50,10 @@ __all__ = [
     "evaluate_predictions",
     "experiment_report",
     "first_n_per_group",
+    "best_teams_from_events",
+    "match_goal_summary",
+    "match_summary",
+    "plus_minus_from_events",
     "fit_label_index",
     "goal_minutes",
     "label_index_map",
@@ -60,6 +71,7 @@ __all__ = [
     "nonnegative_rows",
     "pass_ratio_by_team",
     "player_presence",
+    "presence_rows",
     "plus_minus",
     "prepare_features",
     "random_forest_job",
@@ -68,5 +80,6 @@ __all__ = [
     "substitution_rows",
     "team_match_rows",
     "top_plus_minus",
+    "top_teams_report",
     "with_split",
 ]

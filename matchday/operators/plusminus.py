@@ -58,7 +58,9 @@ def plus_minus(goals: DataFrame, presence: DataFrame) -> DataFrame:
 
     Output: player_id, plus_minus bigint.
     """
-    counts = goals.groupBy("match_id", "goal_minute", "scoring_team").agg(F.count(F.lit(1)).alias("goals"))
+    # goal rows, or goal counts that are already aggregated (column ``goals``)
+    weight = F.col("goals") if "goals" in goals.columns else F.lit(1)
+    counts = goals.groupBy("match_id", "goal_minute", "scoring_team").agg(F.sum(weight).alias("goals"))
     on_pitch = presence.select("match_id", "player_id", "player_team", "start_minute", "end_minute")
     hits = counts.join(on_pitch, "match_id").filter(
         F.col("goal_minute").between(F.col("start_minute"), F.col("end_minute"))

@@ -9,6 +9,8 @@ match length and its join to the sheets.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,16 +34,25 @@ def match_length(events: DataFrame) -> DataFrame:
     )
 
 
-def matches_with_length(matches: DataFrame, events: DataFrame) -> DataFrame:
+def matches_with_length(
+    matches: DataFrame, events: DataFrame | None = None, lengths: DataFrame | None = None
+) -> DataFrame:
     """Match sheets joined (inner) to their length; a match without a
-    second-half event is dropped."""
+    second-half event is dropped.  ``lengths`` (match_id, match_length) may be
+    given instead of the events when it is already known."""
     require_columns(matches, MATCHES, "matches")
-    return matches.join(match_length(events), "match_id")
+    if lengths is None:
+        if events is None:
+            raise ValueError("give events or lengths")
+        lengths = match_length(events)
+    return matches.join(lengths, "match_id")
 
 
-def _side_rows(matches: DataFrame, events: DataFrame, *extra: Column) -> DataFrame:
+def _side_rows(
+    matches: DataFrame, events: DataFrame | None, *extra: Column, lengths: DataFrame | None = None
+) -> DataFrame:
     """One row per (match, side): the side's sheet as ``side``."""
-    return matches_with_length(matches, events).select(
+    return matches_with_length(matches, events, lengths).select(
         "match_id",
         "competition",
         "season",
@@ -108,25 +119,20 @@ def _interval(player: Column, start: Column, end: Column) -> Column:
     )
 
 
-def player_presence(matches: DataFrame, events: DataFrame) -> DataFrame:
-    """Time-on-pitch interval per player and match, closed at both ends.
-
-    * Starter: from 0 to the minute of the substitution that took them off,
-      else to the match length.  A starter listed as replaced in several
-      substitutions gets one interval per substitution.
-    * Substitute: from the minute they came on to the match length (even if
-      later replaced).
-
-    The lookup "which substitution of this match took player p off" runs on
-    the array of the match's (at most six) substitutions inside the row,
-    equivalent to a left join on (match, player = player_out) without one.
+def presence_rows(
+    matches: DataFrame, lengths: DataFrame, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Time-on-pitch intervals from match sheets joined to ``lengths``
+    (match_id, match_length and the columns named in ``carry``, which are
+    passed through to every interval row).
 
     Output: match_id, player_id, competition, season, player_team,
-    start_minute int, end_minute bigint, minutes bigint.
+    start_minute int, end_minute bigint, *carry.
     """
     home, away = F.col("home_team_data"), F.col("away_team_data")
     all_subs = _present(F.array(*[home[s] for s in _SUBS], *[away[s] for s in _SUBS]))
-    sides = _side_rows(matches, events, all_subs.alias("match_subs"))
+    carried = [F.col(c) for c in carry]
+    sides = _side_rows(matches, None, all_subs.alias("match_subs"), *carried, lengths=lengths)
 
     length = F.col("match_length")
     match_subs = F.col("match_subs")
@@ -148,6 +154,7 @@ def player_presence(matches: DataFrame, events: DataFrame) -> DataFrame:
         "competition",
         "season",
         F.col("side.team").alias("player_team"),
+        *carried,
         F.inline(F.concat(starters, entrants)),
     )
     return rows.select(
@@ -158,10 +165,37 @@ def player_presence(matches: DataFrame, events: DataFrame) -> DataFrame:
         "player_team",
         "start_minute",
         "end_minute",
-        (F.col("end_minute") - F.col("start_minute")).alias("minutes"),
+        *carried,
     )
 
 
+def player_presence(
+    matches: DataFrame, events: DataFrame | None = None, lengths: DataFrame | None = None
+) -> DataFrame:
+    """Time-on-pitch interval per player and match, closed at both ends.
+
+    * Starter: from 0 to the minute of the substitution that took them off,
+      else to the match length.  A starter listed as replaced in several
+      substitutions gets one interval per substitution.
+    * Substitute: from the minute they came on to the match length (even if
+      later replaced).
+
+    The lookup "which substitution of this match took player p off" runs on
+    the array of the match's (at most six) substitutions inside the row,
+    equivalent to a left join on (match, player = player_out) without one.
+    Match lengths come from ``events`` or, if known, from ``lengths``.
+
+    Output: match_id, player_id, competition, season, player_team,
+    start_minute int, end_minute bigint, minutes bigint.
+    """
+    if lengths is None:
+        if events is None:
+            raise ValueError("give events or lengths")
+        lengths = match_length(events)
+    rows = presence_rows(matches, lengths.select("match_id", "match_length"))
+    return rows.withColumn("minutes", F.col("end_minute") - F.col("start_minute"))
+
+
 def minutes_per_player(presence: DataFrame) -> DataFrame:
     """Total minutes per player over all matches (partial aggregation first).
 

@@ -47,23 +47,11 @@ def lowest_pass_ratio(ratios: DataFrame, n: int = 1) -> DataFrame:
     )
 
 
-def best_teams(standings: DataFrame, ratios: DataFrame, n: int = 2, limit: int = 10) -> DataFrame:
-    """Top ``n`` teams of every competition with position, points per game
-    and pass ratio; at most ``limit`` rows by points per game descending.
-
-    The pass ratio is joined on (competition, team): a team playing in two
-    competitions keeps one row and one ratio per competition.  Points per game
-    is ``round(pts / pld, 2)`` computed exactly.
-
-    Output: team, competition, pos int, pld, w, d, l, gf, ga, gd string, pts,
-    avg double, pass_ratio double.
-    """
-    joined = competition_totals(standings).join(
-        ratios.select("competition", "team", F.col("pass_success_ratio").alias("pass_ratio")),
-        ["competition", "team"],
-        "left",
-    )
-    top = first_n_per_group(joined, ["competition"], table_order(), n, rank_col="pos")
+def top_teams_report(totals: DataFrame, n: int = 2, limit: int = 10) -> DataFrame:
+    """Top ``n`` per competition of per-(competition, team) totals (pld, w,
+    d, l, gf, ga, gd numeric, pts, pass_ratio), formatted as the best-teams
+    report and cut to ``limit`` rows by points per game."""
+    top = first_n_per_group(totals, ["competition"], table_order(), n, rank_col="pos")
     report = top.select(
         "team",
         "competition",
@@ -82,3 +70,23 @@ def best_teams(standings: DataFrame, ratios: DataFrame, n: int = 2, limit: int =
     # the limit is the feature (a top-k report); the sort key is total so the
     # cut is reproducible
     return report.orderBy(F.desc("avg"), F.desc("pts"), F.asc("competition"), F.asc("pos")).limit(limit)
+
+
+def best_teams(standings: DataFrame, ratios: DataFrame, n: int = 2, limit: int = 10) -> DataFrame:
+    """Top ``n`` teams of every competition with position, points per game
+    and pass ratio; at most ``limit`` rows by points per game descending.
+
+    The pass ratio is joined on (competition, team): a team playing in two
+    competitions keeps one row and one ratio per competition.  Points per game
+    is ``round(pts / pld, 2)`` computed exactly.  (``best_teams_from_events``
+    computes the same report in one pass over the events.)
+
+    Output: team, competition, pos int, pld, w, d, l, gf, ga, gd string, pts,
+    avg double, pass_ratio double.
+    """
+    joined = competition_totals(standings).join(
+        ratios.select("competition", "team", F.col("pass_success_ratio").alias("pass_ratio")),
+        ["competition", "team"],
+        "left",
+    )
+    return top_teams_report(joined, n, limit)

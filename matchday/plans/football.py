@@ -42,6 +42,12 @@ def lowest_pass_ratio(spark: SparkSession, base: str) -> DataFrame:
 
 
 def best_teams(spark: SparkSession, base: str) -> DataFrame:
+    """Results and pass counts from one pass over the events."""
+    return op.best_teams_from_events(events_view(spark, base), n=2, limit=10)
+
+
+def best_teams_composed(spark: SparkSession, base: str) -> DataFrame:
+    """The same report composed from the separate operators (two event scans)."""
     return op.best_teams(season_standings(spark, base), pass_ratio_by_team(spark, base), n=2, limit=10)
 
 
@@ -74,6 +80,12 @@ def goal_minutes(spark: SparkSession, base: str) -> DataFrame:
 
 
 def plus_minus(spark: SparkSession, base: str) -> DataFrame:
+    """Match lengths and goals from one pass over the events."""
+    return op.plus_minus_from_events(matches_view(spark, base), events_view(spark, base))
+
+
+def plus_minus_composed(spark: SparkSession, base: str) -> DataFrame:
+    """The same scores from goal rows and presence intervals (interval join)."""
     return op.plus_minus(goal_minutes(spark, base), player_presence(spark, base))
 
 
