@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from matchday import operators as op
 from matchday.operators.evaluate import ALL_SEVEN, FOREST_RUNS, WEATHER, WEEKDAY_RUNS
@@ -48,6 +47,7 @@ def rf_predictions(spark: SparkSession, base: str) -> DataFrame:
 
 
 def nb_predictions(spark: SparkSession, base: str) -> DataFrame:
+    """Test rows of the weekday naive Bayes model with their predictions."""
     return op.naive_bayes_job(weekday_data(spark, base), WEATHER, "weekday")
 
 
@@ -72,12 +72,3 @@ def rf_experiments(spark: SparkSession, base: str) -> DataFrame:
 
 def model_comparison(spark: SparkSession, base: str) -> DataFrame:
     return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS, parallelism=REPORT_PARALLELISM)
-
-
-def nb_prediction_rows(spark: SparkSession, base: str) -> DataFrame:
-    """Per test row: label index, prediction and true-class probability."""
-    preds = nb_predictions(spark, base)
-    from pyspark.ml.functions import vector_to_array
-
-    prob = F.coalesce(F.get(vector_to_array("probability"), F.col("label_index").cast("int")), F.lit(0.0))
-    return preds.select("time", "weekday", "label_index", "prediction", F.round(prob, 6).alias("true_prob"))

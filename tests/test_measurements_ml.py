@@ -149,3 +149,21 @@ def test_experiment_reports(spark):
     assert [(r["label"], r["input"].count(" ") + 1) for r in rf] == [
         ("month", 7), ("month", 3), ("month", 3), ("hour", 7), ("hour", 3), ("hour", 3)
     ]
+
+
+def test_random_split_method(spark):
+    df = spark.range(0, 2000).select((F.col("id") * 60).alias("time"))
+    train, test = op.split_rows(df, method="random", weights=(0.8, 0.2), seed=1)
+    n_train, n_test = train.count(), test.count()
+    assert n_train + n_test == 2000 and 250 < n_test < 550
+    assert train.join(test, "time").count() == 0
+
+
+def test_read_measurements_reader(spark, tmp_path):
+    from matchday.sources import read_measurements
+
+    df = _measure(spark, [(1, (1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0))])
+    df.select(*reversed(df.columns)).write.parquet(str(tmp_path / "m"))
+    back = read_measurements(spark, str(tmp_path / "m"))
+    assert back.columns == schemas.MEASUREMENTS.fieldNames()
+    assert tuple(back.first()) == (1, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0)
