@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from matchday import operators as op
 from matchday.operators.evaluate import ALL_SEVEN, FOREST_RUNS, WEATHER, WEEKDAY_RUNS
@@ -47,8 +49,13 @@ def rf_predictions(spark: SparkSession, base: str) -> DataFrame:
 
 
 def nb_predictions(spark: SparkSession, base: str) -> DataFrame:
-    """Test rows of the weekday naive Bayes model with their predictions."""
-    return op.naive_bayes_job(weekday_data(spark, base), WEATHER, "weekday")
+    """Test rows of the weekday naive Bayes model: features, label, label
+    index, predicted index and the probability given to the true class."""
+    preds = op.naive_bayes_job(weekday_data(spark, base), WEATHER, "weekday")
+    true_prob = F.coalesce(F.get(vector_to_array("probability"), F.col("label_index").cast("int")), F.lit(0.0))
+    return preds.select(
+        "time", *WEATHER, "weekday", "label_index", "prediction", F.round(true_prob, 6).alias("true_prob")
+    )
 
 
 def nb_report(spark: SparkSession, base: str) -> DataFrame:

@@ -513,7 +513,7 @@ _cte(
     "nb_rows",
     ["fb_weekday", "nb_index"],
     """
-SELECT row_number() OVER () AS rid, w.temperature, w.humidity, w.wind_speed, i.label_index,
+SELECT row_number() OVER () AS rid, w.time, w.weekday, w.temperature, w.humidity, w.wind_speed, i.label_index,
        (w.time // 60) % 5 = 0 AS is_test
 FROM fb_weekday w JOIN nb_index i ON w.weekday = i.weekday
 """,
@@ -539,9 +539,12 @@ _cte(
     ["nb_rows", "nb_model"],
     """
 SELECT rid, any_value(label_index) AS label_index,
+       any_value(time) AS time, any_value(weekday) AS weekday,
+       any_value(temperature) AS temperature, any_value(humidity) AS humidity, any_value(wind_speed) AS wind_speed,
        min(pos) FILTER (WHERE raw = max_raw) AS prediction,
        sum(CASE WHEN pos = label_index THEN exp(raw - max_raw) END) / sum(exp(raw - max_raw)) AS true_prob
-FROM (SELECT r.rid, r.label_index, m.pos, raw, max(raw) OVER (PARTITION BY r.rid) AS max_raw
+FROM (SELECT r.rid, r.label_index, r.time, r.weekday, r.temperature, r.humidity, r.wind_speed,
+             m.pos, raw, max(raw) OVER (PARTITION BY r.rid) AS max_raw
       FROM nb_rows r, nb_model m,
            LATERAL (SELECT m.pi + (m.t0 * r.temperature + m.t1 * r.humidity + m.t2 * r.wind_speed) AS raw) s
       WHERE r.is_test) scored
@@ -568,6 +571,16 @@ _WEEKDAY_NUMBER = (
     "(SELECT weekday FROM nb_index WHERE nb_index.label_index = {col})) - 1"
 )
 
+ENERGY["nb_predictions"] = with_views(
+    """
+SELECT time, temperature, humidity, wind_speed, weekday,
+       CAST(label_index AS DOUBLE) AS label_index,
+       CAST(prediction AS DOUBLE) AS prediction,
+       round(coalesce(true_prob, 0.0), 6) AS true_prob
+FROM nb_pred
+""",
+    "nb_pred",
+)
 ENERGY["nb_report"] = with_views(_nb_report("label_index", "prediction", 24), "nb_pred", "nb_index")
 ENERGY["nb_calendar_report"] = with_views(
     _nb_report(_WEEKDAY_NUMBER.format(col="nb_pred.label_index"), _WEEKDAY_NUMBER.format(col="nb_pred.prediction"), 7),
