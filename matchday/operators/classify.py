@@ -128,18 +128,34 @@ def persisted(df: DataFrame):
 
 
 def _fit_and_score(
-    df: DataFrame, features: Sequence[str], label: str, estimator, split: dict | None, multi_pass: bool
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    estimator,
+    split: dict | None,
+    multi_pass: bool,
+    indexer: StringIndexerModel | None = None,
+    cache: bool = True,
 ) -> DataFrame:
     split = dict(split or {})
     cols = [*features, label]
     if split.get("method", "key") == "key":
         cols.append(split.get("key", "time"))
     data = df.select(*dict.fromkeys(cols))
-    # indexing and training read the input several times: compute the
-    # projected input once and keep it for the fit
-    with persisted(training_layout(data) if multi_pass else data) as cached:
-        assembler, indexer = prepare_features(cached, features, label)
-        model = Pipeline(stages=[assembler, indexer, estimator]).fit(split_rows(cached, **split)[0])
+
+    def fit(source: DataFrame):
+        label_indexer = indexer or fit_label_index(source, label)
+        assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+        return Pipeline(stages=[assembler, label_indexer, estimator]).fit(split_rows(source, **split)[0])
+
+    if cache:
+        # indexing and training read the input several times: compute the
+        # projected input once and keep it for the fit
+        with persisted(training_layout(data) if multi_pass else data) as cached:
+            model = fit(cached)
+    else:
+        # the caller already holds the input cached and laid out
+        model = fit(data)
     # scoring is one pass; rows are scored where they are
     return model.transform(split_rows(data, **split)[1])
 
@@ -151,18 +167,22 @@ def random_forest_job(
     num_trees: int = 8,
     seed: int = 1,
     split: dict | None = None,
+    indexer: StringIndexerModel | None = None,
+    cache: bool = True,
 ) -> DataFrame:
     """Train a random forest (8 trees, Spark defaults otherwise) on the train
     part and score the test part.
 
     The seed is explicit: left unset, PySpark derives it from a per-process
-    string hash and the forest changes between driver processes.
+    string hash and the forest changes between driver processes.  A label
+    indexer fitted on all rows may be passed in (it is the same for every
+    run on one label); ``cache=False`` when the caller holds ``df`` cached.
 
     Output: the test rows with features, label_index, rawPrediction,
     probability, prediction.
     """
     rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL_INDEX, numTrees=num_trees, seed=seed)
-    return _fit_and_score(df, features, label, rf, split, multi_pass=True)
+    return _fit_and_score(df, features, label, rf, split, multi_pass=True, indexer=indexer, cache=cache)
 
 
 def naive_bayes_job(
@@ -171,6 +191,8 @@ def naive_bayes_job(
     label: str,
     smoothing: float = 1.0,
     split: dict | None = None,
+    indexer: StringIndexerModel | None = None,
+    cache: bool = True,
 ) -> DataFrame:
     """Train multinomial naive Bayes (smoothing 1) on the train part and score
     the test part.  Features must be non-negative (see ``nonnegative_rows``).
@@ -178,4 +200,4 @@ def naive_bayes_job(
     Output: as ``random_forest_job``.
     """
     nb = NaiveBayes(featuresCol=FEATURES, labelCol=LABEL_INDEX, modelType="multinomial", smoothing=smoothing)
-    return _fit_and_score(df, features, label, nb, split, multi_pass=False)
+    return _fit_and_score(df, features, label, nb, split, multi_pass=False, indexer=indexer, cache=cache)

@@ -16,7 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import cyclic_within, half_up_ratio
-from matchday.operators.classify import LABEL_INDEX, naive_bayes_job, persisted, random_forest_job, training_layout
+from pyspark.ml.feature import StringIndexerModel
+
+from matchday.operators.classify import (
+    LABEL_INDEX,
+    fit_label_index,
+    naive_bayes_job,
+    persisted,
+    random_forest_job,
+    training_layout,
+)
 from matchday.session import checkpoint_dir
 
 # English day names, Monday first, for calendar-order distances.
@@ -161,12 +170,19 @@ WEEKDAY_RUNS = [
 ]
 
 
-def predictions_for(df: DataFrame, run: Run, split: dict | None = None, seed: int = 1) -> DataFrame:
+def predictions_for(
+    df: DataFrame,
+    run: Run,
+    split: dict | None = None,
+    seed: int = 1,
+    indexer: StringIndexerModel | None = None,
+    cache: bool = True,
+) -> DataFrame:
     """Train the run's classifier and score its test part."""
     if run.classifier == "random_forest":
-        return random_forest_job(df, run.features, run.label, seed=seed, split=split)
+        return random_forest_job(df, run.features, run.label, seed=seed, split=split, indexer=indexer, cache=cache)
     if run.classifier == "naive_bayes":
-        return naive_bayes_job(df, run.features, run.label, split=split)
+        return naive_bayes_job(df, run.features, run.label, split=split, indexer=indexer, cache=cache)
     raise ValueError(f"unknown classifier {run.classifier!r}")
 
 
@@ -193,9 +209,11 @@ def experiment_report(
     checkpoint_dir(df.sparkSession)
 
     with persisted(training_layout(df.select(*columns))) as data:
+        # one label index per label, shared by the runs on that label
+        indexers = {label: fit_label_index(data, label) for label in dict.fromkeys(r.label for r in runs)}
 
         def one(position: int, run: Run) -> DataFrame:
-            preds = predictions_for(data, run, split)
+            preds = predictions_for(data, run, split, indexer=indexers[run.label], cache=False)
             report = model_report(preds, run.classifier, run.features, run.label, order=order)
             return report.withColumn("_run", F.lit(position)).checkpoint(eager=True)
 
