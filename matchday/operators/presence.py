@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import SECOND_HALF
-from matchday.schemas import EVENTS, MATCHES, require_columns
+from matchday.schemas import MATCHES, require_columns
 
 _SUBS = ["substitution1", "substitution2", "substitution3"]
 
