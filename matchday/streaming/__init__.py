@@ -5,6 +5,6 @@ it runs the aggregating ones (match results, pass counts) over a stream of
 event files so tables stay current while a season is being played.
 """
 
-from matchday.streaming.live import latest_rows, start_live_table
+from matchday.streaming.live import latest_rows, live_standings, read_event_stream, start_live_table
 
-__all__ = ["latest_rows", "start_live_table"]
+__all__ = ["latest_rows", "live_standings", "read_event_stream", "start_live_table"]

@@ -68,3 +68,13 @@ def latest_rows(spark: SparkSession, output_path: str, keys: Sequence[str]) -> D
     appended = spark.read.parquet(output_path)
     newest = first_n_per_group(appended, list(keys), [F.desc(BATCH_COL)], n=1)
     return newest.drop(BATCH_COL)
+
+
+def live_standings(spark: SparkSession, results_path: str) -> DataFrame:
+    """Season standings from a live match-results folder (newest row per
+    match), computed as a batch query whenever asked."""
+    from matchday.operators.results import MATCH_KEYS, team_match_rows
+    from matchday.operators.standings import season_standings
+
+    return season_standings(team_match_rows(latest_rows(spark, results_path, MATCH_KEYS)))
+

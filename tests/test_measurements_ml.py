@@ -167,3 +167,22 @@ def test_read_measurements_reader(spark, tmp_path):
     back = read_measurements(spark, str(tmp_path / "m"))
     assert back.columns == schemas.MEASUREMENTS.fieldNames()
     assert tuple(back.first()) == (1, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0)
+
+
+def test_label_missing_from_training_counts_zero_probability(spark):
+    # 'c' is the rarest label (highest index) and appears only in test minutes
+    rows = []
+    for i in range(40):
+        label = "a" if i % 3 else "b"
+        minute = i if i % 5 else i + 1  # keep a and b mostly in training minutes
+        rows.append((minute * 60, float(i % 4), float(i % 3), 1.0, label))
+    rows += [(m * 60, 1.0, 1.0, 1.0, "c") for m in (0, 5, 10)]  # minute % 5 == 0: test only
+    df = spark.createDataFrame(rows, "time long, f1 double, f2 double, f3 double, label string")
+    feats = ["f1", "f2", "f3"]
+    for job in (op.naive_bayes_job, op.random_forest_job):
+        preds = job(df, feats, "label")
+        c_rows = preds.filter(F.col("label") == "c")
+        assert c_rows.count() == 3
+        m = op.evaluate_predictions(c_rows, cycle=24).first()
+        assert m["avg_prob"] == 0.0  # never seen in training: no probability
+        assert op.evaluate_predictions(preds, cycle=24).first()["n_test"] == preds.count()

@@ -9,8 +9,7 @@ from matchday import operators as op
 from matchday import schemas
 from matchday.operators.results import MATCH_KEYS
 from matchday.sources.fixtures import events_view
-from matchday.streaming import latest_rows, start_live_table
-from matchday.streaming.live import read_event_stream
+from matchday.streaming import latest_rows, live_standings, read_event_stream, start_live_table
 
 
 def test_live_match_results_equal_batch(spark):
@@ -32,3 +31,8 @@ def test_live_match_results_equal_batch(spark):
     batch = op.match_results(spark.read.parquet(source))
     cols = sorted(batch.columns)
     assert canon(tuple(r) for r in live.select(cols).collect()) == canon(tuple(r) for r in batch.select(cols).collect())
+    standings = live_standings(spark, out)
+    expected = op.season_standings(op.team_match_rows(batch))
+    cols = sorted(expected.columns)
+    assert canon(tuple(r) for r in standings.select(cols).collect()) == canon(tuple(r) for r in expected.select(cols).collect())
+
