@@ -52,3 +52,27 @@ def test_no_python_udf(spark, name):
     p = plan(entry.queries()[name](spark, SF_SMALL))
     for marker in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "MapInPandas"):
         assert marker not in p
+
+
+def test_bucketed_tables_need_no_shuffle_before_match_keyed_work(spark, tmp_path):
+    from matchday.sources.fixtures import events_view, matches_view
+    from matchday.sources.tables import save_bucketed
+
+    ev = save_bucketed(events_view(spark, SF_SMALL), "events_b", str(tmp_path / "events_b"), buckets=4)
+    ms = save_bucketed(matches_view(spark, SF_SMALL), "matches_b", str(tmp_path / "matches_b"), buckets=4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert "Exchange" not in plan(op.match_results(ev))
+        assert "Exchange" not in plan(op.match_length(ev))
+        presence = plan(op.player_presence(ms, ev))
+        assert "SortMergeJoin" in presence and "Exchange" not in presence
+        # single-pass plus-minus: the only shuffle left is the per-player sum
+        pm = plan(op.plus_minus_from_events(ms, ev))
+        assert pm.count("Exchange hashpartitioning") == 1 and "hashpartitioning(player_id" in pm
+        # same rows as from the unbucketed views
+        assert op.match_results(ev).count() == fb.match_results(spark, SF_SMALL).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS events_b")
+        spark.sql("DROP TABLE IF EXISTS matches_b")
