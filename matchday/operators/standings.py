@@ -26,10 +26,11 @@ def season_standings(team_rows: DataFrame) -> DataFrame:
     )
 
 
-def competition_totals(standings: DataFrame) -> DataFrame:
-    """Standings summed over seasons per (competition, team), in table terms:
-    pld, w, d, l, gf, ga, gd (numeric), pts."""
-    return standings.groupBy("competition", "team").agg(
+def competition_totals(standings: DataFrame, by_season: bool = False) -> DataFrame:
+    """Standings summed over seasons per (competition, team) -- or kept per
+    season -- in table terms: pld, w, d, l, gf, ga, gd (numeric), pts."""
+    keys = ["competition", "season", "team"] if by_season else ["competition", "team"]
+    return standings.groupBy(*keys).agg(
         F.sum("games").alias("pld"),
         F.sum("wins").alias("w"),
         F.sum("draws").alias("d"),
@@ -47,8 +48,10 @@ def table_order() -> list[F.Column]:
     return [F.desc("pts"), F.desc("gd"), F.desc("gf"), F.asc("team")]
 
 
-def league_table(standings: DataFrame, competition: str | None = None) -> DataFrame:
-    """League table per competition (one competition if given).
+def league_table(standings: DataFrame, competition: str | None = None, by_season: bool = False) -> DataFrame:
+    """League table per competition (one competition if given); seasons are
+    pooled unless ``by_season``, which gives one table per competition and
+    season (with a ``season`` column).
 
     Positions come from ``row_number`` over a window partitioned by
     competition -- never a global window, and never a position taken from a
@@ -60,11 +63,12 @@ def league_table(standings: DataFrame, competition: str | None = None) -> DataFr
     """
     if competition is not None:
         standings = standings.filter(F.col("competition") == competition)
-    ranked = competition_totals(standings).withColumn(
-        "pos", F.row_number().over(Window.partitionBy("competition").orderBy(*table_order()))
+    groups = ["competition", "season"] if by_season else ["competition"]
+    ranked = competition_totals(standings, by_season).withColumn(
+        "pos", F.row_number().over(Window.partitionBy(*groups).orderBy(*table_order()))
     )
     return ranked.select(
-        "competition",
+        *groups,
         "pos",
         "team",
         "pld",
@@ -75,4 +79,4 @@ def league_table(standings: DataFrame, competition: str | None = None) -> DataFr
         "ga",
         signed_text("gd").alias("gd"),
         "pts",
-    ).orderBy("competition", "pos")
+    ).orderBy(*groups, "pos")

@@ -96,3 +96,20 @@ def test_standings_properties(spark):
     rows = fb.team_match_rows(spark, SF_CHECK)
     pts = rows.groupBy("match_id").agg(F.sum(F.col("wins") * 3 + F.col("draws")).alias("p"))
     assert pts.filter(~F.col("p").isin(2, 3)).count() == 0
+
+
+def test_league_table_by_season(spark):
+    res = spark.createDataFrame(
+        [(1, "C", "S1", "A", "B", 1, 0), (2, "C", "S2", "A", "B", 0, 2)],
+        "match_id int, competition string, season string, home_team string, away_team string, home_goals bigint, away_goals bigint",
+    )
+    st = op.season_standings(op.team_match_rows(res))
+    per_season = op.league_table(st, by_season=True)
+    assert rows_of(per_season, "season", "pos", "team", "pts") == [
+        ("S1", 1, "A", 3),
+        ("S1", 2, "B", 0),
+        ("S2", 1, "B", 3),
+        ("S2", 2, "A", 0),
+    ]
+    pooled = op.league_table(st)
+    assert rows_of(pooled, "pos", "team", "pts", "gd") == [(1, "B", 3, "+1"), (2, "A", 3, "-1")]
