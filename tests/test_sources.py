@@ -46,3 +46,11 @@ def test_camel_case_tables_round_trip(spark, tmp_path):
     assert home["substitution2"] is None  # a missing substitution stays null
     pres = op.player_presence(sheets, events)
     assert rows_of(pres, "player_id", "start_minute", "end_minute") == [(1, 0, 90), (2, 0, 60), (4, 60, 90), (11, 0, 90)]
+
+
+def test_command_line_lists_queries(capsys):
+    from matchday.__main__ import main
+
+    assert main(["--list"]) == 0
+    out = capsys.readouterr().out
+    assert "league_table" in out and "SQL oracle" in out and "rows only" in out
