@@ -13,7 +13,14 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from matchday.session import build_session
 
-    session = build_session("local[4]", shuffle_partitions=8, app_name="matchday-tests")
+    import tempfile
+
+    session = build_session(
+        "local[4]",
+        shuffle_partitions=8,
+        app_name="matchday-tests",
+        extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="matchday-warehouse-")},
+    )
     yield session
     session.stop()
 
