@@ -11,19 +11,25 @@ identical rows (the SQL form lives in ``matchday.plans.oracle``).
 * matches: one per distinct ``o_orderkey % 450`` with nested team sheets.
 * players: 15 per team (number 15 never plays).
 * measurements: one per ``lineitem`` row, Unix seconds plus seven doubles.
+
+The views are written as layered SQL expressions (``selectExpr``): each layer
+is one call into the JVM, where building the same columns one Column object
+at a time costs thousands of driver round trips per query.  Team and
+competition names are looked up by index in constant arrays instead of being
+concatenated per row, which keeps pushed-down filters on them cheap.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from matchday.functions.columns import int_div
 from matchday.sources.tables import read_table
 
 # Fixed values of the fixture design.
 N_MATCHES = 450
 MATCHES_PER_COMPETITION = 90
+TEAMS_PER_COMPETITION = 10
+N_COMPETITIONS = N_MATCHES // MATCHES_PER_COMPETITION
 SEASON = "2017-2018"
 PLAYERS_PER_TEAM = 15
 ROLE_BY_NUMBER = {
@@ -45,146 +51,115 @@ ROLE_BY_NUMBER = {
 }
 
 
-def _match_parts(m: Column) -> tuple[Column, Column, Column]:
-    ci = int_div(m, F.lit(MATCHES_PER_COMPETITION))
-    hi = int_div(m % MATCHES_PER_COMPETITION, F.lit(9))
-    ai = (hi + 1 + m % 9) % 10
-    return ci, hi, ai
+def _sql_array(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-N_COMPETITIONS = N_MATCHES // MATCHES_PER_COMPETITION
-TEAMS_PER_COMPETITION = 10
+# names by rule: T<competition>_<team number>, L<competition>
+_TEAMS = _sql_array([f"T{c}_{t}" for c in range(N_COMPETITIONS) for t in range(TEAMS_PER_COMPETITION)])
+_COMPETITIONS = _sql_array([f"L{c}" for c in range(N_COMPETITIONS)])
 
 
-def _team_name(ci: Column, number: Column) -> Column:
-    """``T<competition>_<team number>``, looked up in a constant array of the
-    50 names (built by rule) rather than concatenated per row: the names are
-    compared in pushed-down filters, where a lookup costs nothing and string
-    building costs an allocation per use."""
-    names = [f"T{c}_{t}" for c in range(N_COMPETITIONS) for t in range(TEAMS_PER_COMPETITION)]
-    return F.element_at(F.array(*map(F.lit, names)), (ci * TEAMS_PER_COMPETITION + number + 1).cast("int"))
+def _team_name(ci: str, number: str) -> str:
+    return f"element_at({_TEAMS}, CAST({ci} * {TEAMS_PER_COMPETITION} + {number} + 1 AS INT))"
 
 
-def _competition_name(ci: Column) -> Column:
-    names = [f"L{c}" for c in range(N_COMPETITIONS)]
-    return F.element_at(F.array(*map(F.lit, names)), (ci + 1).cast("int"))
+def _competition_name(ci: str) -> str:
+    return f"element_at({_COMPETITIONS}, CAST({ci} + 1 AS INT))"
 
 
-def events_view(spark: SparkSession, base: str) -> DataFrame:
-    """Match events (schema ``matchday.schemas.EVENTS``) from ``lineitem``.
+_MATCH_PARTS = [
+    f"m div {MATCHES_PER_COMPETITION} AS ci",
+    f"(m % {MATCHES_PER_COMPETITION}) div 9 AS hi",
+    f"((m % {MATCHES_PER_COMPETITION}) div 9 + 1 + m % 9) % 10 AS ai",
+]
 
-    Built in layers (numbers, then team names, then event columns) so each
-    derived name is computed once per row.
-    """
-    li = read_table(spark, base, "lineitem")
-    ok, p, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    m = (ok % N_MATCHES).cast("int")
-    numbered = li.select(
-        m.alias("match_id"),
-        *(c.alias(n) for c, n in zip(_match_parts(m), ("ci", "hi", "ai"))),
-        ((p + ln) % 50).alias("r"),
-        ((ok + sk) % 2 == 0).alias("even"),
-        (sk % 3 == 0).alias("home_side"),
-        (F.col("l_quantity") > 10).alias("accurate"),
-        F.when(ln == 7, F.lit("E1"))
-        .when(F.col("l_linestatus") == "O", F.lit("1H"))
-        .otherwise(F.lit("2H"))
-        .alias("event_period"),
-        ((ok * 31 + ln * 397 + p * 7) % 2880).cast("double").alias("event_time"),
+
+def events_view(spark: SparkSession, base: str) -> DataFrame:
+    """Match events (schema ``matchday.schemas.EVENTS``) from ``lineitem``."""
+    numbered = read_table(spark, base, "lineitem").selectExpr(
+        f"CAST(l_orderkey % {N_MATCHES} AS INT) AS m",
+        "(l_partkey + l_linenumber) % 50 AS r",
+        "(l_orderkey + l_suppkey) % 2 = 0 AS even",
+        "l_suppkey % 3 = 0 AS home_side",
+        "l_quantity > 10 AS accurate",
+        "CASE WHEN l_linenumber = 7 THEN 'E1' WHEN l_linestatus = 'O' THEN '1H' ELSE '2H' END AS event_period",
+        "CAST((l_orderkey * 31 + l_linenumber * 397 + l_partkey * 7) % 2880 AS DOUBLE) AS event_time",
     )
-    ci, r = F.col("ci"), F.col("r")
-    named = numbered.select(
-        "match_id",
-        _competition_name(ci).alias("competition"),
-        _team_name(ci, F.col("hi")).alias("home_team"),
-        _team_name(ci, F.col("ai")).alias("away_team"),
-        "r",
-        "even",
-        "home_side",
-        "accurate",
-        "event_period",
-        "event_time",
+    keep = ["r", "even", "home_side", "accurate", "event_period", "event_time"]
+    parts = numbered.selectExpr("m", *_MATCH_PARTS, *keep)
+    named = parts.selectExpr(
+        "m AS match_id",
+        f"{_competition_name('ci')} AS competition",
+        f"{_team_name('ci', 'hi')} AS home_team",
+        f"{_team_name('ci', 'ai')} AS away_team",
+        *keep,
     )
     tag = (
-        F.when((r < 2) & F.col("even"), F.lit("Goal"))
-        .when((r < 40) & F.col("accurate"), F.lit("Accurate"))
-        .when(r < 40, F.lit("Not accurate"))
+        "CASE WHEN r < 2 AND even THEN 'Goal' WHEN r < 40 AND accurate THEN 'Accurate' "
+        "WHEN r < 40 THEN 'Not accurate' END"
     )
-    return named.select(
+    return named.selectExpr(
         "match_id",
         "competition",
-        F.lit(SEASON).alias("season"),
+        f"'{SEASON}' AS season",
         "home_team",
         "away_team",
-        F.when(F.col("home_side"), F.col("home_team")).otherwise(F.col("away_team")).alias("event_team"),
-        F.when(r < 2, F.lit("Save attempt")).when(r < 40, F.lit("Pass")).otherwise(F.lit("Duel")).alias("event"),
-        F.when(r < 40, F.array(tag)).alias("tags"),
+        "CASE WHEN home_side THEN home_team ELSE away_team END AS event_team",
+        "CASE WHEN r < 2 THEN 'Save attempt' WHEN r < 40 THEN 'Pass' ELSE 'Duel' END AS event",
+        f"CASE WHEN r < 40 THEN array({tag}) END AS tags",
         "event_period",
         "event_time",
     )
 
 
 def _match_numbers(spark: SparkSession, base: str) -> DataFrame:
+    """Distinct match numbers with their competition and team numbers."""
     orders = read_table(spark, base, "orders")
-    return orders.select((F.col("o_orderkey") % N_MATCHES).cast("int").alias("m")).distinct()
+    numbers = orders.selectExpr(f"CAST(o_orderkey % {N_MATCHES} AS INT) AS m").distinct()
+    return numbers.selectExpr("m", *_MATCH_PARTS)
 
 
-def _sheet(m: Column, tno: Column, team: Column, lineup_null: Column) -> Column:
-    def sub(k: int) -> Column:
-        return F.struct(
-            (tno * 100 + 11 + k).cast("int").alias("player_in"),
-            (tno * 100 + 2 + (m + k * 3) % 10).cast("int").alias("player_out"),
-            (46 + (m * 7 + k * 11) % 40).cast("int").alias("minute"),
+def _sheet(tno: str, team_number: str, lineup_null: str) -> str:
+    def sub(k: int) -> str:
+        return (
+            f"named_struct('player_in', CAST({tno} * 100 + 11 + {k} AS INT), "
+            f"'player_out', CAST({tno} * 100 + 2 + (m + {k * 3}) % 10 AS INT), "
+            f"'minute', CAST(46 + (m * 7 + {k * 11}) % 40 AS INT))"
         )
 
-    lineup = F.transform(F.sequence(F.lit(1), F.lit(11)), lambda n: (tno * 100 + n).cast("int"))
-    return F.struct(
-        team.alias("team"),
-        F.when(~lineup_null, lineup).alias("lineup"),
-        sub(1).alias("substitution1"),
-        sub(2).alias("substitution2"),
-        F.when(m % 3 != 0, sub(3)).alias("substitution3"),
+    lineup = f"transform(sequence(1, 11), n -> CAST({tno} * 100 + n AS INT))"
+    return (
+        f"named_struct('team', {_team_name('ci', team_number)}, "
+        f"'lineup', CASE WHEN NOT ({lineup_null}) THEN {lineup} END, "
+        f"'substitution1', {sub(1)}, "
+        f"'substitution2', {sub(2)}, "
+        f"'substitution3', CASE WHEN m % 3 != 0 THEN {sub(3)} END)"
     )
 
 
 def matches_view(spark: SparkSession, base: str) -> DataFrame:
     """Nested match sheets (schema ``matchday.schemas.MATCHES``) from ``orders``."""
-    m = F.col("m")
-    ci, hi, ai = _match_parts(m)
-    return _match_numbers(spark, base).select(
-        m.alias("match_id"),
-        _competition_name(ci).alias("competition"),
-        F.lit(SEASON).alias("season"),
-        _sheet(m, ci * 10 + hi, _team_name(ci, hi), F.lit(False)).alias("home_team_data"),
-        _sheet(m, ci * 10 + ai, _team_name(ci, ai), m % 97 == 5).alias("away_team_data"),
+    return _match_numbers(spark, base).selectExpr(
+        "m AS match_id",
+        f"{_competition_name('ci')} AS competition",
+        f"'{SEASON}' AS season",
+        f"{_sheet('(ci * 10 + hi)', 'hi', 'false')} AS home_team_data",
+        f"{_sheet('(ci * 10 + ai)', 'ai', 'm % 97 = 5')} AS away_team_data",
     )
 
 
-def _role(n: Column) -> Column:
-    expr = None
-    for number, role in ROLE_BY_NUMBER.items():
-        expr = (F.when if expr is None else expr.when)(n == number, F.lit(role))
-    return expr
-
-
 def players_view(spark: SparkSession, base: str) -> DataFrame:
     """Players (schema ``matchday.schemas.PLAYERS``): 15 per team that appears
     in the matches view."""
-    m = F.col("m")
-    ci, hi, ai = _match_parts(m)
-    teams = (
-        _match_numbers(spark, base)
-        .select(ci.alias("ci"), F.explode(F.array(hi, ai)).alias("tn"))
-        .distinct()
-    )
-    n = F.col("n")
-    ci, tn = F.col("ci"), F.col("tn")
-    return teams.select("ci", "tn", F.explode(F.sequence(F.lit(1), F.lit(PLAYERS_PER_TEAM))).alias("n")).select(
-        ((ci * 10 + tn) * 100 + n).cast("int").alias("player_id"),
-        F.when(n != 9, F.concat(F.lit("F"), n.cast("string"))).alias("first_name"),
-        _team_name(ci, tn).alias("last_name"),
-        F.when(n != 13, F.concat(F.lit("A"), (n % 4).cast("string"))).alias("birth_area"),
-        _role(n).alias("role"),
+    teams = _match_numbers(spark, base).selectExpr("ci", "explode(array(hi, ai)) AS tn").distinct()
+    role = "CASE " + " ".join(f"WHEN n = {k} THEN '{v}'" for k, v in ROLE_BY_NUMBER.items()) + " END"
+    return teams.selectExpr("ci", "tn", f"explode(sequence(1, {PLAYERS_PER_TEAM})) AS n").selectExpr(
+        "CAST((ci * 10 + tn) * 100 + n AS INT) AS player_id",
+        "CASE WHEN n != 9 THEN concat('F', CAST(n AS STRING)) END AS first_name",
+        f"{_team_name('ci', 'tn')} AS last_name",
+        "CASE WHEN n != 13 THEN concat('A', CAST(n % 4 AS STRING)) END AS birth_area",
+        f"{role} AS role",
     )
 
 
@@ -194,15 +169,13 @@ def measurements_view(spark: SparkSession, base: str) -> DataFrame:
     Temperature is null for every 37th part and negative for small quantities,
     so cleaning and the non-negative guard have work to do.
     """
-    li = read_table(spark, base, "lineitem")
-    ok, p, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    return li.select(
-        (F.unix_timestamp(F.col("l_shipdate")) + (p * 3607 + ln * 211) % 86400).alias("time"),
-        F.when(p % 37 != 0, F.col("l_quantity") - 3).alias("temperature"),
-        F.round(F.col("l_discount") * 100).alias("humidity"),
-        F.round(F.col("l_tax") * 100).alias("wind_speed"),
-        (p % 500).cast("double").alias("power_tenants"),
-        (sk % 90).cast("double").alias("power_maintenance"),
-        ((p * 7 + ln) % 300).cast("double").alias("power_solar_panels"),
-        ((ok + ln) % 120).cast("double").alias("electricity_price"),
+    return read_table(spark, base, "lineitem").selectExpr(
+        "unix_timestamp(l_shipdate) + (l_partkey * 3607 + l_linenumber * 211) % 86400 AS time",
+        "CASE WHEN l_partkey % 37 != 0 THEN l_quantity - 3 END AS temperature",
+        "round(l_discount * 100) AS humidity",
+        "round(l_tax * 100) AS wind_speed",
+        "CAST(l_partkey % 500 AS DOUBLE) AS power_tenants",
+        "CAST(l_suppkey % 90 AS DOUBLE) AS power_maintenance",
+        "CAST((l_partkey * 7 + l_linenumber) % 300 AS DOUBLE) AS power_solar_panels",
+        "CAST((l_orderkey + l_linenumber) % 120 AS DOUBLE) AS electricity_price",
     )
