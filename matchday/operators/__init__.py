@@ -10,9 +10,11 @@ from matchday.operators.classify import (
     with_split,
 )
 from matchday.operators.evaluate import (
+    CLASSIFIER_NAMES,
     FOREST_RUNS,
     WEEKDAY_RUNS,
     Run,
+    compare_models,
     evaluate_predictions,
     experiment_report,
     model_report,
@@ -37,15 +39,24 @@ from matchday.operators.summary import (
     match_summary,
     plus_minus_from_events,
 )
-from matchday.operators.topn import best_teams, first_n_per_group, lowest_pass_ratio, top_teams_report
+from matchday.operators.topn import (
+    best_teams,
+    bottom_n_per_group,
+    first_n_per_group,
+    lowest_pass_ratio,
+    top_teams_report,
+)
 
 __all__ = [
+    "CLASSIFIER_NAMES",
     "FOREST_RUNS",
     "WEEKDAY_RUNS",
     "Run",
     "best_teams",
+    "bottom_n_per_group",
     "calendar_labels",
     "clean_measurements",
+    "compare_models",
     "competition_totals",
     "evaluate_predictions",
     "experiment_report",

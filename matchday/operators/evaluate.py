@@ -186,6 +186,12 @@ def predictions_for(
     raise ValueError(f"unknown classifier {run.classifier!r}")
 
 
+def compare_models(*reports: DataFrame) -> DataFrame:
+    """Report rows of several models, one table, in the order given."""
+    tagged = [r.withColumn("_part", F.lit(i)) for i, r in enumerate(reports)]
+    return reduce(DataFrame.unionByName, tagged).orderBy("_part").drop("_part")
+
+
 def experiment_report(
     df: DataFrame,
     runs: Sequence[Run] = tuple(FOREST_RUNS),

@@ -33,15 +33,22 @@ def first_n_per_group(
     return kept if rank_col else kept.drop(name)
 
 
+def bottom_n_per_group(
+    df: DataFrame, group: Sequence[str], keys: Sequence[str], n: int = 1, tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """Keep the ``n`` rows with the smallest ``keys`` (ascending, then
+    ``tie_break``) in each group; see ``first_n_per_group``."""
+    order = [F.asc(k) for k in (*keys, *tie_break)]
+    return first_n_per_group(df, group, order, n)
+
+
 def lowest_pass_ratio(ratios: DataFrame, n: int = 1) -> DataFrame:
     """Team(s) with the lowest pass success ratio per competition, listed by
     ratio ascending.
 
     Output: competition, team, pass_success_ratio.
     """
-    worst = first_n_per_group(
-        ratios, ["competition"], [F.asc("pass_success_ratio"), F.asc("team")], n
-    )
+    worst = bottom_n_per_group(ratios, ["competition"], ["pass_success_ratio"], n, tie_break=["team"])
     return worst.select("competition", "team", "pass_success_ratio").orderBy(
         F.asc("pass_success_ratio"), F.asc("competition"), F.asc("team")
     )

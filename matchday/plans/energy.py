@@ -78,4 +78,8 @@ def rf_experiments(spark: SparkSession, base: str) -> DataFrame:
 
 
 def model_comparison(spark: SparkSession, base: str) -> DataFrame:
-    return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS, parallelism=REPORT_PARALLELISM)
+    """Naive Bayes row, then random forest row, for weekday from the weather
+    columns; both runs share one prepared input and are fitted together."""
+    report = op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS, parallelism=REPORT_PARALLELISM)
+    nb, rf = (report.filter(F.col("classifier") == op.CLASSIFIER_NAMES[r.classifier]) for r in WEEKDAY_RUNS)
+    return op.compare_models(nb, rf)

@@ -102,3 +102,9 @@ def test_best_teams_limit_is_top_k(spark):
     assert len(out) == 10
     avgs = [r["avg"] for r in out]
     assert avgs == sorted(avgs, reverse=True)
+
+
+def test_bottom_n_per_group(spark):
+    df = spark.createDataFrame([("a", 3, 1), ("a", 1, 2), ("a", 1, 3), ("b", 5, 4)], "g string, v int, id int")
+    low = op.bottom_n_per_group(df, ["g"], ["v"], n=1, tie_break=["id"])
+    assert rows_of(low, "g", "v", "id") == [("a", 1, 2), ("b", 5, 4)]
