@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from matchday import operators as op
-from matchday.sources.fixtures import events_view, matches_view, players_view
+from matchday.sources.fixtures import events_view, match_numbers, matches_view, players_view
 
 # Plus-minus threshold used by the registered query.  The original report
 # uses +65 on full seasons of real data; the fixture's matches are short, so
@@ -72,16 +72,18 @@ def minutes_per_player(spark: SparkSession, base: str) -> DataFrame:
 
 
 def most_minutes_by_role(spark: SparkSession, base: str) -> DataFrame:
-    return op.most_minutes_by_role(player_presence(spark, base), players_view(spark, base))
+    numbers = match_numbers(spark, base)  # one read of orders for sheets and players
+    presence = op.player_presence(matches_view(spark, base, numbers), events_view(spark, base))
+    return op.most_minutes_by_role(presence, players_view(spark, base, numbers))
 
 
 def goal_minutes(spark: SparkSession, base: str) -> DataFrame:
     return op.goal_minutes(events_view(spark, base))
 
 
-def plus_minus(spark: SparkSession, base: str) -> DataFrame:
+def plus_minus(spark: SparkSession, base: str, numbers: DataFrame | None = None) -> DataFrame:
     """Match lengths and goals from one pass over the events."""
-    return op.plus_minus_from_events(matches_view(spark, base), events_view(spark, base))
+    return op.plus_minus_from_events(matches_view(spark, base, numbers), events_view(spark, base))
 
 
 def plus_minus_composed(spark: SparkSession, base: str) -> DataFrame:
@@ -90,4 +92,5 @@ def plus_minus_composed(spark: SparkSession, base: str) -> DataFrame:
 
 
 def top_plus_minus(spark: SparkSession, base: str, above: int = TOP_PLUS_MINUS_ABOVE) -> DataFrame:
-    return op.top_plus_minus(plus_minus(spark, base), players_view(spark, base), above=above)
+    numbers = match_numbers(spark, base)  # one read of orders for sheets and players
+    return op.top_plus_minus(plus_minus(spark, base, numbers), players_view(spark, base, numbers), above=above)

@@ -113,8 +113,10 @@ def events_view(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def _match_numbers(spark: SparkSession, base: str) -> DataFrame:
-    """Distinct match numbers with their competition and team numbers."""
+def match_numbers(spark: SparkSession, base: str) -> DataFrame:
+    """Distinct match numbers with their competition and team numbers; pass
+    the same DataFrame to ``matches_view`` and ``players_view`` when a query
+    needs both, so the plan reads ``orders`` once."""
     orders = read_table(spark, base, "orders")
     numbers = orders.selectExpr(f"CAST(o_orderkey % {N_MATCHES} AS INT) AS m").distinct()
     return numbers.selectExpr("m", *_MATCH_PARTS)
@@ -138,9 +140,10 @@ def _sheet(tno: str, team_number: str, lineup_null: str) -> str:
     )
 
 
-def matches_view(spark: SparkSession, base: str) -> DataFrame:
+def matches_view(spark: SparkSession, base: str, numbers: DataFrame | None = None) -> DataFrame:
     """Nested match sheets (schema ``matchday.schemas.MATCHES``) from ``orders``."""
-    return _match_numbers(spark, base).selectExpr(
+    numbers = numbers if numbers is not None else match_numbers(spark, base)
+    return numbers.selectExpr(
         "m AS match_id",
         f"{_competition_name('ci')} AS competition",
         f"'{SEASON}' AS season",
@@ -149,10 +152,11 @@ def matches_view(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def players_view(spark: SparkSession, base: str) -> DataFrame:
+def players_view(spark: SparkSession, base: str, numbers: DataFrame | None = None) -> DataFrame:
     """Players (schema ``matchday.schemas.PLAYERS``): 15 per team that appears
     in the matches view."""
-    teams = _match_numbers(spark, base).selectExpr("ci", "explode(array(hi, ai)) AS tn").distinct()
+    numbers = numbers if numbers is not None else match_numbers(spark, base)
+    teams = numbers.selectExpr("ci", "explode(array(hi, ai)) AS tn").distinct()
     role = "CASE " + " ".join(f"WHEN n = {k} THEN '{v}'" for k, v in ROLE_BY_NUMBER.items()) + " END"
     return teams.selectExpr("ci", "tn", f"explode(sequence(1, {PLAYERS_PER_TEAM})) AS n").selectExpr(
         "CAST((ci * 10 + tn) * 100 + n AS INT) AS player_id",
