@@ -143,14 +143,13 @@ def plus_minus_from_events(matches: DataFrame, events: DataFrame) -> DataFrame:
     """
     summary = match_goal_summary(events)
     rows = presence_rows(matches, summary, carry=["goal_list"])
-    start, end, team = F.col("start_minute"), F.col("end_minute"), F.col("player_team")
-    hits = F.filter("goal_list", lambda g: g["goal_minute"].between(start, end))
-    scored = F.aggregate(
-        hits,
-        F.lit(0).cast("bigint"),
-        lambda acc, g: acc + F.when(g["scoring_team"] == team, g["goals"]).otherwise(-g["goals"]),
+    # goals of the match that fell inside this interval, and their signed sum
+    hits = "filter(goal_list, g -> g.goal_minute BETWEEN start_minute AND end_minute)"
+    signed = (
+        f"aggregate({hits}, CAST(0 AS BIGINT), "
+        "(acc, g) -> acc + CASE WHEN g.scoring_team = player_team THEN g.goals ELSE -g.goals END)"
     )
-    per_player = rows.select("player_id", scored.alias("pm"), F.size(hits).alias("n")).groupBy("player_id").agg(
+    per_player = rows.selectExpr("player_id", f"{signed} AS pm", f"size({hits}) AS n").groupBy("player_id").agg(
         F.sum("pm").alias("plus_minus"), F.sum("n").alias("_hits")
     )
     return per_player.filter(F.col("_hits") > 0).select("player_id", "plus_minus")
