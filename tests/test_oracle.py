@@ -34,3 +34,20 @@ def test_query_matches_oracle(spark, duck, name):
     for c in cols:
         # same kind of value: integer, float or text
         assert spark_pd[c].dtype.kind == duck_pd[c].dtype.kind or len(spark_pd) == 0, c
+
+
+def test_every_query_documented_and_oracles_read_driver_tables_only():
+    import os
+    import re
+
+    readme = open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "README.md")).read()
+    for name in entry.queries():
+        assert f"`{name}`" in readme, name
+    driver_tables = {"lineitem", "orders"}
+    for name, sql in ORACLES.items():
+        used = set()
+        for a, b in re.findall(r"\b(?:FROM|JOIN)\s+([a-z_]+)|,\s*([a-z_]+)\s+AS\s+t\(", sql, flags=re.I):
+            used.add((a or b).lower())
+        ctes = set(re.findall(r"\b([a-z_]+)\s+AS\s+\(", sql, flags=re.I))
+        base = {t for t in used if t not in ctes and t not in ("range",)}
+        assert base <= driver_tables, (name, base)
