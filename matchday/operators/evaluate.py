@@ -221,7 +221,11 @@ def experiment_report(
         def one(position: int, run: Run) -> DataFrame:
             preds = predictions_for(data, run, split, indexer=indexers[run.label], cache=False)
             report = model_report(preds, run.classifier, run.features, run.label, order=order)
-            return report.withColumn("_run", F.lit(position)).checkpoint(eager=True)
+            # a reliable checkpoint writes its files in a second job; with the
+            # (one-row) report cached, that job reads the cache instead of
+            # scoring the test rows again
+            with persisted(report.withColumn("_run", F.lit(position))) as row:
+                return row.checkpoint(eager=True)
 
         if parallelism > 1 and len(runs) > 1:
             with ThreadPoolExecutor(max_workers=min(parallelism, len(runs))) as pool:
