@@ -186,3 +186,10 @@ def test_label_missing_from_training_counts_zero_probability(spark):
         m = op.evaluate_predictions(c_rows, cycle=24).first()
         assert m["avg_prob"] == 0.0  # never seen in training: no probability
         assert op.evaluate_predictions(preds, cycle=24).first()["n_test"] == preds.count()
+
+
+def test_compare_models_keeps_given_order(spark):
+    a = spark.createDataFrame([("RandomForest", 1.0)], "classifier string, correct double")
+    b = spark.createDataFrame([("NaiveBayes", 2.0)], "classifier string, correct double")
+    assert [r["classifier"] for r in op.compare_models(b, a).collect()] == ["NaiveBayes", "RandomForest"]
+    assert [r["classifier"] for r in op.compare_models(a, b).collect()] == ["RandomForest", "NaiveBayes"]
