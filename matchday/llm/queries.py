@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import language
+from matchday.llm import language, neardup
 from matchday.llm.common import table
 
 
@@ -16,9 +16,41 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 2-word shingle sets reach 80 percent."""
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(width=2, percent=80))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op8_minhash_neardup": op8_minhash_neardup,
 }
 
 #: DuckDB SQL of the queries whose rows SQL can state.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_minhash_neardup": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE
+                list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+            FROM words WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS u, b.doc_id AS v
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            WHERE 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+        reached AS (
+            SELECT doc_id AS u, doc_id AS v FROM documents
+            UNION SELECT r.u, l.v FROM reached r JOIN links l ON r.v = l.u),
+        lowest AS (SELECT u, min(v) AS component_id FROM reached GROUP BY u)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d JOIN lowest ON lowest.u = d.doc_id LEFT JOIN sizes USING (doc_id)""",
+}
