@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import language, neardup
+from matchday.llm import language, neardup, secrets
 from matchday.llm.common import table
 
 
@@ -22,9 +22,15 @@ def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 #: DuckDB SQL of the queries whose rows SQL can state.
