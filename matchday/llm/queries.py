@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import language, neardup, secrets
+from matchday.llm import language, mixing, neardup, secrets
 from matchday.llm.common import table
 
 
@@ -16,6 +16,11 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.report(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 2-word shingle sets reach 80 percent."""
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(width=2, percent=80))
@@ -29,6 +34,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op4_source_mix": op4_source_mix,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op10_secret_scan": op10_secret_scan,
 }
