@@ -5,22 +5,41 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import language, mixing, neardup, secrets
+from matchday.llm import language, licenses, mixing, neardup, packing, secrets, tokens
 from matchday.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their places in sequences of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, 2048)
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.report(table(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and templates in every document."""
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    counted = tokens.count(table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER, 1024)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose 2-word shingle sets reach 80 percent."""
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(width=2, percent=80))
@@ -34,7 +53,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mix": op4_source_mix,
+    "op6_license_scan": op6_license_scan,
+    "op7_token_counts": op7_token_counts,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op10_secret_scan": op10_secret_scan,
 }
