@@ -7,13 +7,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from matchday.llm import chat, language, licenses, mixing, neardup, packing, secrets, tokens
+from matchday.llm import chat, curves, language, licenses, mixing, neardup, packing, secrets, tokens, topk
 from matchday.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_curve_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """About the 20 largest inner products of every 20th vector."""
+    return curves.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language.identify(table(spark, sf_dir, "documents"))
@@ -58,12 +64,18 @@ def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products of every 50th vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document."""
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_curve_neighbours": op1_curve_neighbours,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_source_mix": op4_source_mix,
@@ -71,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_license_scan": op6_license_scan,
     "op7_token_counts": op7_token_counts,
     "op8_minhash_neardup": op8_minhash_neardup,
+    "op9_exact_top_k": op9_exact_top_k,
     "op10_secret_scan": op10_secret_scan,
 }
 
@@ -119,4 +132,14 @@ ORACLES: dict[str, str] = {
         lowest AS (SELECT u, min(v) AS component_id FROM reached GROUP BY u)
         SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
         FROM documents d JOIN lowest ON lowest.u = d.doc_id LEFT JOIN sizes USING (doc_id)""",
+    "op9_exact_top_k": """
+        WITH vectors AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+            vec_id, score
+        FROM scored QUALIFY rank <= 5""",
 }
