@@ -1,4 +1,9 @@
-"""Corpus pipeline: stages over ``documents``, each one pipeline operator."""
+"""Corpus pipeline: stages over ``documents``, each one pipeline operator.
+
+Every stage works on all rows that the one before wrote.  All but the last
+return the columns of the documents; the last returns where each piece of
+each document is packed.
+"""
 
 from __future__ import annotations
 
@@ -6,19 +11,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from matchday.llm import language
+from matchday.llm import language, mixing, neardup, packing, secrets
 from matchday.llm.common import table, written
+from matchday.llm.queries import TOKENIZER
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents without a language: null texts and texts without a letter."""
-    model = language.train(docs)
-    named = language.predict(docs, model, label="__label", score="__score")
+    """Drop the documents without a language: null texts and texts without a
+    letter.  Trained on every labelled row of ``docs``."""
+    named = language.predict(docs, language.train(docs), label="__label", score="__score")
     return named.filter(named["__label"] != language.UNKNOWN).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group linked by 5-word shingles at 80 percent."""
+    return neardup.first_of_each(docs, neardup.Settings(width=5, percent=80))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace every secret by a mark; all documents stay."""
+    return secrets.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take documents, up to three times, so that sources meet their targets."""
+    return mixing.repeat(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the documents' tokens into sequences of 2048."""
+    return packing.pack_documents(docs, TOKENIZER, 2048)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("secret_scan", redact_secrets),
+    ("source_mix", mix_sources),
+    ("packing", pack_sequences),
 ]
 
 #: Trained models, sketches and tokenizers are beyond SQL; the stages are
