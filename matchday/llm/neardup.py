@@ -5,15 +5,17 @@
    hashed shingles.  Minima over a union are minima of minima, so sketches
    merge, and two registers are equal about as often as the sets are similar.
 2. Documents with equal sets form one class, represented by one row.
-3. Registers are banded.  Classes that share a band are candidates: first each
-   member of a bucket with the bucket's earliest document (a star, so a bucket
-   of any size gives one pair a member).  A joint likelihood of the register
-   comparisons and the known set sizes drops pairs that cannot reach the
-   threshold.
-4. The rest are confirmed on full sets, and links become components.
-5. A bucket whose members are still in different components is compared in
-   full, in blocks, across these components only; pairs that are likely enough
-   are confirmed too.  So a star's choice of centre loses no link.
+3. Registers are banded.  Classes that share a band are candidates: each
+   member of a bucket with the bucket's earliest document, its centre (a star,
+   so a bucket of any size gives one pair a member).  A joint likelihood of
+   the register comparisons and the known set sizes drops pairs that cannot
+   reach the threshold; the rest are confirmed on full sets.
+4. Members of a centre's buckets that are not linked with it may still be
+   linked with each other.  They are compared with all members of the centre,
+   in blocks, on full sets; a block yields links that join what it finds
+   connected, at most one a member.  So the star loses no link, and a group of
+   any size gives a number of rows in proportion.
+5. Links become components.
 
 All of it stays in Spark tables: no pair, link or component reaches the driver.
 """
@@ -192,7 +194,7 @@ def _bands(classes: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (u, v) that the sketches leave likely enough."""
+    """Append whether the sketches leave a pair (u, v) likely enough."""
     part = classes.select("node", "n_shingles", "sketch")
     both = pairs.join(part.toDF("u", "nu", "su"), "u").join(part.toDF("v", "nv", "sv"), "v")
 
@@ -202,38 +204,42 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
                 a, b = _as_registers(batch.column("su")), _as_registers(batch.column("sv"))
                 n, m = batch.column("nu").to_numpy(), batch.column("nv").to_numpy()
                 _, lost = similarity((a > b).sum(1), (a < b).sum(1), (a == b).sum(1), n, m, settings.percent)
-                yield batch.select(["u", "v"]).filter(pa.array(lost <= settings.slack))
+                kept = batch.select(["u", "v", "wide"])
+                yield kept.append_column("likely", pa.array(lost <= settings.slack))
 
-    return both.mapInArrow(run, "u binary, v binary")
+    return both.mapInArrow(run, "u binary, v binary, wide boolean, likely boolean")
 
 
-def _across(groups: DataFrame, settings: Settings) -> DataFrame:
-    """Likely pairs of different components within a group of a bucket."""
+def _links_within(groups: DataFrame, settings: Settings) -> DataFrame:
+    """Links (u, v) that connect what is linked within a group.
+
+    Rows with ``linked`` are connected already.  Each of the others is
+    compared with all rows at once, by marking its hashes among theirs.
+    """
 
     def compare(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        values = _as_registers(rows.column("sketch").combine_chunks())
-        sizes = rows.column("n_shingles").to_numpy().astype(float)
-        roots = np.unique(np.array(rows.column("root").to_pylist(), object), return_inverse=True)[1]
-        block = rows.column("block").to_numpy()
-        one = rows.column("lo")[0].as_py() == rows.column("hi")[0].as_py()
+        hashes = rows.column("hashes").chunk(0)
+        starts = hashes.offsets.to_numpy()[:-1] - hashes.offsets[0].as_py()
+        sizes = np.diff(hashes.offsets.to_numpy())
+        codes = np.unique(hashes.flatten().to_numpy(), return_inverse=True)[1]
+        marks = np.zeros(codes.max() + 1, np.int32)
+        group = np.where(rows.column("linked").to_numpy(zero_copy_only=False), -1, np.arange(len(sizes)))
         left, right = [], []
-        for i in range(len(values) - 1):
-            j = np.arange(i + 1, len(values))
-            j = j[(roots[j] != roots[i]) & ((block[j] != block[i]) | one)]
-            if len(j):
-                higher, lower = (values[i] > values[j]).sum(1), (values[i] < values[j]).sum(1)
-                equal = settings.registers - higher - lower
-                _, lost = similarity(higher, lower, equal, np.full(len(j), sizes[i]), sizes[j], settings.percent)
-                j = j[lost <= settings.slack]
-                left.append(np.full(len(j), i)), right.append(j)
-        left = np.concatenate([*left, np.empty(0, int)]).astype(int)
-        right = np.concatenate([*right, np.empty(0, int)]).astype(int)
-        node = rows.column("node").combine_chunks()
-        return pa.table({"u": node.take(pa.array(left)), "v": node.take(pa.array(right))})
-
-    found = groups.groupBy("band", "lo", "hi").applyInArrow(compare, "u binary, v binary")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        for i in np.flatnonzero(group >= 0):
+            own = codes[starts[i] : starts[i] + sizes[i]]
+            marks[own] = 1
+            shared = np.add.reduceat(marks[codes], starts).astype(np.int64)
+            marks[own] = 0
+            alike = 100 * shared >= settings.percent * (sizes + sizes[i] - shared)
+            for j in np.flatnonzero(alike):
+                if group[j] != group[i]:
+                    left.append(i), right.append(j)
+                    group[group == group[j]] = group[i]
+        node = rows.column("node").chunk(0)
+        return pa.table({"u": node.take(pa.array(left, pa.int64())), "v": node.take(pa.array(right, pa.int64()))})
+
+    return groups.groupBy("centre", "lo", "hi").applyInArrow(compare, "u binary, v binary")
 
 
 def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
@@ -277,23 +283,23 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     node that it is connected with.
 
     Alternating large and small stars: each round links every node to the
-    smallest of its neighbours, in tables; the number of rounds grows with the
+    smallest of its neighbours, in tables, until each node has one link and
+    leads to a node without any.  The number of rounds grows with the
     logarithm of the longest chain.
     """
-    links = written(links.filter("u <> v").select("u", "v").distinct(), name)
-    before = None
+    links = links.filter("u <> v").select("u", "v")
     while True:
-        both = links.select("u", "v").union(links.select("v", "u"))
+        both = written(links.select("u", "v").union(links.select("v", "u")), name)
         lowest = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = written(large.filter("u <> v").distinct(), name)
+        large = both.join(lowest, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = written(large, name)
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         links = written(small.union(lowest).distinct(), name)
-        state = links.agg(F.count("u"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
-            return links.toDF("node", "root").union(links.select("v", "v").distinct())
-        before = state
+        ends = links.select(F.col("v").alias("u")).distinct()
+        many = links.groupBy("u").count().filter("count > 1").select("u")
+        if many.union(links.join(ends, "u", "left_semi").select("u")).isEmpty():
+            return links.toDF("node", "root").union(ends.select("u", "u"))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -322,40 +328,34 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     banded = _bands(classes, settings)
     centre = F.min(F.struct(F.col("first_doc").isNull().alias("last"), "first_doc", "node"))
     buckets = banded.groupBy("band").agg(centre.alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = written(
-        banded.join(buckets, "band").select("band", "node", F.col("centre.node").alias("centre"), "size"), "members"
-    )
-    pairs = members.filter("node <> centre").select(
-        F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")
+    stars = (
+        banded.join(buckets, "band")
+        .filter("node <> centre.node")
+        .groupBy(F.col("node").alias("u"), F.col("centre.node").alias("v"))
+        .agg(F.max(F.col("size") > 2).alias("wide"))
     )
-    pairs = written(_likely(pairs.distinct(), classes, settings), "pairs")
+    pairs = written(_likely(stars, classes, settings).filter("likely or wide"), "pairs")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     sets = written(_sets(docs, classes, nodes, settings), "sets")
-    links = written(_confirmed(pairs, sets, settings), "confirmed")
-    roots = components(links)
+    links = written(_confirmed(pairs.filter("likely").select("u", "v"), sets, settings), "confirmed")
 
-    # buckets that still hold several components: compare across these
-    rooted = members.filter("size > 2").join(roots, "node", "left").select(
-        "band", "node", "size", F.coalesce("root", "node").alias("root")
+    # centres with members that are not linked with them
+    wide = pairs.filter("wide").join(links.withColumn("linked", F.lit(True)), ["u", "v"], "left").select(
+        F.col("u").alias("node"), F.col("v").alias("centre"), F.coalesce("linked", F.lit(False)).alias("linked")
     )
-    open_bands = rooted.groupBy("band").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b")
-    blocks = F.ceil(F.col("size") / settings.block).cast("int")
+    wide = written(wide, "wide")
+    opened = wide.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("closed"))
+    opened = opened.filter("size > 1 and not closed").select("centre", "size")
+    blocks = F.ceil((F.col("size") + 1) / settings.block).cast("int")
+    own = opened.select(F.col("centre").alias("node"), "centre", F.lit(True).alias("linked"), "size")
     dealt = (
-        rooted.join(open_bands.select("band"), "band")
-        .withColumn("block", F.pmod(F.xxhash64("node", "band"), blocks).cast("int"))
+        wide.join(opened, "centre").select("node", "centre", "linked", "size").union(own)
+        .withColumn("block", F.pmod(F.xxhash64("node", "centre"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-        .join(classes.select("node", "n_shingles", "sketch"), "node")
-        .select("band", "lo", "hi", "block", "node", "root", "n_shingles", "sketch")
+        .select("node", "centre", "linked", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+        .join(sets, "node")
     )
-    more = written(_across(dealt, settings).join(pairs, ["u", "v"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        nodes = more.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-        missing = written(nodes.join(sets, "node", "left_anti"), "missing")
-        if not missing.isEmpty():
-            sets = sets.union(written(_sets(docs, classes, missing, settings), "sets"))
-        links = links.union(_confirmed(more, sets, settings))
-        roots = components(links)
+    roots = components(links.union(_links_within(dealt, settings)))
 
     found = classes.select("node", "first_doc").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     lowest = found.groupBy("root").agg(F.min("first_doc").alias("component_id"))
