@@ -93,10 +93,11 @@ def _turns(layout: Layout, value) -> Column:
     field of that path.  Null texts are empty; an empty input adds nothing."""
     if layout.array:
         path, role, text = layout.array
-        found = value(path, f"array<struct<`{role}`:string,`{text}`:string>>")
-        made = F.transform(
-            F.coalesce(found, F.lit(None).cast(f"array<struct<`{role}`:string,`{text}`:string>>")),
-            lambda t: F.struct(_role(t[role]).alias("role"), F.coalesce(t[text], F.lit("")).alias("text")),
+        made = F.transform(  # fields by name: their order differs between sources
+            value(path, f"array<struct<`{role}`:string,`{text}`:string>>"),
+            lambda t: F.struct(
+                _role(t[role].cast("string")).alias("role"), F.coalesce(t[text].cast("string"), F.lit("")).alias("text")
+            ),
         )
         return F.coalesce(made, F.array().cast(TURNS))
 
@@ -144,7 +145,7 @@ def table_turns(records: DataFrame, layouts: Sequence[Layout] = LAYOUTS) -> Data
     """
     paths = [p for p in schema_paths(records.schema) if p in _known(layouts)]
     fitting = [layout for layout in layouts if set(layout.paths) <= set(paths)]
-    turns, name = _select(fingerprint(paths), fitting, lambda path, kind: F.col(path).cast(kind))
+    turns, name = _select(fingerprint(paths), fitting, lambda path, kind: F.col(path) if kind.startswith("array") else F.col(path).cast(kind))
     return records.withColumns({"turns": turns, "layout": name})
 
 

@@ -155,15 +155,18 @@ def nearest(
     Vectors that are null, zero, of another than the most frequent length, or
     have null or non-finite components take no part, nor do null ids.  Of
     equal vectors, the k + 1 smallest ids are candidates: the others cannot be
-    among the k best of any query.  A repeated id counts once for equal
-    vectors.  An empty table gives an empty result.
+    among the k best of any query.  A repeated id counts once, with
+    its first vector.  An empty table gives an empty result.
     """
     spark = ship(vectors.sparkSession)
     schema = "query_id long, rank int, vec_id long, score double"
     size = dimension(vectors, column)
     if not size:
         return spark.createDataFrame([], schema)
-    prepared = written(_prepared(vectors, query, identity, column, size), "vectors")
+    prepared = _prepared(vectors, query, identity, column, size).groupBy("vec_id").agg(
+        F.min(F.struct("vector", "query")).alias("first")
+    )
+    prepared = written(prepared.select("vec_id", "first.vector", "first.query"), "vectors")
     copies = Window.partitionBy("vector").orderBy("vec_id")
     candidates = written(
         prepared.select("vec_id", "vector").withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).drop("copy"),
@@ -258,7 +261,7 @@ def nearest(
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     merged = merged.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).drop("place")
     # answers of equal query vectors are the same but for their own ids
-    queries = prepared.filter("query").select(F.col("vec_id").alias("query_id"), "vector").distinct()
+    queries = prepared.filter("query").select(F.col("vec_id").alias("query_id"), "vector")
     answers = queries.join(asked.select("vector", F.col("vec_id").alias("asked")), "vector").select("query_id", "asked").join(merged, "asked")
     own = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = answers.filter("query_id <> vec_id").withColumn("rank", F.row_number().over(own)).filter(F.col("rank") <= k)

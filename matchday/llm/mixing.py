@@ -55,12 +55,22 @@ def targets(sizes: list[tuple[str | None, int]], cap: float = 3.0, cycle: tuple[
 
 def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take so that their sizes sum to
-    ``budget`` or as near as the method finds; at most ``counts`` of each."""
+    ``budget`` or as near as the method finds; at most ``counts`` of each.
+
+    The better of filling the budget and of leaving out the rest: a document
+    longer than the budget can only be met from above.
+    """
     total = int(sizes @ counts)
     if budget <= 0 or total == 0:
         return np.zeros_like(counts)
     if budget >= total:
         return counts.copy()
+    ways = [_fill(sizes, counts, budget), counts - _fill(sizes, counts, total - budget)]
+    return min(ways, key=lambda taken: abs(int(sizes @ taken) - budget))
+
+
+def _fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    total = int(sizes @ counts)
     taken = (counts * (budget / total)).astype(np.int64)
     left = budget - int(sizes @ taken)
     for i in np.argsort(-sizes, kind="stable"):  # long documents while they fit
@@ -72,7 +82,7 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
             taken[i] += more
             left -= more * int(sizes[i])
     # bounded knapsack: bit k of a set is on if the sum k can be reached
-    goal = min(left, KNAPSACK) + int(sizes[sizes > 0].min())
+    goal = min(left, KNAPSACK) + KNAPSACK  # somewhat more than the budget is near it, too
     mask = (1 << (goal + 1)) - 1
     reach, steps = [1], []
     for i in np.argsort(-sizes, kind="stable"):

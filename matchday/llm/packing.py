@@ -69,7 +69,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int |
 def nonnegative_least_squares(matrix: np.ndarray, goal: np.ndarray, rounds: int) -> np.ndarray:
     """x >= 0 that minimises |matrix x - goal|, by the active-set method."""
     x, active = np.zeros(matrix.shape[1]), np.zeros(matrix.shape[1], bool)
-    enough = 1e-9 * max(1.0, np.abs(matrix.T @ goal).max())
+    enough = 1e-9 * max(1.0, np.abs(matrix.T @ goal).max(initial=0))
+    rounds = rounds if len(x) else 0
     for _ in range(rounds):
         slope = matrix.T @ (goal - matrix[:, active] @ x[active])
         slope[active] = -np.inf

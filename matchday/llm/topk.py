@@ -170,7 +170,14 @@ def top_k(
     if not count:
         return spark.createDataFrame([], schema)
     columns = max(1, -(-count // queries))
-    asked = asked.withColumn("column", F.pmod(F.xxhash64("vec_id"), F.lit(columns)).cast("int"))
+    asked = written(
+        asked.select(
+            F.col("vec_id").alias("query_id"),
+            F.col("vector").alias("asked"),
+            F.pmod(F.xxhash64("vec_id"), F.lit(columns)).cast("int").alias("column"),
+        ),
+        "queries",
+    )
 
     def search(blocks: DataFrame, asked: DataFrame) -> DataFrame:
         """Every block against every column of queries, a group each."""
@@ -185,10 +192,10 @@ def top_k(
                 return pa.table({c: pa.array([], pa.int64()) for c in ("query_id", "vec_id", "score")})
             ids = rows.column("vec_id").to_numpy()
             order = np.lexsort((ids, -rows.column("length").to_numpy()))
-            query_ids = wanted.column("vec_id").to_numpy()
+            query_ids = wanted.column("query_id").to_numpy()
             q, v, score = _search(
                 floats(rows.column("vector").combine_chunks())[order], ids[order],
-                floats(wanted.column("vector").combine_chunks()), query_ids,
+                floats(wanted.column("asked").combine_chunks()), query_ids,
                 wanted.column("least").to_numpy(), sent.value, head, k,
             )
             return pa.table({"query_id": query_ids[q], "vec_id": v, "score": score})
@@ -203,10 +210,8 @@ def top_k(
     unknown = F.lit(float("-inf"))
     first = ordered.filter("block = 0").select("block", "vec_id", "vector", "length")
     found = written(search(first, asked.withColumn("least", unknown)), "first")
-    reached = ranked(found).filter(F.col("rank") == k).select(
-        F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("least")
-    )
+    reached = ranked(found).filter(F.col("rank") == k).select("query_id", F.col("score").cast("double").alias("least"))
     others = ordered.filter("block > 0").select("block", "vec_id", "vector", "length")
-    bounded = asked.join(reached, "vec_id", "left").withColumn("least", F.coalesce("least", unknown))
-    found = found.union(search(others, bounded.select("vec_id", "vector", "column", "least")))
+    bounded = asked.join(reached, "query_id", "left").withColumn("least", F.coalesce("least", unknown))
+    found = found.union(search(others, bounded))
     return ranked(found).select("query_id", "rank", "vec_id", "score")
