@@ -16,10 +16,9 @@ from __future__ import annotations
 import gc
 import os
 import re
+from array import array
 from collections.abc import Iterable
 
-import numpy as np
-
 # The published pre-tokenization pattern of byte_bpe_50k, with its
 # classes of letters, numbers and spaces written out for the range below.
 _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
@@ -30,7 +29,7 @@ _PIECE = re.compile(
 )
 _UNSURE = re.compile("[^ -~\t\n\r¡-¬®-ɏ‐-‧]")
 #: Pieces that a task remembers; it starts anew beyond.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 
 
 class PieceEncoder:
@@ -45,11 +44,10 @@ class PieceEncoder:
             raise ValueError("a byte-level tokenizer without a normalizer is needed")
         special = {t.content: i for i, t in self._library.get_added_tokens_decoder().items()}
         self._special = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True)))) if special else None
-        self._ids = {w: np.array([i], "<u4").tobytes() for w, i in special.items()}
-        self._known: dict[str, bytes] = {}
+        self._ids = {w: array("I", [i]).tobytes() for w, i in special.items()}
+        self._known = _Memory(self._ids)
         #: Code points of the longest special string.
         self.margin = max([4, *map(len, special)])
-        gc.freeze()
 
     def cut(self, text: str) -> list[str]:
         """The pieces of a text, in order; joined they are the text."""
@@ -68,23 +66,39 @@ class PieceEncoder:
 
     def encode(self, cut: Iterable[list[str]]) -> list[list[bytes]]:
         """Ids (little-endian unsigned 32 bits) of each piece of each text."""
-        cut = list(cut)
-        new = set()
-        for pieces in cut:
-            new.update(pieces)
-        new.difference_update(self._known)
-        if new:
-            if len(self._known) > REMEMBERED:
-                self._known.clear()
-                new = set().union(*cut)
-            if len(self._known) == 0:
-                self._known.update(self._ids)
-            new = [p for p in new if p not in self._known]
-            for piece, found in zip(new, self._library.encode_batch_fast(new, add_special_tokens=False)):
-                self._known[piece] = np.array(found.ids, "<u4").tobytes()
-        lookup = self._known.__getitem__
-        return [list(map(lookup, pieces)) for pieces in cut]
+        if len(self._known) > REMEMBERED:
+            self._known = _Memory(self._ids)
+        known, lookup = self._known, self._known.__getitem__
+        collecting = gc.isenabled()
+        gc.disable()  # many short lists, no cycles: the collector would only search them
+        try:
+            cut = list(cut)
+            found = [list(map(lookup, pieces)) for pieces in cut]
+            new, known.new = known.new, []
+            for piece, encoded in zip(new, self._library.encode_batch_fast(new, add_special_tokens=False)):
+                known[piece] = array("I", encoded.ids).tobytes()
+            for pieces, ids in zip(cut, found):
+                at = -1
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, at + 1)
+                    ids[at] = known[pieces[at]]
+            return found
+        finally:
+            if collecting:
+                gc.enable()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of whole texts."""
         return list(map(b"".join, self.encode(map(self.cut, texts))))
+
+
+class _Memory(dict):
+    """Ids by piece; a piece that isn't known is noted and its ids are None."""
+
+    def __init__(self, known: dict[str, bytes]) -> None:
+        super().__init__(known)
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> None:
+        self[piece] = None
+        self.new.append(piece)
