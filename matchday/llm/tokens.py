@@ -35,7 +35,7 @@ def count_chunked(text: str, encoder: PieceEncoder, chunk: int = CHUNK, overlap:
     def encoded(begin: int, end: int) -> tuple[list[int], list[int]]:
         pieces = encoder.cut(text[begin:end])
         ids = encoder.encode([pieces])[0]
-        return list(accumulate(map(len, pieces), initial=begin)), [0, *accumulate(len(x) // 4 for x in ids)]
+        return list(accumulate(map(len, pieces), initial=begin)), list(accumulate(map(len, ids), initial=0))
 
     total, begin, end = 0, 0, min(len(text), chunk)
     ends, sums = encoded(begin, end)  # begin is a true boundary
@@ -59,7 +59,7 @@ def count_chunked(text: str, encoder: PieceEncoder, chunk: int = CHUNK, overlap:
         begin = ends[common]
         at = next_ends.index(begin)
         ends, sums, end = next_ends[at:], [x - next_sums[at] for x in next_sums[at:]], stop
-    return total + sums[-1]
+    return (total + sums[-1]) // 4  # an id has 4 bytes
 
 
 def count(docs: DataFrame, tokenizer: str, limit: int = 1024, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
