@@ -86,6 +86,7 @@ class Curves:
     centres: list[np.ndarray]
     scales: list[np.ndarray]
     shifts: list[np.ndarray]
+    factors: list[int]
     bits: int
 
     @staticmethod
@@ -101,19 +102,21 @@ class Curves:
             [mean @ a for a in axes],
             [np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", a, spread, a), 1e-12)) for a in axes],
             [rng.random(a.shape[1]) for a in axes],
+            [int(x) | 1 for x in rng.integers(1 << 62, 1 << 63, len(axes))],
             settings.bits,
         )
 
     def keys(self, vectors: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """A row of keys for each curve; equal positions are told apart by a
-        hash of the id, so that copies fill as many blocks as they need."""
-        noise = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+        hash of the id, another on each curve, so that near copies fill as many
+        blocks as they need and meet others of them on every curve."""
         out = np.empty((len(self.axes), len(vectors)), np.int64)
         for t, (axes, centre, scale, shift) in enumerate(zip(self.axes, self.centres, self.scales, self.shifts)):
+            noise = (ids.astype(np.uint64) ^ np.uint64(t)) * np.uint64(self.factors[t]) >> np.uint64(44)
             z = np.clip((vectors @ axes - centre) / scale, -30, 30)
             share = 1 / (1 + np.exp(-1.702 * z))  # about the normal distribution function
             cells = np.floor(share * ((1 << self.bits) - 1) + shift).astype(np.uint32)
-            out[t] = hilbert_keys(np.minimum(cells, (1 << self.bits) - 1), self.bits) << 20 | noise
+            out[t] = hilbert_keys(np.minimum(cells, (1 << self.bits) - 1), self.bits) << 20 | noise.astype(np.int64)
         return out
 
 
