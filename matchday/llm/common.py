@@ -51,7 +51,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_slices(batch: pa.RecordBatch, name: str, max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batch: pa.RecordBatch, name: str, max_bytes: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """Zero-copy slices of a batch with about ``max_bytes`` of text in column
     ``name`` each, one row at least, so that work space does not depend on the
     batch size."""

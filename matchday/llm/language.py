@@ -24,7 +24,7 @@ from matchday.llm.common import field, map_text, ship, text_slices
 
 ORDERS = (1, 2, 3)
 #: Longer texts are hashed in pieces of so many code points.
-PIECE = 1 << 20
+PIECE = 1 << 18
 UNKNOWN = "und"
 
 
