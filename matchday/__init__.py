@@ -11,11 +11,10 @@ Layout
 ``operators``  the user-level operators (results, standings, passing, top-n,
                presence, plus-minus, measurements, classification, evaluation)
 ``plans``      end-to-end queries (sf_dir -> DataFrame) and their SQL oracles
-``streaming``  the aggregating operators run incrementally over a file stream
 
 ``python -m matchday --list`` lists the registered queries and runs any of
-them; ``python -m matchday.plans.check <dir>`` compares every query with its
-SQL oracle.
+them.  ``llm`` holds the operations of a training-data pipeline; nothing else
+in the library imports it.
 """
 
 from matchday.session import build_session, checkpoint_dir

@@ -4,7 +4,6 @@ from matchday.operators.classify import (
     fit_label_index,
     label_index_map,
     naive_bayes_job,
-    prepare_features,
     random_forest_job,
     split_rows,
     with_split,
@@ -33,12 +32,7 @@ from matchday.operators.presence import (
 )
 from matchday.operators.results import match_results, team_match_rows
 from matchday.operators.standings import competition_totals, league_table, season_standings
-from matchday.operators.summary import (
-    best_teams_from_events,
-    match_goal_summary,
-    match_summary,
-    plus_minus_from_events,
-)
+from matchday.operators.summary import best_teams_from_events, match_summary
 from matchday.operators.topn import (
     best_teams,
     bottom_n_per_group,
@@ -62,9 +56,7 @@ __all__ = [
     "experiment_report",
     "first_n_per_group",
     "best_teams_from_events",
-    "match_goal_summary",
     "match_summary",
-    "plus_minus_from_events",
     "fit_label_index",
     "goal_minutes",
     "label_index_map",
@@ -84,7 +76,6 @@ __all__ = [
     "player_presence",
     "presence_rows",
     "plus_minus",
-    "prepare_features",
     "random_forest_job",
     "season_standings",
     "split_rows",

@@ -12,10 +12,10 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import int_div
@@ -74,46 +74,33 @@ def fit_label_index(df: DataFrame, label: str) -> StringIndexerModel:
     ).fit(df)
 
 
-def label_index_map(df: DataFrame, label: str, indexer: StringIndexerModel | None = None) -> DataFrame:
-    """The label index with row counts, computed by indexing every row on the
-    executors and aggregating.
+def label_index_map(df: DataFrame, label: str) -> DataFrame:
+    """The label index with row counts, from one scan: rows are counted per
+    label, and the few labels numbered by descending count (ties by label
+    text), as ``fit_label_index`` does.
 
     Output: <label>, label_index double, n bigint.
     """
-    indexer = indexer or fit_label_index(df, label)
-    return indexer.transform(df.select(label)).groupBy(label, LABEL_INDEX).agg(F.count(F.lit(1)).alias("n"))
-
-
-def prepare_features(
-    df: DataFrame, features: Sequence[str], label: str
-) -> tuple[VectorAssembler, StringIndexerModel]:
-    """Feature assembler and label indexer (fit on all rows) for a pipeline."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
-    return assembler, fit_label_index(df, label)
-
-
-def training_layout(df: DataFrame) -> DataFrame:
-    """Give a training input enough partitions for every core, in a fixed order.
-
-    Tree training makes one pass over its input per tree level, each pass one
-    task per partition, so an input that arrives in fewer partitions than the
-    cluster has cores (a single large file, a small table) trains on a few
-    cores.  Such an input is dealt round-robin into one partition per core
-    (even sizes, whatever the values: a row repeated a million times does not
-    pile up in one partition as it would under hash partitioning) and sorted
-    within partitions, which fixes the row order that bootstrap sampling
-    sees, so a seeded forest comes out the same on every run.  An input that
-    already has enough partitions is returned unchanged (no extra shuffle at
-    scale).
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy(F.desc("n"), F.col(label).cast("string"))
+    return counts.select(label, (F.row_number().over(order) - 1).cast("double").alias(LABEL_INDEX), "n")
+
+
+#: Partitions of a training input.  Bootstrap samples are drawn by partition
+#: and row position, so this number is part of a seeded forest's definition,
+#: like the seed: raise it with the data, and expect another forest.
+TRAINING_PARTITIONS = 16
+
+
+def training_layout(df: DataFrame, partitions: int = TRAINING_PARTITIONS) -> DataFrame:
+    """The rows in a fixed order over a fixed number of partitions.
+
+    Rows are dealt by a hash of all columns and sorted by all columns within a
+    partition.  The layout is a function of the rows and ``partitions`` alone,
+    whatever the cores, the input files or the order of the rows, and so is a
+    seeded forest trained on it.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no SparkContext; leave the layout to the server
-        return df
-    if partitions >= cores:
-        return df
-    return df.repartition(cores).sortWithinPartitions(*df.columns)
+    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
 
 
 @contextmanager
@@ -127,37 +114,69 @@ def persisted(df: DataFrame):
         df.unpersist()
 
 
-def _fit_and_score(
+def fit_input(df: DataFrame, features: Sequence[str], label: str, split: dict, partitions: int) -> DataFrame:
+    """The columns a fit needs; laid out for the random split, which draws by
+    position, so that fitting and scoring draw the same rows."""
+    cols = [*features, label]
+    if split.get("method", "key") == "key":
+        cols.append(split.get("key", "time"))
+    data = df.select(*dict.fromkeys(cols))
+    return data if split.get("method", "key") == "key" else training_layout(data, partitions)
+
+
+def fit_model(
     df: DataFrame,
     features: Sequence[str],
     label: str,
     estimator,
-    split: dict | None,
-    multi_pass: bool,
+    split: dict | None = None,
     indexer: StringIndexerModel | None = None,
-    cache: bool = True,
-) -> DataFrame:
+    partitions: int = TRAINING_PARTITIONS,
+    cache: bool = False,
+    suffix: str = "",
+) -> PipelineModel:
+    """Fit assembler, label index and classifier on the train part.
+
+    ``cache`` keeps the laid-out train part for the fit: worth it for trees,
+    which read it once a level, not for naive Bayes, which reads it once.
+    ``suffix`` sets apart the columns of several models on one table.
+    """
     split = dict(split or {})
-    cols = [*features, label]
-    if split.get("method", "key") == "key":
-        cols.append(split.get("key", "time"))
-    data = df.select(*dict.fromkeys(cols))
+    data = fit_input(df, features, label, split, partitions)
+    label_indexer = indexer or fit_label_index(data, label)
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES + suffix)
+    train = split_rows(data, **split)[0]
+    stages = [assembler, label_indexer, estimator]
+    if not cache:
+        return Pipeline(stages=stages).fit(train)
+    with persisted(training_layout(train, partitions)) as laid:
+        return Pipeline(stages=stages).fit(laid)
+
+
+def forest(num_trees: int = 8, seed: int = 1, suffix: str = "") -> RandomForestClassifier:
+    """A random forest of 8 trees, Spark's defaults otherwise.
+
+    The seed is explicit: left unset, PySpark derives it from a per-process
+    string hash and the forest changes between driver processes.
+    """
+    return RandomForestClassifier(
+        featuresCol=FEATURES + suffix, labelCol=LABEL_INDEX, numTrees=num_trees, seed=seed, **_outputs(suffix)
+    )
+
+
+def bayes(smoothing: float = 1.0, suffix: str = "") -> NaiveBayes:
+    """Multinomial naive Bayes; features must be non-negative."""
+    return NaiveBayes(
+        featuresCol=FEATURES + suffix, labelCol=LABEL_INDEX, modelType="multinomial", smoothing=smoothing, **_outputs(suffix)
+    )
 
-    def fit(source: DataFrame):
-        label_indexer = indexer or fit_label_index(source, label)
-        assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
-        return Pipeline(stages=[assembler, label_indexer, estimator]).fit(split_rows(source, **split)[0])
 
-    if cache:
-        # indexing and training read the input several times: compute the
-        # projected input once and keep it for the fit
-        with persisted(training_layout(data) if multi_pass else data) as cached:
-            model = fit(cached)
-    else:
-        # the caller already holds the input cached and laid out
-        model = fit(data)
-    # scoring is one pass; rows are scored where they are
-    return model.transform(split_rows(data, **split)[1])
+def _outputs(suffix: str) -> dict[str, str]:
+    return {
+        "predictionCol": "prediction" + suffix,
+        "probabilityCol": "probability" + suffix,
+        "rawPredictionCol": "rawPrediction" + suffix,
+    }
 
 
 def random_forest_job(
@@ -167,22 +186,15 @@ def random_forest_job(
     num_trees: int = 8,
     seed: int = 1,
     split: dict | None = None,
-    indexer: StringIndexerModel | None = None,
-    cache: bool = True,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
-    """Train a random forest (8 trees, Spark defaults otherwise) on the train
-    part and score the test part.
-
-    The seed is explicit: left unset, PySpark derives it from a per-process
-    string hash and the forest changes between driver processes.  A label
-    indexer fitted on all rows may be passed in (it is the same for every
-    run on one label); ``cache=False`` when the caller holds ``df`` cached.
+    """Train a random forest on the train part and score the test part.
 
     Output: the test rows with features, label_index, rawPrediction,
     probability, prediction.
     """
-    rf = RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL_INDEX, numTrees=num_trees, seed=seed)
-    return _fit_and_score(df, features, label, rf, split, multi_pass=True, indexer=indexer, cache=cache)
+    model = fit_model(df, features, label, forest(num_trees, seed), split, partitions=partitions, cache=True)
+    return model.transform(split_rows(fit_input(df, features, label, dict(split or {}), partitions), **(split or {}))[1])
 
 
 def naive_bayes_job(
@@ -191,13 +203,12 @@ def naive_bayes_job(
     label: str,
     smoothing: float = 1.0,
     split: dict | None = None,
-    indexer: StringIndexerModel | None = None,
-    cache: bool = True,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
     """Train multinomial naive Bayes (smoothing 1) on the train part and score
     the test part.  Features must be non-negative (see ``nonnegative_rows``).
 
     Output: as ``random_forest_job``.
     """
-    nb = NaiveBayes(featuresCol=FEATURES, labelCol=LABEL_INDEX, modelType="multinomial", smoothing=smoothing)
-    return _fit_and_score(df, features, label, nb, split, multi_pass=False, indexer=indexer, cache=cache)
+    model = fit_model(df, features, label, bayes(smoothing), split, partitions=partitions)
+    return model.transform(split_rows(fit_input(df, features, label, dict(split or {}), partitions), **(split or {}))[1])

@@ -16,17 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import cyclic_within, half_up_ratio
-from pyspark.ml.feature import StringIndexerModel
-
 from matchday.operators.classify import (
     LABEL_INDEX,
+    TRAINING_PARTITIONS,
+    bayes,
+    fit_input,
     fit_label_index,
-    naive_bayes_job,
-    persisted,
-    random_forest_job,
-    training_layout,
+    fit_model,
+    forest,
+    split_rows,
 )
-from matchday.session import checkpoint_dir
+from matchday.schemas import MEASUREMENT_FEATURES
 
 # English day names, Monday first, for calendar-order distances.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
@@ -55,9 +55,14 @@ def index_labels(preds: DataFrame, index_col: str = LABEL_INDEX) -> list[str]:
 
 def calendar_number(text: Column) -> Column:
     """Calendar position of a label given as text: the number itself for
-    month/hour, 0-6 (Monday first) for an English day name."""
+    month/hour, 0-6 (Monday first) for an English day name, else null."""
     names = F.array(*[F.lit(d) for d in WEEKDAYS])
-    return F.coalesce(text.try_cast("int"), (F.array_position(names, text) - 1).cast("int"))
+    return F.coalesce(text.try_cast("int"), (F.nullif(F.array_position(names, text), F.lit(0)) - 1).cast("int"))
+
+
+def is_calendar_value(text: str) -> bool:
+    """Whether ``calendar_number`` knows the label."""
+    return text in WEEKDAYS or text.lstrip("+-").isdigit()
 
 
 def evaluate_predictions(
@@ -82,31 +87,47 @@ def evaluate_predictions(
 
     Output (one row): n_test bigint, correct, within_one, within_two, avg_prob.
     """
+    label, prediction = _compared(preds, order, label_col, prediction_col)
+    counts, metrics = _metrics(label, prediction, F.col(label_col), F.col(probability_col), cycle)
+    return preds.agg(F.count(F.lit(1)).alias("n_test"), *counts).select("n_test", *metrics)
+
+
+def _compared(preds: DataFrame, order: str, label_col: str, prediction_col: str) -> tuple[Column, Column]:
+    """True and predicted label as the numbers whose distance counts."""
     label, prediction = F.col(label_col), F.col(prediction_col)
-    if order == "calendar":
-        values = F.array(*[F.lit(v) for v in index_labels(preds, label_col)])
-        label = calendar_number(F.element_at(values, label.cast("int") + 1))
-        prediction = calendar_number(F.element_at(values, prediction.cast("int") + 1))
-    elif order != "frequency":
+    if order == "frequency":
+        return label, prediction
+    if order != "calendar":
         raise ValueError(f"unknown order {order!r}")
-    true_prob = F.coalesce(
-        F.get(vector_to_array(F.col(probability_col)), F.col(label_col).cast("int")), F.lit(0.0)
-    )
-    counts = preds.agg(
-        F.count(F.lit(1)).alias("n_test"),
-        F.count_if(label == prediction).alias("_correct"),
-        F.count_if(cyclic_within(label, prediction, cycle, 1)).alias("_one"),
-        F.count_if(cyclic_within(label, prediction, cycle, 2)).alias("_two"),
-        F.avg(true_prob).alias("_prob"),
-    )
+    known = index_labels(preds, label_col)
+    strange = [v for v in known if not is_calendar_value(v)]
+    if strange:
+        raise ValueError(f"labels without a place in the calendar: {strange}")
+    values = F.array(*[F.lit(v) for v in known])
+    return tuple(calendar_number(F.element_at(values, x.cast("int") + 1)) for x in (label, prediction))
+
+
+def _metrics(
+    label: Column, prediction: Column, index: Column, probability: Column, cycle: int, suffix: str = ""
+) -> tuple[list[Column], list[Column]]:
+    """The aggregates over prediction rows, and the four metrics from them and
+    ``n_test``."""
+    true_prob = F.coalesce(F.get(vector_to_array(probability), index.cast("int")), F.lit(0.0))
+    correct, one, two, prob = (f"_{x}{suffix}" for x in ("correct", "one", "two", "prob"))
+    counts = [
+        F.count_if(label == prediction).alias(correct),
+        F.count_if(cyclic_within(label, prediction, cycle, 1)).alias(one),
+        F.count_if(cyclic_within(label, prediction, cycle, 2)).alias(two),
+        F.avg(true_prob).alias(prob),
+    ]
     n = F.col("n_test")
-    return counts.select(
-        "n_test",
-        half_up_ratio("_correct", n, digits=2, scale=100).alias("correct"),
-        half_up_ratio("_one", n, digits=2, scale=100).alias("within_one"),
-        half_up_ratio("_two", n, digits=2, scale=100).alias("within_two"),
-        F.round("_prob", 4).alias("avg_prob"),
-    )
+    metrics = [
+        half_up_ratio(correct, n, digits=2, scale=100).alias("correct"),
+        half_up_ratio(one, n, digits=2, scale=100).alias("within_one"),
+        half_up_ratio(two, n, digits=2, scale=100).alias("within_two"),
+        F.round(prob, 4).alias("avg_prob"),
+    ]
+    return counts, metrics
 
 
 def model_report(
@@ -143,15 +164,7 @@ class Run:
 
 
 # The feature sets and runs of the experiment.
-ALL_SEVEN = (
-    "temperature",
-    "humidity",
-    "wind_speed",
-    "power_tenants",
-    "power_maintenance",
-    "power_solar_panels",
-    "electricity_price",
-)
+ALL_SEVEN = tuple(MEASUREMENT_FEATURES)
 WEATHER = ("temperature", "humidity", "wind_speed")
 POWER = ("power_tenants", "power_maintenance", "power_solar_panels")
 
@@ -170,22 +183,6 @@ WEEKDAY_RUNS = [
 ]
 
 
-def predictions_for(
-    df: DataFrame,
-    run: Run,
-    split: dict | None = None,
-    seed: int = 1,
-    indexer: StringIndexerModel | None = None,
-    cache: bool = True,
-) -> DataFrame:
-    """Train the run's classifier and score its test part."""
-    if run.classifier == "random_forest":
-        return random_forest_job(df, run.features, run.label, seed=seed, split=split, indexer=indexer, cache=cache)
-    if run.classifier == "naive_bayes":
-        return naive_bayes_job(df, run.features, run.label, split=split, indexer=indexer, cache=cache)
-    raise ValueError(f"unknown classifier {run.classifier!r}")
-
-
 def compare_models(*reports: DataFrame) -> DataFrame:
     """Report rows of several models, one table, in the order given."""
     tagged = [r.withColumn("_part", F.lit(i)) for i, r in enumerate(reports)]
@@ -198,38 +195,65 @@ def experiment_report(
     order: str = "frequency",
     split: dict | None = None,
     parallelism: int = 1,
+    seed: int = 1,
+    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
     """One report row per run, in run order.
 
-    The runs are a short driver-side list; each run's indexing, training and
-    scoring are distributed jobs.  With ``parallelism > 1`` up to that many
-    runs are fitted at the same time from a thread pool, as
-    ``CrossValidator(parallelism=...)`` does: Spark's scheduler is
-    thread-safe, and concurrent fits fill the gaps each fit leaves while the
-    driver chooses splits.  The prepared input is persisted for the runs
-    (recomputed from its lineage if an executor is lost) and each one-row
-    report is checkpointed to the session's checkpoint directory, so the
-    returned table no longer depends on the cached input or the models.
+    The runs are a short driver-side list.  Each is fitted by distributed
+    jobs, up to ``parallelism`` at the same time from a thread pool, as
+    ``CrossValidator(parallelism=...)`` does; each forest being fitted keeps
+    its train part in memory or on local disk, so that many train parts must
+    fit there.  All models then score the test part in one scan, each into its
+    own columns; one aggregation gives every metric of every run, and its row
+    is turned into one row per run.
     """
-    columns = sorted({c for r in runs for c in (*r.features, r.label)} | {(split or {}).get("key", "time")})
-    checkpoint_dir(df.sparkSession)
-
-    with persisted(training_layout(df.select(*columns))) as data:
-        # one label index per label, shared by the runs on that label
-        indexers = {label: fit_label_index(data, label) for label in dict.fromkeys(r.label for r in runs)}
-
-        def one(position: int, run: Run) -> DataFrame:
-            preds = predictions_for(data, run, split, indexer=indexers[run.label], cache=False)
-            report = model_report(preds, run.classifier, run.features, run.label, order=order)
-            # a reliable checkpoint writes its files in a second job; with the
-            # (one-row) report cached, that job reads the cache instead of
-            # scoring the test rows again
-            with persisted(report.withColumn("_run", F.lit(position))) as row:
-                return row.checkpoint(eager=True)
-
-        if parallelism > 1 and len(runs) > 1:
-            with ThreadPoolExecutor(max_workers=min(parallelism, len(runs))) as pool:
-                rows = list(pool.map(lambda item: one(*item), enumerate(runs)))
-        else:
-            rows = [one(position, run) for position, run in enumerate(runs)]
-    return reduce(DataFrame.unionByName, rows).orderBy("_run").drop("_run")
+    split = dict(split or {})
+    columns = list(dict.fromkeys(c for r in runs for c in (*r.features, r.label)))
+    if split.get("method", "key") == "key":
+        columns.append(split.get("key", "time"))
+    data = df.select(*dict.fromkeys(columns))
+    # one label index per label, shared by the runs on that label
+    indexers = {
+        label: fit_label_index(data, label).setOutputCol(f"{LABEL_INDEX}_{label}") for label in dict.fromkeys(r.label for r in runs)
+    }
+
+    def fitted(position: int, run: Run):
+        suffix = f"_{position}"
+        if run.classifier not in CLASSIFIER_NAMES:
+            raise ValueError(f"unknown classifier {run.classifier!r}")
+        trees = run.classifier == "random_forest"
+        estimator = forest(seed=seed, suffix=suffix) if trees else bayes(suffix=suffix)
+        estimator = estimator.setLabelCol(f"{LABEL_INDEX}_{run.label}")
+        return fit_model(data, run.features, run.label, estimator, split, indexers[run.label], partitions, trees, suffix)
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool:
+        models = list(pool.map(lambda item: fitted(*item), enumerate(runs)))
+
+    features = list(dict.fromkeys(c for r in runs for c in r.features))
+    if split.get("method", "key") == "key":
+        test = split_rows(data, **split)[1]
+    else:  # drawn by position, hence from the layout of the fit
+        if len({(r.features, r.label) for r in runs}) > 1:
+            raise ValueError("a random split needs runs on the same columns")
+        test = split_rows(fit_input(data, features, runs[0].label, split, partitions), **split)[1]
+    for indexer in indexers.values():
+        test = indexer.transform(test)
+    aggregates, rows = [], []
+    for position, (run, model) in enumerate(zip(runs, models)):
+        assembler, _, classifier = model.stages
+        test = classifier.transform(assembler.transform(test))
+        suffix, index = f"_{position}", f"{LABEL_INDEX}_{run.label}"
+        label, prediction = _compared(test, order, index, f"prediction{suffix}")
+        cycle = parity_cycle(run.label) if order == "frequency" else calendar_cycle(run.label)
+        counts, metrics = _metrics(label, prediction, F.col(index), F.col(f"probability{suffix}"), cycle, suffix)
+        aggregates += counts
+        rows.append(
+            F.struct(
+                F.lit(CLASSIFIER_NAMES[run.classifier]).alias("classifier"),
+                F.lit(" ".join(run.features)).alias("input"),
+                F.lit(run.label).alias("label"),
+                *metrics,
+            )
+        )
+    return test.agg(F.count(F.lit(1)).alias("n_test"), *aggregates).select(F.inline(F.array(*rows)))

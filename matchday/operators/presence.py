@@ -9,8 +9,6 @@ match length and its join to the sheets.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,61 +112,67 @@ def lineup_rows(matches: DataFrame, events: DataFrame) -> DataFrame:
 # The interval array of one side, as one SQL expression (higher-order
 # functions with SQL lambdas): the same functions as the Column API, built on
 # the JVM in one call instead of one driver round trip per node.
-_STARTER = (
-    "named_struct('player_id', CAST(pid AS INT), 'start_minute', 0, 'end_minute', CAST({end} AS BIGINT))"
-)
-_SIDE_INTERVALS = f"""
+_STARTER = "named_struct('player_id', CAST(pid AS {id}), 'start_minute', 0, 'end_minute', CAST({end} AS BIGINT))"
+_SIDE_INTERVALS = """
 concat(
-  flatten(transform(coalesce(side.lineup, CAST(array() AS ARRAY<INT>)), pid ->
+  flatten(transform(coalesce(side.lineup, array()), pid ->
     CASE WHEN size(filter(match_subs, s -> s.player_out = pid)) > 0
-         THEN transform(filter(match_subs, s -> s.player_out = pid), s -> {_STARTER.format(end="s.minute")})
-         ELSE array({_STARTER.format(end="match_length")})
+         THEN transform(filter(match_subs, s -> s.player_out = pid), s -> {replaced})
+         ELSE array({whole})
     END)),
   transform(
     filter(array(side.substitution1, side.substitution2, side.substitution3), s -> s IS NOT NULL),
-    s -> named_struct('player_id', CAST(s.player_in AS INT), 'start_minute', CAST(s.minute AS INT),
+    s -> named_struct('player_id', CAST(s.player_in AS {id}), 'start_minute', CAST(s.minute AS INT),
                       'end_minute', CAST(match_length AS BIGINT))))
 """
+
+
+def _side_intervals(matches: DataFrame) -> Column:
+    """The expression with the id type of the sheets (the wider one, if sides
+    or line-ups and substitutions differ)."""
+    kinds = set()
+    for team in ("home_team_data", "away_team_data"):
+        sheet = matches.schema[team].dataType
+        kinds |= {sheet["lineup"].dataType.elementType.simpleString(), sheet["substitution1"].dataType["player_in"].dataType.simpleString()}
+    kind = kinds.pop() if len(kinds) == 1 else "bigint"
+    return F.expr(
+        _SIDE_INTERVALS.format(
+            id=kind,
+            replaced=_STARTER.format(id=kind, end="coalesce(s.minute, match_length)"),
+            whole=_STARTER.format(id=kind, end="match_length"),
+        )
+    )
+
+
 _MATCH_SUBS = (
     "filter(array(" + ", ".join(f"{side}.{sub}" for side in ("home_team_data", "away_team_data") for sub in _SUBS)
     + "), s -> s IS NOT NULL)"
 )
 
 
-def presence_rows(
-    matches: DataFrame, lengths: DataFrame, carry: Sequence[str] = ()
-) -> DataFrame:
+def presence_rows(matches: DataFrame, lengths: DataFrame) -> DataFrame:
     """Time-on-pitch intervals from match sheets joined to ``lengths``
-    (match_id, match_length and the columns named in ``carry``, which are
-    passed through to every interval row).
+    (match_id, match_length).
 
     Per side: every starter gets one interval per substitution that took
-    them off (``filter`` of the match's substitutions on ``player_out``) or,
-    if none did, one interval to the match length; every substitute gets one
-    interval from their minute to the match length.
+    them off (``filter`` of the match's substitutions on ``player_out``), to
+    its minute or, if that is null, to the match length; if none did, one
+    interval to the match length.  Every substitute gets one interval from
+    their minute to the match length.
 
-    Output: match_id, player_id, competition, season, player_team,
-    start_minute int, end_minute bigint, *carry.
+    Output: match_id, player_id (type of the sheets), competition, season,
+    player_team, start_minute int, end_minute bigint.
     """
-    carried = [F.col(c) for c in carry]
-    sides = _side_rows(matches, None, F.expr(_MATCH_SUBS).alias("match_subs"), *carried, lengths=lengths)
+    sides = _side_rows(matches, None, F.expr(_MATCH_SUBS).alias("match_subs"), lengths=lengths)
     rows = sides.select(
         "match_id",
         "competition",
         "season",
         F.col("side.team").alias("player_team"),
-        *carried,
-        F.inline(F.expr(_SIDE_INTERVALS)),
+        F.inline(_side_intervals(matches)),
     )
     return rows.select(
-        "match_id",
-        "player_id",
-        "competition",
-        "season",
-        "player_team",
-        "start_minute",
-        "end_minute",
-        *carried,
+        "match_id", "player_id", "competition", "season", "player_team", "start_minute", "end_minute"
     )
 
 
@@ -177,8 +181,8 @@ def player_presence(
 ) -> DataFrame:
     """Time-on-pitch interval per player and match, closed at both ends.
 
-    * Starter: from 0 to the minute of the substitution that took them off,
-      else to the match length.  A starter listed as replaced in several
+    * Starter: from 0 to the minute of the substitution that took them off (to
+      the match length if that minute is null), else to the match length.  A starter listed as replaced in several
       substitutions gets one interval per substitution.
     * Substitute: from the minute they came on to the match length (even if
       later replaced).
@@ -189,7 +193,8 @@ def player_presence(
     Match lengths come from ``events`` or, if known, from ``lengths``.
 
     Output: match_id, player_id, competition, season, player_team,
-    start_minute int, end_minute bigint, minutes bigint.
+    start_minute int, end_minute bigint, minutes bigint (null where a
+    substitute's minute is).
     """
     if lengths is None:
         if events is None:

@@ -1,23 +1,10 @@
-"""Single-pass plans for queries that need two things from the events.
+"""Single-pass plan for a query that needs two things from the events.
 
-The events table is the large one.  ``best_teams`` needs match results *and*
-pass counts; plus-minus needs match lengths *and* goal minutes.  Composed
-from the separate operators each query scans and aggregates the events twice
-(Catalyst prunes the two branches differently, so their exchanges are not
-reused).  The functions here compute both halves in one chain instead:
-
-* ``match_summary``: one aggregation per match with goals *and* pass counts
-  of both sides; ``best_teams_from_events`` runs results, standings, ratios
-  and the top-n report from it without a join.
-* ``match_goal_summary``: goals counted per (match, minute, side), then
-  folded into one row per match holding its length and its goal list;
-  ``plus_minus_from_events`` joins that row to the match sheet once and scores
-  every time-on-pitch interval inside the row.
-
-Both keep map-side partial aggregation before the first shuffle.  A match's
-goal list holds one entry per distinct (minute, scoring side), so it is
-bounded by twice the number of distinct goal minutes of one match, however
-many events or goals the match has.
+``best_teams`` needs match results *and* pass counts.  Composed from the
+separate operators it scans and aggregates the large events table twice.
+Here ``match_summary`` counts goals and passes of both sides in one
+aggregation per match, and ``best_teams_from_events`` runs results,
+standings, ratios and the top-n report from it without a join.
 """
 
 from __future__ import annotations
@@ -28,14 +15,10 @@ from pyspark.sql import functions as F
 from matchday.functions.columns import (
     ACCURATE_TAG,
     PASS_EVENT,
-    SECOND_HALF,
-    goal_minute,
     half_up_ratio,
     int_div,
     is_goal,
-    scoring_team,
 )
-from matchday.operators.presence import presence_rows
 from matchday.operators.results import MATCH_KEYS
 from matchday.operators.topn import top_teams_report
 from matchday.schemas import require_columns
@@ -101,55 +84,3 @@ def best_teams_from_events(events: DataFrame, n: int = 2, limit: int = 10) -> Da
         "pass_ratio", half_up_ratio(F.col("_cents"), F.col("_pass_matches") * 100, digits=2)
     ).drop("_cents", "_pass_matches")
     return top_teams_report(with_ratio, n, limit)
-
-
-def match_goal_summary(events: DataFrame) -> DataFrame:
-    """Per match with a second-half event: its length and its goals counted
-    per (minute, scoring side).
-
-    Output: match_id, match_length bigint,
-    goal_list array<struct<goal_minute bigint, scoring_team string, goals bigint>>.
-    """
-    require_columns(
-        events,
-        ["match_id", "home_team", "away_team", "event_team", "event", "tags", "event_period", "event_time"],
-        "events",
-    )
-    goal = is_goal()
-    per_minute = events.groupBy(
-        "match_id",
-        F.when(goal, goal_minute()).alias("goal_minute"),
-        F.when(goal, scoring_team()).alias("scoring_team"),
-    ).agg(
-        F.count_if(goal).alias("goals"),
-        F.max(F.when(F.col("event_period") == SECOND_HALF, F.col("event_time"))).alias("last_2h"),
-    )
-    entry = F.when(F.col("goals") > 0, F.struct("goal_minute", "scoring_team", "goals"))
-    per_match = per_minute.groupBy("match_id").agg(
-        F.max("last_2h").alias("last_2h"),
-        F.collect_list(entry).alias("goal_list"),  # nulls (non-goal rows) are skipped
-    )
-    return per_match.filter(F.col("last_2h").isNotNull()).select(
-        "match_id", F.ceil(F.col("last_2h") / 60 + 45).alias("match_length"), "goal_list"
-    )
-
-
-def plus_minus_from_events(matches: DataFrame, events: DataFrame) -> DataFrame:
-    """``plus_minus`` computed in one pass over the events (same output).
-
-    Every interval of ``player_presence`` is scored against the goal list of
-    its match inside the row; a player appears if at least one goal fell in
-    one of their intervals.
-    """
-    summary = match_goal_summary(events)
-    rows = presence_rows(matches, summary, carry=["goal_list"])
-    # goals of the match that fell inside this interval, and their signed sum
-    hits = "filter(goal_list, g -> g.goal_minute BETWEEN start_minute AND end_minute)"
-    signed = (
-        f"aggregate({hits}, CAST(0 AS BIGINT), "
-        "(acc, g) -> acc + CASE WHEN g.scoring_team = player_team THEN g.goals ELSE -g.goals END)"
-    )
-    per_player = rows.selectExpr("player_id", f"{signed} AS pm", f"size({hits}) AS n").groupBy("player_id").agg(
-        F.sum("pm").alias("plus_minus"), F.sum("n").alias("_hits")
-    )
-    return per_player.filter(F.col("_hits") > 0).select("player_id", "plus_minus")

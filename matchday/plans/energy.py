@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchday import operators as op
-from matchday.operators.evaluate import ALL_SEVEN, FOREST_RUNS, WEATHER, WEEKDAY_RUNS
+from matchday.operators.evaluate import ALL_SEVEN, FOREST_RUNS, WEATHER, WEEKDAY_RUNS, index_labels
 from matchday.sources.fixtures import measurements_view
 
 
@@ -48,6 +50,50 @@ def rf_predictions(spark: SparkSession, base: str) -> DataFrame:
     return preds.select("time", "month", "label_index", "prediction")
 
 
+def rf_scored_rows(spark: SparkSession, base: str) -> DataFrame:
+    """What must hold for every row that the month forest scores: its label
+    index, the number of classes, probabilities that sum to 1, and a
+    prediction that is the most probable class."""
+    preds = op.random_forest_job(month_hour_data(spark, base), ALL_SEVEN, "month")
+    p = vector_to_array("probability")
+    return preds.select(
+        "time",
+        "month",
+        "label_index",
+        F.size(p).alias("n_classes"),
+        F.round(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), 9).alias("prob_sum"),
+        (F.array_position(p, F.array_max(p)) - 1 == F.col("prediction")).alias("is_most_probable"),
+    )
+
+
+#: Labels of the prediction table of ``cyclic_accuracy`` and their cycles.
+CYCLES = {"month": 12, "hour": 24, "weekday": 7}
+
+
+def cyclic_accuracy(spark: SparkSession, base: str) -> DataFrame:
+    """The four metrics of arithmetic predictions of month, hour and weekday at
+    cycles 12, 24 and 7, with distances of label indices and in calendar order.
+
+    The predicted index is the true one moved by ``(time div 60) % 7 - 3``
+    around the classes, so that distances wrap; every class is given the same
+    probability."""
+    data = calendar_labels(spark, base)
+    reports = []
+    for label, cycle in CYCLES.items():
+        indexed = op.fit_label_index(data, label).transform(data.select("time", label))
+        classes = len(index_labels(indexed))
+        moved = F.pmod(F.col("label_index") + F.pmod(F.expr("time div 60"), F.lit(7)) - 3, F.lit(classes))
+        preds = indexed.select(
+            "label_index",
+            moved.cast("double").alias("prediction"),
+            array_to_vector(F.array_repeat(F.lit(1.0 / classes), classes)).alias("probability"),
+        )
+        for order in ("frequency", "calendar"):
+            metrics = op.evaluate_predictions(preds, cycle, order)
+            reports.append(metrics.select(F.lit(label).alias("label"), F.lit(order).alias("distance"), F.lit(cycle).alias("cycle"), "*"))
+    return reduce(DataFrame.unionByName, reports)
+
+
 def nb_predictions(spark: SparkSession, base: str) -> DataFrame:
     """Test rows of the weekday naive Bayes model: features, label, label
     index, predicted index and the probability given to the true class."""
@@ -68,6 +114,21 @@ def nb_calendar_report(spark: SparkSession, base: str) -> DataFrame:
     return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS[:1], order="calendar")
 
 
+def calendar_weather_data(spark: SparkSession, base: str) -> DataFrame:
+    """Cleaned rows with month, hour and weekday and non-negative weather."""
+    return op.nonnegative_rows(calendar_labels(spark, base), WEATHER)
+
+
+def nb_month_hour_reports(spark: SparkSession, base: str) -> DataFrame:
+    """Naive Bayes on month and on hour: distances between label indices, then
+    in calendar order, at the true cycles 12 and 24."""
+    data, runs = calendar_weather_data(spark, base), [op.Run("naive_bayes", WEATHER, label) for label in ("month", "hour")]
+    by_order = [
+        op.experiment_report(data, runs, order=order).withColumn("distance", F.lit(order)) for order in ("frequency", "calendar")
+    ]
+    return reduce(DataFrame.unionByName, by_order)
+
+
 # Runs fitted at the same time by the report queries (each run caches its own
 # training points, so memory use grows with this number).
 REPORT_PARALLELISM = 3
@@ -79,7 +140,5 @@ def rf_experiments(spark: SparkSession, base: str) -> DataFrame:
 
 def model_comparison(spark: SparkSession, base: str) -> DataFrame:
     """Naive Bayes row, then random forest row, for weekday from the weather
-    columns; both runs share one prepared input and are fitted together."""
-    report = op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS, parallelism=REPORT_PARALLELISM)
-    nb, rf = (report.filter(F.col("classifier") == op.CLASSIFIER_NAMES[r.classifier]) for r in WEEKDAY_RUNS)
-    return op.compare_models(nb, rf)
+    columns."""
+    return op.experiment_report(weekday_data(spark, base), WEEKDAY_RUNS, parallelism=REPORT_PARALLELISM)

@@ -10,7 +10,7 @@ a mismatch.
 
 Type rules: sums are cast to BIGINT (DuckDB gives HUGEINT), ``row_number``
 to INTEGER, ``ceil`` to BIGINT, calendar fields to INTEGER, to match Spark.
-Rounded ratios use exact integer half-up rounding, as the Spark operators do.
+Ratios are rounded as decimals, the Spark operators by exact integer division.
 """
 
 from __future__ import annotations
@@ -24,16 +24,25 @@ def _cte(name: str, deps: list[str], sql: str) -> None:
     _CTES[name] = (deps, sql.strip())
 
 
+# match number -> season, competition, home and away team; a shared team name
+_PARTS = """{m} // 450 AS s, {m} % 450 % 5 AS ci, ({m} % 450 // 5) // 9 AS hi,
+       (({m} % 450 // 5) // 9 + 1 + {m} % 450 // 5 % 9) % 10 AS ai"""
+
+
+def _team(number: str) -> str:
+    return f"CASE WHEN ci = 1 AND {number} = 0 THEN 'T0_0' ELSE 'T' || CAST(ci AS VARCHAR) || '_' || CAST({number} AS VARCHAR) END"
+
+
+_SEASON = "CAST(2017 + s AS VARCHAR) || '-' || CAST(2018 + s AS VARCHAR)"
+
 _cte(
     "fb_base",
     [],
-    """
+    f"""
 SELECT l_orderkey AS ok, l_partkey AS p, l_suppkey AS sk, l_linenumber AS ln,
        l_quantity AS q, l_linestatus AS ls,
-       CAST(l_orderkey % 450 AS INTEGER) // 90 AS ci,
-       (CAST(l_orderkey % 450 AS INTEGER) % 90) // 9 AS hi,
-       ((CAST(l_orderkey % 450 AS INTEGER) % 90) // 9 + 1 + CAST(l_orderkey % 450 AS INTEGER) % 9) % 10 AS ai,
-       CAST(l_orderkey % 450 AS INTEGER) AS m,
+       {_PARTS.format(m="(l_orderkey // 16)")},
+       l_orderkey // 16 AS m,
        (l_partkey + l_linenumber) % 50 AS r
 FROM lineitem
 """,
@@ -42,14 +51,13 @@ FROM lineitem
 _cte(
     "fb_events",
     ["fb_base"],
-    """
+    f"""
 SELECT m AS match_id,
        'L' || CAST(ci AS VARCHAR) AS competition,
-       '2017-2018' AS season,
-       'T' || CAST(ci AS VARCHAR) || '_' || CAST(hi AS VARCHAR) AS home_team,
-       'T' || CAST(ci AS VARCHAR) || '_' || CAST(ai AS VARCHAR) AS away_team,
-       CASE WHEN sk % 3 = 0 THEN 'T' || CAST(ci AS VARCHAR) || '_' || CAST(hi AS VARCHAR)
-            ELSE 'T' || CAST(ci AS VARCHAR) || '_' || CAST(ai AS VARCHAR) END AS event_team,
+       {_SEASON} AS season,
+       {_team("hi")} AS home_team,
+       {_team("ai")} AS away_team,
+       CASE WHEN sk % 3 = 0 THEN {_team("hi")} ELSE {_team("ai")} END AS event_team,
        CASE WHEN r < 2 THEN 'Save attempt' WHEN r < 40 THEN 'Pass' ELSE 'Duel' END AS event,
        CASE WHEN r < 2 AND (ok + sk) % 2 = 0 THEN 'Goal'
             WHEN r < 40 AND q > 10 THEN 'Accurate'
@@ -164,16 +172,16 @@ GROUP BY match_id, away_team, competition, season
 """,
 )
 
-# round(x, 2) of a non-negative rational a/b, half up, exactly:
-# (2*a*100 + b) // (2*b) / 100
+# decimal rounding, half up: ties are exact at twelve digits
+_ROUND2 = "round(CAST({x} AS DECIMAL(38, 12)), 2)"
+
 _cte(
     "fb_ratios",
     ["fb_pass_counts"],
-    """
+    f"""
 SELECT competition, team,
-       ((2 * sum(cents) + count(*)) // (2 * count(*))) / 100 AS pass_success_ratio
-FROM (SELECT competition, team,
-             (accurate_passes * 20000 + total_passes) // (2 * total_passes) AS cents
+       CAST({_ROUND2.format(x="CAST(sum(ratio) AS DOUBLE) / count(*)")} AS DOUBLE) AS pass_success_ratio
+FROM (SELECT competition, team, {_ROUND2.format(x="100.0 * accurate_passes / total_passes")} AS ratio
       FROM fb_pass_counts) per_match
 GROUP BY competition, team
 """,
@@ -193,27 +201,27 @@ GROUP BY match_id
 _cte(
     "fb_match_sides",
     [],
-    """
-SELECT m, 'home' AS side, m // 90 AS ci, (m % 90) // 9 AS tn
-FROM (SELECT DISTINCT CAST(o_orderkey % 450 AS INTEGER) AS m FROM orders) ids
+    f"""
+SELECT m, s, ci, 'home' AS side, hi AS tn, s * 50 + ci * 10 + hi AS tno
+FROM (SELECT m, {_PARTS.format(m="m")} FROM (SELECT DISTINCT o_orderkey // 16 AS m FROM orders) ids) home
 UNION ALL
-SELECT m, 'away' AS side, m // 90 AS ci, ((m % 90) // 9 + 1 + m % 9) % 10 AS tn
-FROM (SELECT DISTINCT CAST(o_orderkey % 450 AS INTEGER) AS m FROM orders) ids
+SELECT m, s, ci, 'away' AS side, ai AS tn, s * 50 + ci * 10 + ai AS tno
+FROM (SELECT m, {_PARTS.format(m="m")} FROM (SELECT DISTINCT o_orderkey // 16 AS m FROM orders) ids) away
 """,
 )
 
 _cte(
     "fb_sheet",
     ["fb_match_sides", "fb_length"],
-    """
-SELECT s.m AS match_id, s.m, s.side,
-       'L' || CAST(s.ci AS VARCHAR) AS competition,
-       '2017-2018' AS season,
-       'T' || CAST(s.ci AS VARCHAR) || '_' || CAST(s.tn AS VARCHAR) AS team,
-       s.ci * 10 + s.tn AS tno,
+    f"""
+SELECT x.m AS match_id, x.m, x.side,
+       'L' || CAST(x.ci AS VARCHAR) AS competition,
+       {_SEASON} AS season,
+       {_team("tn")} AS team,
+       x.tno,
        l.match_length
-FROM fb_match_sides s
-JOIN fb_length l ON l.match_id = s.m
+FROM fb_match_sides x
+JOIN fb_length l ON l.match_id = x.m
 """,
 )
 
@@ -222,10 +230,10 @@ _cte(
     ["fb_sheet"],
     """
 SELECT match_id,
-       CAST(tno * 100 + 11 + k AS INTEGER) AS player_id,
-       CAST(tno * 100 + 2 + (m + k * 3) % 10 AS INTEGER) AS player_out_id,
+       tno * 100 + 11 + k AS player_id,
+       tno * 100 + 2 + (m + k * 3) % 10 AS player_out_id,
        competition, season, team AS player_team,
-       CAST(46 + (m * 7 + k * 11) % 40 AS INTEGER) AS sub_minute,
+       CASE WHEN NOT (k = 2 AND m % 11 = 3) THEN CAST(46 + (m * 7 + k * 11) % 40 AS INTEGER) END AS sub_minute,
        match_length
 FROM fb_sheet, range(1, 4) AS t(k)
 WHERE NOT (k = 3 AND m % 3 = 0)
@@ -237,7 +245,7 @@ _cte(
     ["fb_sheet"],
     """
 SELECT match_id, competition, season, team AS player_team,
-       CAST(tno * 100 + n AS INTEGER) AS player_id,
+       tno * 100 + n AS player_id,
        match_length,
        0 AS start_minute
 FROM fb_sheet, range(1, 12) AS t(n)
@@ -267,16 +275,16 @@ FROM fb_subs
 _cte(
     "fb_players",
     ["fb_match_sides"],
-    """
-SELECT CAST((ci * 10 + tn) * 100 + n AS INTEGER) AS player_id,
+    f"""
+SELECT tno * 100 + n AS player_id,
        CASE WHEN n <> 9 THEN 'F' || CAST(n AS VARCHAR) END AS first_name,
-       'T' || CAST(ci AS VARCHAR) || '_' || CAST(tn AS VARCHAR) AS last_name,
+       {_team("tn")} AS last_name,
        CASE WHEN n <> 13 THEN 'A' || CAST(n % 4 AS VARCHAR) END AS birth_area,
        CASE WHEN n IN (1, 12) THEN 'Goalkeeper'
             WHEN n BETWEEN 2 AND 5 THEN 'Defender'
             WHEN n BETWEEN 6 AND 9 OR n = 13 THEN 'Midfielder'
             ELSE 'Attacker' END AS role
-FROM (SELECT DISTINCT ci, tn FROM fb_match_sides) teams, range(1, 16) AS t(n)
+FROM (SELECT DISTINCT ci, tn, tno FROM fb_match_sides) teams, range(1, 16) AS t(n)
 """,
 )
 
@@ -408,7 +416,7 @@ WHERE rn = 1
     "best_teams": with_views(
         f"""
 SELECT team, competition, pos, pld, w, d, l, gf, ga, {_SIGNED_GD} AS gd, pts,
-       ((200 * pts + pld) // (2 * pld)) / 100 AS "avg",
+       CAST({_ROUND2.format(x="CAST(pts AS DOUBLE) / pld")} AS DOUBLE) AS "avg",
        pass_ratio
 FROM (SELECT t.*, r.pass_success_ratio AS pass_ratio,
              CAST(row_number() OVER (PARTITION BY t.competition ORDER BY t.pts DESC, t.gd DESC, t.gf DESC, t.team ASC) AS INTEGER) AS pos
@@ -501,28 +509,36 @@ def all_oracles() -> dict[str, str]:
 # Score of class c: log prior + sum_j x_j * log theta_cj, smoothing 1.
 
 _cte(
-    "nb_index",
-    ["fb_weekday"],
-    """
-SELECT weekday, row_number() OVER (ORDER BY n DESC, weekday ASC) - 1 AS label_index
-FROM (SELECT weekday, count(*) AS n FROM fb_weekday GROUP BY weekday) counts
-""",
+    "fb_weather",
+    ["fb_calendar"],
+    "SELECT * FROM fb_calendar WHERE temperature >= 0 AND humidity >= 0 AND wind_speed >= 0",
 )
 
-_cte(
-    "nb_rows",
-    ["fb_weekday", "nb_index"],
-    """
-SELECT row_number() OVER () AS rid, w.time, w.weekday, w.temperature, w.humidity, w.wind_speed, i.label_index,
+
+def _bayes_views(label: str, rows: str) -> str:
+    """Register the naive Bayes CTEs of one label; their name suffix."""
+    nb = f"_{label}"
+    _cte(
+        f"nb_index{nb}",
+        [rows],
+        f"""
+SELECT {label}, row_number() OVER (ORDER BY n DESC, CAST({label} AS VARCHAR) ASC) - 1 AS label_index
+FROM (SELECT {label}, count(*) AS n FROM {rows} GROUP BY {label}) counts
+""",
+    )
+    _cte(
+        f"nb_rows{nb}",
+        [rows, f"nb_index{nb}"],
+        f"""
+SELECT row_number() OVER () AS rid, w.time, w.{label}, w.temperature, w.humidity, w.wind_speed, i.label_index,
        (w.time // 60) % 5 = 0 AS is_test
-FROM fb_weekday w JOIN nb_index i ON w.weekday = i.weekday
+FROM {rows} w JOIN nb_index{nb} i ON w.{label} = i.{label}
 """,
-)
-
-_cte(
-    "nb_model",
-    ["nb_rows"],
-    """
+    )
+    _cte(
+        f"nb_model{nb}",
+        [f"nb_rows{nb}"],
+        f"""
 SELECT label_index AS class_index,
        row_number() OVER (ORDER BY label_index) - 1 AS pos,
        ln(n + 1.0) - ln(sum(n) OVER () + count(*) OVER ()) AS pi,
@@ -530,46 +546,61 @@ SELECT label_index AS class_index,
        ln(s1 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t1,
        ln(s2 + 1.0) - ln(s0 + s1 + s2 + 3.0) AS t2
 FROM (SELECT label_index, count(*) AS n, sum(temperature) AS s0, sum(humidity) AS s1, sum(wind_speed) AS s2
-      FROM nb_rows WHERE NOT is_test GROUP BY label_index) per_class
+      FROM nb_rows{nb} WHERE NOT is_test GROUP BY label_index) per_class
 """,
-)
-
-_cte(
-    "nb_pred",
-    ["nb_rows", "nb_model"],
-    """
+    )
+    _cte(
+        f"nb_pred{nb}",
+        [f"nb_rows{nb}", f"nb_model{nb}"],
+        f"""
 SELECT rid, any_value(label_index) AS label_index,
-       any_value(time) AS time, any_value(weekday) AS weekday,
+       any_value(time) AS time, any_value({label}) AS {label},
        any_value(temperature) AS temperature, any_value(humidity) AS humidity, any_value(wind_speed) AS wind_speed,
        min(pos) FILTER (WHERE raw = max_raw) AS prediction,
        sum(CASE WHEN pos = label_index THEN exp(raw - max_raw) END) / sum(exp(raw - max_raw)) AS true_prob
-FROM (SELECT r.rid, r.label_index, r.time, r.weekday, r.temperature, r.humidity, r.wind_speed,
+FROM (SELECT r.rid, r.label_index, r.time, r.{label}, r.temperature, r.humidity, r.wind_speed,
              m.pos, raw, max(raw) OVER (PARTITION BY r.rid) AS max_raw
-      FROM nb_rows r, nb_model m,
+      FROM nb_rows{nb} r, nb_model{nb} m,
            LATERAL (SELECT m.pi + (m.t0 * r.temperature + m.t1 * r.humidity + m.t2 * r.wind_speed) AS raw) s
       WHERE r.is_test) scored
 GROUP BY rid
 """,
-)
+    )
+    return nb
+
+
+_bayes_views("weekday", "fb_weekday")
+_bayes_views("month", "fb_weather")
+_bayes_views("hour", "fb_weather")
+
 
+_PERCENT = "((2 * count(*) FILTER (WHERE {cond}) * 10000 + count(*)) // (2 * count(*))) / 100"
 
-def _nb_report(label_expr: str, pred_expr: str, cycle: int) -> str:
+
+def _percents(label_expr: str, pred_expr: str, cycle: int) -> str:
     d = f"abs(({label_expr}) - ({pred_expr}))"
-    pct = "((2 * count(*) FILTER (WHERE {cond}) * 10000 + count(*)) // (2 * count(*))) / 100"
+    return f"""{_PERCENT.format(cond=f"{d} = 0")} AS correct,
+       {_PERCENT.format(cond=f"{d} <= 1 OR {d} = {cycle - 1}")} AS within_one,
+       {_PERCENT.format(cond=f"{d} <= 2 OR {d} >= {cycle - 2}")} AS within_two"""
+
+
+def _nb_report(label: str, label_expr: str, pred_expr: str, cycle: int, more: str = "") -> str:
     return f"""
-SELECT 'NaiveBayes' AS classifier, 'temperature humidity wind_speed' AS input, 'weekday' AS label,
-       {pct.format(cond=f"{d} = 0")} AS correct,
-       {pct.format(cond=f"{d} <= 1 OR {d} = {cycle - 1}")} AS within_one,
-       {pct.format(cond=f"{d} <= 2 OR {d} >= {cycle - 2}")} AS within_two,
-       round(avg(coalesce(true_prob, 0.0)), 4) AS avg_prob
-FROM nb_pred
+SELECT 'NaiveBayes' AS classifier, 'temperature humidity wind_speed' AS input, '{label}' AS label,
+       {_percents(label_expr, pred_expr, cycle)},
+       round(avg(coalesce(true_prob, 0.0)), 4) AS avg_prob{more}
+FROM nb_pred_{label}
 """
 
 
-_WEEKDAY_NUMBER = (
-    "list_position(['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'], "
-    "(SELECT weekday FROM nb_index WHERE nb_index.label_index = {col})) - 1"
-)
+_DAYS = "['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday']"
+
+
+def _calendar(label: str, index: str, col: str) -> str:
+    """Calendar number of the label with an index."""
+    value = f"list_position({_DAYS}, x.weekday) - 1" if label == "weekday" else f"x.{label}"
+    return f"(SELECT {value} FROM {index} x WHERE x.label_index = {col})"
+
 
 ENERGY["nb_predictions"] = with_views(
     """
@@ -577,13 +608,83 @@ SELECT time, temperature, humidity, wind_speed, weekday,
        CAST(label_index AS DOUBLE) AS label_index,
        CAST(prediction AS DOUBLE) AS prediction,
        round(coalesce(true_prob, 0.0), 6) AS true_prob
-FROM nb_pred
+FROM nb_pred_weekday
 """,
-    "nb_pred",
+    "nb_pred_weekday",
 )
-ENERGY["nb_report"] = with_views(_nb_report("label_index", "prediction", 24), "nb_pred", "nb_index")
+ENERGY["nb_report"] = with_views(_nb_report("weekday", "label_index", "prediction", 24), "nb_pred_weekday")
 ENERGY["nb_calendar_report"] = with_views(
-    _nb_report(_WEEKDAY_NUMBER.format(col="nb_pred.label_index"), _WEEKDAY_NUMBER.format(col="nb_pred.prediction"), 7),
-    "nb_pred",
-    "nb_index",
+    _nb_report(
+        "weekday",
+        *(_calendar("weekday", "nb_index_weekday", f"nb_pred_weekday.{c}") for c in ("label_index", "prediction")),
+        7,
+    ),
+    "nb_pred_weekday",
+    "nb_index_weekday",
+)
+ENERGY["nb_month_hour_reports"] = with_views(
+    "UNION ALL".join(
+        _nb_report(
+            label,
+            *(
+                c if order == "frequency" else _calendar(label, f"nb_index_{label}", f"nb_pred_{label}.{c}")
+                for c in ("label_index", "prediction")
+            ),
+            cycle,
+            f", '{order}' AS distance",
+        )
+        for label, cycle in (("month", 12), ("hour", 24))
+        for order in ("frequency", "calendar")
+    ),
+    "nb_pred_month",
+    "nb_pred_hour",
+)
+
+# --- arithmetic predictions, forest rows --------------------------------------
+
+for _label in ("month", "hour", "weekday"):
+    _cte(
+        f"cy_index_{_label}",
+        ["fb_calendar"],
+        f"""
+SELECT {_label}, row_number() OVER (ORDER BY n DESC, CAST({_label} AS VARCHAR) ASC) - 1 AS label_index
+FROM (SELECT {_label}, count(*) AS n FROM fb_calendar GROUP BY {_label}) counts
+""",
+    )
+    _cte(
+        f"cy_pred_{_label}",
+        [f"cy_index_{_label}"],
+        f"""
+SELECT i.label_index, ((i.label_index + (c.time // 60) % 7 - 3) % k.n + k.n) % k.n AS prediction, k.n AS n_classes
+FROM fb_calendar c JOIN cy_index_{_label} i ON c.{_label} = i.{_label},
+     (SELECT count(*) AS n FROM cy_index_{_label}) k
+""",
+    )
+
+ENERGY["cyclic_accuracy"] = with_views(
+    "UNION ALL".join(
+        f"""
+SELECT '{label}' AS label, '{order}' AS distance, {cycle} AS cycle, count(*) AS n_test,
+       {_percents(*(c if order == "frequency" else _calendar(label, f"cy_index_{label}", f"cy_pred_{label}.{c}")
+                    for c in ("label_index", "prediction")), cycle)},
+       round(1.0::DOUBLE / any_value(n_classes), 4) AS avg_prob
+FROM cy_pred_{label}
+"""
+        for label, cycle in (("month", 12), ("hour", 24), ("weekday", 7))
+        for order in ("frequency", "calendar")
+    ),
+    "cy_pred_month",
+    "cy_pred_hour",
+    "cy_pred_weekday",
+)
+ENERGY["rf_scored_rows"] = with_views(
+    """
+SELECT c.time, c.month, CAST(i.label_index AS DOUBLE) AS label_index,
+       CAST((SELECT count(*) FROM cy_index_month) AS INTEGER) AS n_classes,
+       1.0::DOUBLE AS prob_sum, true AS is_most_probable
+FROM fb_calendar c JOIN cy_index_month i ON c.month = i.month
+WHERE (c.time // 60) % 5 = 0
+""",
+    "fb_calendar",
+    "cy_index_month",
 )

@@ -4,12 +4,16 @@ TPC-H-style tables, so every query reads the given data and grows with it.
 The mapping uses integer arithmetic only, so Spark and the DuckDB oracle build
 identical rows (the SQL form lives in ``matchday.plans.oracle``).
 
-* 450 matches: 5 competitions x 10 teams, every ordered pair once.
-  Match number ``m``: competition ``ci = m div 90``, home team
-  ``hi = (m % 90) div 9``, away team ``ai = (hi + 1 + m % 9) % 10``.
-* events: one per ``lineitem`` row, ``match_id = l_orderkey % 450``.
-* matches: one per distinct ``o_orderkey % 450`` with nested team sheets.
-* players: 15 per team (number 15 never plays).
+* matches: 16 orders each, so their number grows with the tables.  A season
+  has 450: 5 competitions x 10 teams, every ordered pair once.  Match number
+  ``m``: season ``s = m div 450``; of the rest ``w = m % 450``, competition
+  ``ci = w % 5``, pair ``w div 5``: home team ``hi = pair div 9``, away team
+  ``ai = (hi + 1 + pair % 9) % 10``.
+* team 0 of competition 1 bears the name of team 0 of competition 0.
+* events: one per ``lineitem`` row, ``match_id = l_orderkey div 16``.
+* match sheets: one per distinct ``o_orderkey div 16``, nested; the second
+  substitution of every 11th match has no minute.
+* players: 15 per team and season (number 15 never plays).
 * measurements: one per ``lineitem`` row, Unix seconds plus seven doubles.
 
 The views are written as layered SQL expressions (``selectExpr``): each layer
@@ -26,11 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from matchday.sources.tables import read_table
 
 # Fixed values of the fixture design.
-N_MATCHES = 450
-MATCHES_PER_COMPETITION = 90
+ORDERS_PER_MATCH = 16
+MATCHES_PER_SEASON = 450
 TEAMS_PER_COMPETITION = 10
-N_COMPETITIONS = N_MATCHES // MATCHES_PER_COMPETITION
-SEASON = "2017-2018"
+N_COMPETITIONS = 5
+FIRST_YEAR = 2017
 PLAYERS_PER_TEAM = 15
 ROLE_BY_NUMBER = {
     1: "Goalkeeper",
@@ -55,8 +59,14 @@ def _sql_array(values: list[str]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-# names by rule: T<competition>_<team number>, L<competition>
-_TEAMS = _sql_array([f"T{c}_{t}" for c in range(N_COMPETITIONS) for t in range(TEAMS_PER_COMPETITION)])
+# names by rule: T<competition>_<team number>, L<competition>; one name is shared
+_TEAMS = _sql_array(
+    [
+        "T0_0" if (c, t) == (1, 0) else f"T{c}_{t}"
+        for c in range(N_COMPETITIONS)
+        for t in range(TEAMS_PER_COMPETITION)
+    ]
+)
 _COMPETITIONS = _sql_array([f"L{c}" for c in range(N_COMPETITIONS)])
 
 
@@ -68,17 +78,21 @@ def _competition_name(ci: str) -> str:
     return f"element_at({_COMPETITIONS}, CAST({ci} + 1 AS INT))"
 
 
+_PAIR = f"((m % {MATCHES_PER_SEASON}) div {N_COMPETITIONS})"
 _MATCH_PARTS = [
-    f"m div {MATCHES_PER_COMPETITION} AS ci",
-    f"(m % {MATCHES_PER_COMPETITION}) div 9 AS hi",
-    f"((m % {MATCHES_PER_COMPETITION}) div 9 + 1 + m % 9) % 10 AS ai",
+    f"m div {MATCHES_PER_SEASON} AS s",
+    f"m % {MATCHES_PER_SEASON} % {N_COMPETITIONS} AS ci",
+    f"{_PAIR} div 9 AS hi",
+    f"({_PAIR} div 9 + 1 + {_PAIR} % 9) % 10 AS ai",
 ]
+_SEASON = f"concat(CAST({FIRST_YEAR} + s AS STRING), '-', CAST({FIRST_YEAR} + 1 + s AS STRING))"
+_TEAM_NUMBER = f"(s * {N_COMPETITIONS * TEAMS_PER_COMPETITION} + ci * {TEAMS_PER_COMPETITION} + {{}})"
 
 
 def events_view(spark: SparkSession, base: str) -> DataFrame:
     """Match events (schema ``matchday.schemas.EVENTS``) from ``lineitem``."""
     numbered = read_table(spark, base, "lineitem").selectExpr(
-        f"CAST(l_orderkey % {N_MATCHES} AS INT) AS m",
+        f"l_orderkey div {ORDERS_PER_MATCH} AS m",
         "(l_partkey + l_linenumber) % 50 AS r",
         "(l_orderkey + l_suppkey) % 2 = 0 AS even",
         "l_suppkey % 3 = 0 AS home_side",
@@ -91,6 +105,7 @@ def events_view(spark: SparkSession, base: str) -> DataFrame:
     named = parts.selectExpr(
         "m AS match_id",
         f"{_competition_name('ci')} AS competition",
+        f"{_SEASON} AS season",
         f"{_team_name('ci', 'hi')} AS home_team",
         f"{_team_name('ci', 'ai')} AS away_team",
         *keep,
@@ -102,7 +117,7 @@ def events_view(spark: SparkSession, base: str) -> DataFrame:
     return named.selectExpr(
         "match_id",
         "competition",
-        f"'{SEASON}' AS season",
+        "season",
         "home_team",
         "away_team",
         "CASE WHEN home_side THEN home_team ELSE away_team END AS event_team",
@@ -114,23 +129,26 @@ def events_view(spark: SparkSession, base: str) -> DataFrame:
 
 
 def match_numbers(spark: SparkSession, base: str) -> DataFrame:
-    """Distinct match numbers with their competition and team numbers; pass
+    """Distinct match numbers with their season, competition and team numbers; pass
     the same DataFrame to ``matches_view`` and ``players_view`` when a query
     needs both, so the plan reads ``orders`` once."""
     orders = read_table(spark, base, "orders")
-    numbers = orders.selectExpr(f"CAST(o_orderkey % {N_MATCHES} AS INT) AS m").distinct()
+    numbers = orders.selectExpr(f"o_orderkey div {ORDERS_PER_MATCH} AS m").distinct()
     return numbers.selectExpr("m", *_MATCH_PARTS)
 
 
 def _sheet(tno: str, team_number: str, lineup_null: str) -> str:
     def sub(k: int) -> str:
+        minute = f"CAST(46 + (m * 7 + {k * 11}) % 40 AS INT)"
+        if k == 2:
+            minute = f"CASE WHEN m % 11 != 3 THEN {minute} END"
         return (
-            f"named_struct('player_in', CAST({tno} * 100 + 11 + {k} AS INT), "
-            f"'player_out', CAST({tno} * 100 + 2 + (m + {k * 3}) % 10 AS INT), "
-            f"'minute', CAST(46 + (m * 7 + {k * 11}) % 40 AS INT))"
+            f"named_struct('player_in', {tno} * 100 + 11 + {k}, "
+            f"'player_out', {tno} * 100 + 2 + (m + {k * 3}) % 10, "
+            f"'minute', {minute})"
         )
 
-    lineup = f"transform(sequence(1, 11), n -> CAST({tno} * 100 + n AS INT))"
+    lineup = f"transform(sequence(1, 11), n -> {tno} * 100 + n)"
     return (
         f"named_struct('team', {_team_name('ci', team_number)}, "
         f"'lineup', CASE WHEN NOT ({lineup_null}) THEN {lineup} END, "
@@ -146,20 +164,20 @@ def matches_view(spark: SparkSession, base: str, numbers: DataFrame | None = Non
     return numbers.selectExpr(
         "m AS match_id",
         f"{_competition_name('ci')} AS competition",
-        f"'{SEASON}' AS season",
-        f"{_sheet('(ci * 10 + hi)', 'hi', 'false')} AS home_team_data",
-        f"{_sheet('(ci * 10 + ai)', 'ai', 'm % 97 = 5')} AS away_team_data",
+        f"{_SEASON} AS season",
+        f"{_sheet(_TEAM_NUMBER.format('hi'), 'hi', 'false')} AS home_team_data",
+        f"{_sheet(_TEAM_NUMBER.format('ai'), 'ai', 'm % 97 = 5')} AS away_team_data",
     )
 
 
 def players_view(spark: SparkSession, base: str, numbers: DataFrame | None = None) -> DataFrame:
-    """Players (schema ``matchday.schemas.PLAYERS``): 15 per team that appears
-    in the matches view."""
+    """Players (schema ``matchday.schemas.PLAYERS``): 15 per team and season
+    that appears in the matches view."""
     numbers = numbers if numbers is not None else match_numbers(spark, base)
-    teams = numbers.selectExpr("ci", "explode(array(hi, ai)) AS tn").distinct()
+    teams = numbers.selectExpr("s", "ci", "explode(array(hi, ai)) AS tn").distinct()
     role = "CASE " + " ".join(f"WHEN n = {k} THEN '{v}'" for k, v in ROLE_BY_NUMBER.items()) + " END"
-    return teams.selectExpr("ci", "tn", f"explode(sequence(1, {PLAYERS_PER_TEAM})) AS n").selectExpr(
-        "CAST((ci * 10 + tn) * 100 + n AS INT) AS player_id",
+    return teams.selectExpr("s", "ci", "tn", f"explode(sequence(1, {PLAYERS_PER_TEAM})) AS n").selectExpr(
+        f"{_TEAM_NUMBER.format('tn')} * 100 + n AS player_id",
         "CASE WHEN n != 9 THEN concat('F', CAST(n AS STRING)) END AS first_name",
         f"{_team_name('ci', 'tn')} AS last_name",
         "CASE WHEN n != 13 THEN concat('A', CAST(n % 4 AS STRING)) END AS birth_area",

@@ -52,6 +52,14 @@ def _conform(col: Column, source: T.DataType, target: T.DataType) -> Column:
         return F.when(col.isNotNull(), F.struct(*parts))
     if isinstance(target, T.ArrayType) and isinstance(target.elementType, T.StructType):
         return F.transform(col, lambda x: _conform(x, source.elementType, target.elementType))
+    if isinstance(target, T.IntegralType) and isinstance(source, T.IntegralType):
+        return col  # an id keeps its width
+    if (
+        isinstance(target, T.ArrayType)
+        and isinstance(target.elementType, T.IntegralType)
+        and isinstance(source.elementType, T.IntegralType)
+    ):
+        return col
     return col.cast(target)
 
 

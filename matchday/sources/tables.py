@@ -7,8 +7,6 @@ readers return the full logical table and let the plan prune it.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -16,11 +14,8 @@ from matchday.schemas import require_columns
 
 
 def table_path(base: str, name: str) -> str:
-    """``base/name.parquet`` if that exists, else ``base/name`` (a directory)."""
-    path = os.path.join(base, f"{name}.parquet")
-    if "://" in base or os.path.exists(path):
-        return path
-    return os.path.join(base, name)
+    """``base/name.parquet``: a file or a folder, on any filesystem."""
+    return f"{base.rstrip('/')}/{name}.parquet"
 
 
 def read_table(

@@ -1,6 +1,6 @@
 """Compare every registered query with its SQL oracle at any scale factor.
 
-    python -m matchday.plans.check /root/testdata/sf0.01 [query ...]
+    python tests/compare_oracles.py /root/testdata/sf0.01 [query ...]
 
 Runs each query on Spark and its oracle on DuckDB over the same Parquet
 tables, and reports row counts, column names, value equality (order
@@ -11,27 +11,15 @@ results to the driver to compare them (the library itself never does).
 
 from __future__ import annotations
 
-import math
 import os
 import sys
 import time
 
+from helpers import canon
 
-def _canon(frame) -> list[tuple]:
-    cols = sorted(frame.columns)
-    rows = []
-    for row in frame[cols].itertuples(index=False):
-        rows.append(
-            tuple(
-                None
-                if v is None or (isinstance(v, float) and math.isnan(v))
-                else round(v, 9)
-                if isinstance(v, float)
-                else v
-                for v in row
-            )
-        )
-    return sorted(rows, key=repr)
+
+def _rows(frame):
+    return frame[sorted(frame.columns)].itertuples(index=False)
 
 
 def main(argv: list[str]) -> int:
@@ -39,7 +27,7 @@ def main(argv: list[str]) -> int:
         print(__doc__)
         return 2
     base, only = argv[0], set(argv[1:])
-    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import duckdb
 
     import __spark_entry__ as entry
@@ -47,7 +35,7 @@ def main(argv: list[str]) -> int:
 
     spark = build_session("local[*]", app_name="matchday-check")
     con = duckdb.connect()
-    for table in ("lineitem", "orders"):
+    for table in ("lineitem", "orders", "documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{base}/{table}.parquet')")
     oracles = entry.oracle_sql()
     bad = 0
@@ -62,7 +50,7 @@ def main(argv: list[str]) -> int:
             continue
         want = con.execute(oracles[name]).df()
         same_cols = sorted(got.columns) == sorted(want.columns)
-        same = same_cols and len(got) == len(want) and _canon(got) == _canon(want)
+        same = same_cols and len(got) == len(want) and canon(_rows(got)) == canon(_rows(want))
         bad += not same
         print(f"{name:28s} rows {len(got):>8}/{len(want):<8} {'equal' if same else 'DIFFERENT'}  {seconds:6.1f}s")
         if same_cols:

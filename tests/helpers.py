@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import numbers
 
 from matchday import schemas
 
@@ -47,17 +48,19 @@ def rows_of(df, *cols):
     return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=_natural)
 
 
+def _missing(v):
+    import pandas as pd
+
+    return v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v))
+
+
 def canon(rows):
     """Order-insensitive, NaN/float-tolerant form for comparing result sets."""
     out = []
     for row in rows:
         out.append(
             tuple(
-                None
-                if v is None or (isinstance(v, float) and math.isnan(v))
-                else round(float(v), 9)
-                if isinstance(v, float)
-                else v
+                None if _missing(v) else round(float(v), 9) if isinstance(v, numbers.Real) and not isinstance(v, bool) else v
                 for v in row
             )
         )

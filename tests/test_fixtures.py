@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from helpers import canon
-from matchday.plans.oracle import with_views
+from matchday.plans.oracle import _team, with_views
 from matchday.sources.fixtures import events_view, matches_view, measurements_view, players_view
 
 
@@ -29,9 +29,8 @@ def test_matches_view_flattened(spark, duck):
     lineups = ms.select(
         "match_id", F.explode(F.array("home_team_data", "away_team_data")).alias("side")
     ).select("match_id", F.col("side.team").alias("team"), F.explode("side.lineup").alias("player_id"))
-    sql = """
-SELECT m AS match_id, 'T' || CAST(ci AS VARCHAR) || '_' || CAST(tn AS VARCHAR) AS team,
-       CAST((ci * 10 + tn) * 100 + n AS INTEGER) AS player_id
+    sql = f"""
+SELECT m AS match_id, {_team("tn")} AS team, tno * 100 + n AS player_id
 FROM fb_match_sides, range(1, 12) AS t(n)
 WHERE NOT (side = 'away' AND m % 97 = 5)
 """

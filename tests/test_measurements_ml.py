@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -9,7 +10,8 @@ from conftest import SF_SMALL
 from helpers import rows_of
 from matchday import operators as op
 from matchday import schemas
-from matchday.operators.classify import training_layout
+from matchday.operators.classify import TRAINING_PARTITIONS, training_layout
+from matchday.operators.evaluate import calendar_number
 from matchday.plans import energy as en
 
 NAN = float("nan")
@@ -66,13 +68,80 @@ def test_label_index_frequency_order_with_text_ties(spark):
     assert idx == [(1, 1.0, 3), (2, 0.0, 5), (10, 2.0, 3), (12, 3.0, 1)]
 
 
-def test_training_layout_spreads_single_partition(spark):
-    df = spark.range(0, 1000).coalesce(1).withColumn("x", F.col("id") % 7)
-    laid = training_layout(df)
-    assert laid.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert laid.count() == 1000
-    wide = spark.range(0, 1000, numPartitions=spark.sparkContext.defaultParallelism)
-    assert training_layout(wide) is wide
+def test_training_layout_depends_on_rows_alone(spark):
+    df = spark.range(0, 1000).withColumn("x", F.col("id") % 7)
+    layouts = []
+    for source in (df.coalesce(1), df.repartition(5, "x"), df.orderBy(F.desc("id"))):
+        laid = training_layout(source)
+        assert laid.rdd.getNumPartitions() == TRAINING_PARTITIONS
+        layouts.append([[tuple(r) for r in part] for part in laid.rdd.glom().collect()])
+    assert layouts[0] == layouts[1] == layouts[2]
+
+
+FOREST_CODE = """
+import json, sys
+from matchday.session import build_session
+spark = build_session(sys.argv[1], int(sys.argv[2]))
+from matchday.plans import energy
+from matchday.sources import fixtures
+from pyspark.sql import functions as F
+if sys.argv[3] == "split":  # the same rows in other files and another order
+    read = fixtures.read_table
+    fixtures.read_table = lambda *a: read(*a).repartition(7, "l_partkey")
+energy.measurements_view = fixtures.measurements_view
+out = {}
+for name in ("rf_predictions", "rf_experiments", "model_comparison"):
+    rows = getattr(energy, name)(spark, "SF").collect()
+    out[name] = sorted(map(str, rows)) if name == "rf_predictions" else list(map(str, rows))
+print("ROWS" + json.dumps(out))
+"""
+
+
+def test_forests_are_the_same_on_any_cores_and_input_layout():
+    import json
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    results = []
+    for master, partitions, layout in (("local[2]", "3", "whole"), ("local[4]", "8", "split")):
+        run = subprocess.run(
+            [sys.executable, "-c", FOREST_CODE.replace("SF", SF_SMALL), master, partitions, layout],
+            cwd=root, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=600,
+        )
+        assert run.returncode == 0, run.stderr[-2000:]
+        results.append(json.loads(run.stdout.rpartition("ROWS")[2]))
+    assert results[0] == results[1]
+
+
+def test_forest_separates_a_separable_label(spark):
+    rows = [(60 * i, float(100 * (i % 4)), float(i % 4), 1.0, f"c{i % 4}") for i in range(800)]
+    df = spark.createDataFrame(rows, "time long, f1 double, f2 double, f3 double, label string")
+    preds = op.random_forest_job(df, ["f1", "f2"], "label")
+    m = op.evaluate_predictions(preds, cycle=24).first()
+    assert (m["n_test"], m["correct"], m["avg_prob"]) == (160, 100.0, 1.0)
+
+
+def test_calendar_order_refuses_labels_without_a_place(spark):
+    df = spark.createDataFrame([("Mon",), ("Tue",), ("Wed",)], "label string")
+    indexed = StringIndexer(inputCol="label", outputCol="label_index").fit(df).transform(df)
+    preds = indexed.withColumn("prediction", F.lit(0.0)).withColumn(
+        "probability", array_to_vector(F.array(F.lit(0.5), F.lit(0.3), F.lit(0.2)))
+    )
+    with pytest.raises(ValueError, match="Mon"):
+        op.evaluate_predictions(preds, cycle=7, order="calendar")
+    numbers = spark.createDataFrame([("Monday",), ("7",), ("other",), (None,)], "t string")
+    assert [r[0] for r in numbers.select(calendar_number(F.col("t"))).collect()] == [0, 7, None, None]
+
+
+def test_wrap_occurs_in_the_cyclic_query(spark):
+    rows = {(r["label"], r["distance"]): r for r in en.cyclic_accuracy(spark, SF_SMALL).collect()}
+    assert len(rows) == 6 and {r["cycle"] for r in rows.values()} == {12, 24, 7}
+    data = en.calendar_labels(spark, SF_SMALL)
+    indexed = op.fit_label_index(data, "month").transform(data)
+    moved = F.pmod(F.col("label_index") + F.pmod(F.expr("time div 60"), F.lit(7)) - 3, F.lit(12))
+    assert indexed.filter(F.abs(moved - F.col("label_index")) == 11).count() > 0
 
 
 def _preds(spark, rows, size=12):
@@ -110,8 +179,6 @@ def test_calendar_order_differs_from_index_order(spark):
         "month", "label_index", F.lit(3.0).alias("prediction"), F.lit(None).cast("string").alias("p")
     )
     preds = preds.withColumn("probability", F.array(F.lit(0.25), F.lit(0.25), F.lit(0.25), F.lit(0.25)))
-    from pyspark.ml.functions import array_to_vector
-
     preds = preds.withColumn("probability", array_to_vector("probability"))
     freq = op.evaluate_predictions(preds, cycle=12, order="frequency").first()
     cal = op.evaluate_predictions(preds, cycle=12, order="calendar").first()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_CHECK
+from conftest import SF_CHECK, SF_SMALL
 from helpers import events, goal, matches, players, rows_of, sheet, sub
 from matchday import operators as op
 from matchday.plans import football as fb
@@ -150,10 +150,54 @@ def test_top_plus_minus_threshold_and_order(spark):
     ]
 
 
-def test_fixture_presence_counts(spark):
-    assert fb.lineup_rows(spark, SF_CHECK).count() == 9845
-    assert fb.substitution_rows(spark, SF_CHECK).count() == 2400
-    mins = fb.minutes_per_player(spark, SF_CHECK)
-    assert mins.count() == 700
-    pm = fb.plus_minus(spark, SF_CHECK).agg(F.min("plus_minus"), F.max("plus_minus")).first()
-    assert (pm[0], pm[1]) == (-17, 17)
+def test_null_substitution_minute_falls_back_to_match_length(spark):
+    sheets = matches(spark, [(1, "C", sheet("H", [1, 2], (sub(4, 2, None), None, None)), sheet("A", [11]))])
+    pres = op.player_presence(sheets, _events(spark))
+    assert rows_of(pres, "player_id", "start_minute", "end_minute", "minutes") == [
+        (1, 0, 90, 90),
+        (2, 0, 90, 90),  # taken off at an unknown minute: counts to the end
+        (4, None, 90, None),
+        (11, 0, 90, 90),
+    ]
+    minutes = op.minutes_per_player(pres)
+    assert dict(rows_of(minutes)) == {1: 90, 2: 90, 4: None, 11: 90}
+    top = op.most_minutes_by_role(pres, _players(spark))
+    assert ("Defender", 90) in {(r["role"], r["minutes"]) for r in top.collect()}
+
+
+def test_match_whose_second_half_events_have_no_time_is_kept(spark):
+    ev = events(spark, [(1, "C", "H", "A", "H", "Pass", None, "2H", 0), goal(1, "H", "A", "A", "1H", 600)])
+    ev = ev.withColumn("event_time", F.when(F.col("event_period") == "1H", F.col("event_time")))
+    assert rows_of(op.match_length(ev)) == [(1, None)]
+    sheets = matches(spark, [(1, "C", sheet("H", [1, 2], (sub(4, 2, 60), None, None)), sheet("A", [11]))])
+    pm = op.plus_minus(op.goal_minutes(ev), op.player_presence(sheets, ev))
+    # only the interval with a known end holds the goal at minute 10
+    assert dict(rows_of(pm)) == {2: 1}
+
+
+def test_wide_ids_keep_their_type(spark):
+    big = 3_000_000_000
+    kind = "struct<team:string,lineup:array<bigint>,{}>".format(
+        ",".join(f"substitution{k}:struct<player_in:bigint,player_out:bigint,minute:int>" for k in (1, 2, 3))
+    )
+    sheets = spark.createDataFrame(
+        [(big, "C", "S", ("H", [big + 1], (big + 2, big + 1, 60), None, None), ("A", [big + 3], None, None, None))],
+        f"match_id bigint, competition string, season string, home_team_data {kind}, away_team_data {kind}",
+    )
+    lengths = spark.createDataFrame([(big, 90)], "match_id bigint, match_length bigint")
+    pres = op.player_presence(sheets, lengths=lengths)
+    assert pres.schema["player_id"].dataType.simpleString() == "bigint"
+    assert rows_of(pres, "player_id", "minutes") == [(big + 1, 60), (big + 2, 30), (big + 3, 90)]
+
+
+def test_fixture_grows_with_the_tables(spark):
+    small, large = (fb.match_results(spark, d).count() for d in (SF_SMALL, SF_CHECK))
+    assert large > 9 * small
+    sheets = fb.lineup_rows(spark, SF_CHECK)
+    assert sheets.count() > 9 * fb.lineup_rows(spark, SF_SMALL).count()
+    assert sheets.select("season").distinct().count() == 3
+    names = fb.season_standings(spark, SF_CHECK).select("competition", "team").distinct().groupBy("team").count()
+    assert [r["team"] for r in names.filter("count > 1").collect()] == ["T0_0"]  # one name in two competitions
+    subs = fb.substitution_rows(spark, SF_CHECK)
+    assert subs.filter("sub_minute is null").count() > 0
+    assert fb.plus_minus(spark, SF_CHECK).filter("abs(plus_minus) > 5").count() > 0

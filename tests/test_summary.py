@@ -3,10 +3,9 @@
 import pytest
 
 from conftest import SF_CHECK, SF_SMALL
-from helpers import canon, events, goal, rows_of
+from helpers import canon, events, goal
 from matchday import operators as op
 from matchday.plans import football as fb
-from test_presence_plusminus import _events, _sheets
 
 
 def _same(a, b):
@@ -18,25 +17,6 @@ def _same(a, b):
 @pytest.mark.parametrize("base", [SF_SMALL, SF_CHECK])
 def test_fused_equals_composed_on_fixture(spark, base):
     _same(fb.best_teams(spark, base), fb.best_teams_composed(spark, base))
-    _same(fb.plus_minus(spark, base), fb.plus_minus_composed(spark, base))
-
-
-def test_fused_plus_minus_edge_rows(spark):
-    ev = _events(spark).unionByName(
-        events(
-            spark,
-            [
-                goal(1, "H", "A", "A", "2H", 900),
-                goal(1, "H", "A", "A", "2H", 900),
-                goal(1, "H", "A", "H", "2H", 2400),
-                goal(2, "H2", "A2", None, "1H", 600),  # unknown saving side: home scores
-            ],
-        )
-    )
-    fused = op.plus_minus_from_events(_sheets(spark), ev)
-    composed = op.plus_minus(op.goal_minutes(ev), op.player_presence(_sheets(spark), ev))
-    _same(fused, composed)
-    assert dict(rows_of(fused)) == {1: 1, 2: 2, 3: 1, 4: 1, 5: -1, 11: -1, 12: -2, 13: -1, 14: 1}
 
 
 def test_fused_best_teams_edge_rows(spark):
