@@ -24,12 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _shipped: set[str] = set()
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows of an Arrow batch.  A batch is held in memory whole, by the executor and
+#: by its Python worker, and Spark's default of 10,000 is for rows of numbers.
+BATCH_ROWS = 1000
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once a session, so that their Python
-    workers can import it wherever the driver was started from."""
+    """Ready a session for these operators.
+
+    Sends this package to the executors, once, so that their Python workers can
+    import it wherever the driver was started from; and makes Arrow batches of
+    1000 rows, for long texts, unless the session has a number of its own.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     if context.applicationId not in _shipped:
         _shipped.add(context.applicationId)
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
