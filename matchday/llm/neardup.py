@@ -288,8 +288,12 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
     logarithm of the longest chain.
     """
     links = links.filter("u <> v").select("u", "v")
+    there = F.struct("u", "v")
+    back = F.struct(F.col("v").alias("u"), F.col("u").alias("v"))
     while True:
-        both = written(links.select("u", "v").union(links.select("v", "u")), name)
+        # both directions of one evaluation: links may come from groups whose
+        # choice of links differs when they are computed again
+        both = written(links.select(F.inline(F.array(there, back))), name)
         lowest = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
         large = both.join(lowest, "u").filter("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = written(large, name)

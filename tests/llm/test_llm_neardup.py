@@ -99,6 +99,18 @@ def test_components_of_a_long_path(spark):
     assert len(found) == 300 and {bytes(r["root"]) for r in found} == {(0).to_bytes(2, "big")}
 
 
+def test_components_evaluate_their_links_once(spark):
+    from pyspark.sql import functions as F
+
+    # another random spanning tree at every evaluation, always of all 200 nodes
+    node = lambda c: F.lpad(c.cast("string"), 4, "0").cast("binary")
+    links = spark.range(1, 200).select(
+        node(F.col("id")).alias("u"), node(F.floor(F.rand() * F.col("id"))).alias("v")
+    )
+    found = neardup.components(links).distinct().collect()
+    assert len(found) == 200 and {bytes(r["root"]) for r in found} == {b"0000"}
+
+
 def test_first_of_each_group_stays(spark):
     table = clashing(docs(spark))
     kept = neardup.first_of_each(table, Settings(width=5))
