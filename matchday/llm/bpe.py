@@ -2,7 +2,7 @@
 
 Byte-level BPE first cuts a text into pieces (a word with its leading space, a
 run of digits, of signs, of white space) and then encodes each piece on its
-own.  The same pieces come again and again, so a task keeps the ids of pieces
+own.  The same pieces come again and again, so a worker keeps the ids of pieces
 that the tokenizers library has encoded and asks it for new ones only.
 
 The cut is made by Python's ``re`` where the characters of a text leave no
@@ -18,6 +18,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterable
+from functools import cache
 
 # The published pre-tokenization pattern of byte_bpe_50k, with its
 # classes of letters, numbers and spaces written out for the range below.
@@ -28,8 +29,15 @@ _PIECE = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
 _UNSURE = re.compile("[^ -~\t\n\r¡-¬®-ɏ‐-‧]")
-#: Pieces that a task remembers; it starts anew beyond.
-REMEMBERED = 1_200_000
+#: Pieces that a worker remembers, about 170 bytes each; it starts anew beyond.
+REMEMBERED = 1_000_000
+
+
+@cache
+def encoder(path: str) -> PieceEncoder:
+    """The encoder of a worker process, kept for its later tasks: a piece has
+    the same ids in all of them."""
+    return PieceEncoder(path)
 
 
 class PieceEncoder:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchday.llm.bpe import PieceEncoder
+from matchday.llm.bpe import encoder
 from matchday.llm.common import field, map_text, rank_in_cells, ship, written
 
 CAPACITY = 2048
@@ -44,11 +44,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int |
     last = b"" if end is None else np.array([end], "<u4").tobytes()
 
     def make():
-        encoder = PieceEncoder(tokenizer)
+        own = encoder(tokenizer)
 
         def compute(part: pa.RecordBatch) -> list:
             out = []
-            for ids in encoder.ids([t or "" for t in part.column("text").to_pylist()]):
+            for ids in own.ids([t or "" for t in part.column("text").to_pylist()]):
                 ids += last
                 n = len(ids) // 4
                 first = n - (n - 1) // capacity * capacity if n else 0

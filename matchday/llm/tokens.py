@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchday.llm.bpe import PieceEncoder
+from matchday.llm.bpe import PieceEncoder, encoder
 from matchday.llm.common import field, map_text
 
 CHUNK, OVERLAP = 1 << 14, 256
@@ -72,15 +72,15 @@ def count(docs: DataFrame, tokenizer: str, limit: int = 1024, chunk: int = CHUNK
     """
 
     def make():
-        encoder = PieceEncoder(tokenizer)
+        own = encoder(tokenizer)
 
         def compute(part: pa.RecordBatch) -> list:
             texts = [t or "" for t in part.column("text").to_pylist()]
             short = [t if len(t) <= chunk else "" for t in texts]
-            counts = [len(ids) // 4 for ids in encoder.ids(short)]
+            counts = [len(ids) // 4 for ids in own.ids(short)]
             for i, t in enumerate(texts):
                 if len(t) > chunk:
-                    counts[i] = count_chunked(t, encoder, chunk, overlap)
+                    counts[i] = count_chunked(t, own, chunk, overlap)
             return [counts]
 
         return compute
