@@ -2,7 +2,9 @@
 
 Three base patterns are matched in every whole text.  The method adds what no
 pattern names: in a sensitive context (a word such as "key" or "auth" shortly
-before), each token that could be a credential is a candidate.  zstandard is
+before), each token that could be a credential is a candidate, whatever its
+length.  A secret carries the context on, and so does a candidate to what adjoins
+it: all lines of a PEM block and all parts of a JWT are candidates.  zstandard is
 primed with a dictionary of identifiers and the text around the candidate; the
 bytes that the candidate adds to a compressed frame are its novelty.  Words
 and identifiers that the dictionary or the surroundings explain cost few
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
@@ -37,10 +40,16 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 #: Words after which a token may be a credential.
 CONTEXT = ("password", "passwd", "secret", "token", "apikey", "api_key", "api-key", "auth", "bearer", "credential", "private key", "access key")
 _SENSITIVE = re.compile("|".join(map(re.escape, CONTEXT)), re.ASCII | re.IGNORECASE)
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,512}")
-#: Code points after a context word that are searched, and around a candidate
-#: that prime the compressor.
-REACH, AROUND = 64, 512
+_START = re.compile(r"[A-Za-z0-9+/_=-]{16}")
+_REST = re.compile(r"[A-Za-z0-9+/_=-]*")
+#: What may stand between a candidate and one that adjoins it (also line breaks
+#: written as escapes), and the short last line of a PEM block.
+_ADJOINING = re.compile(r"""(?:\\r|[\s.,"'\\|>#]){1,64}(?=[A-Za-z0-9+/_=-]{16})""")
+_LAST_LINE = re.compile(r"""(?:\\[nr]|[\s"',\\|>#]){1,64}[A-Za-z0-9+/=]{1,15}(?=(?:\\[nr]|[\s"',\\|>#]){1,64}-----END )""")
+#: Code points after a context word or a secret in which a candidate starts,
+#: around a piece that prime the compressor, of a piece of a long candidate, and
+#: of the shortest candidate.
+REACH, AROUND, PIECE, SHORTEST = 64, 512, 512, 16
 #: Least share of the bytes of a random base-64 string that are novel, and
 #: least number of kinds (lower, upper, digit, sign) in a candidate.
 NOVELTY, CLASSES = 0.8, 3
@@ -85,30 +94,74 @@ def _may_hold(data: bytes) -> bool:
     return any(word in low for word in _LITERALS)
 
 
+def _measure(text: str, starts: list[int], end: int, novelty: _Novelty) -> tuple[int, float] | None:
+    """(start, share) of the secret in a candidate that ends at ``end``, if it
+    holds one.  ``starts`` are its own start and the ends of the context words
+    in it.  Long candidates are measured in pieces, and one novel piece makes
+    the whole candidate, from the start before that piece, a secret."""
+    for start, stop in zip(starts, [*starts[1:], end]):
+        for a in range(start, min(stop, end - SHORTEST + 1), PIECE):
+            b = a + PIECE if end - a - PIECE >= SHORTEST else end
+            piece = text[a:b]
+            kinds = any(map(str.islower, piece)) + any(map(str.isupper, piece)) + any(map(str.isdigit, piece))
+            if kinds + (not piece.isalnum()) < CLASSES or not any(map(str.isdigit, piece)):
+                continue
+            share = novelty.share(piece, text[max(0, a - AROUND) : a] + text[b : b + AROUND])
+            if share >= NOVELTY:
+                return start, share
+    return None
+
+
+def _novel(text: str, base: list[tuple[int, int]], novelty: _Novelty) -> Iterator[tuple[int, int, float]]:
+    """(start, end, share) of the secrets that no base span covers.
+
+    A candidate is as long as its characters go, except where a base span cuts
+    it.  It is in context if it starts within REACH of a context word or of a
+    secret in context, or adjoins another candidate in context.
+    """
+    words = [m.end() for m in _SENSITIVE.finditer(text)]
+    word = cut = 0  # the next context word and base span
+    at = limit = last = 0  # searched up to, context up to, end of the last candidate
+    while True:
+        start = -1
+        if at < limit and (m := _START.search(text, at, min(len(text), limit + SHORTEST - 1))):
+            start = m.start()
+        elif last and (m := _ADJOINING.match(text, last)) and m.end() >= at:
+            start = m.end()
+        if start < 0:
+            if word == len(words):
+                return
+            at, limit, word = max(at, words[word]), max(limit, words[word] + REACH), word + 1
+            continue
+        while cut < len(base) and base[cut][1] <= start:
+            cut += 1
+        if cut < len(base) and base[cut][0] <= start:  # a secret already
+            at = last = base[cut][1]
+            limit = max(limit, at + REACH)
+            continue
+        after = base[cut][0] if cut < len(base) else len(text)
+        end = min(_REST.match(text, start).end(), after)
+        starts = [start]
+        while word < len(words) and words[word] <= end:
+            limit = max(limit, words[word] + REACH)
+            starts += [words[word]] if words[word] > start else []
+            word += 1
+        at = last = end
+        if found := _measure(text, starts, end, novelty):
+            limit = max(limit, end + REACH)
+            line = _LAST_LINE.match(text, end)
+            if line and line.end() <= after:
+                at = last = end = line.end()
+            yield found[0], end, found[1]
+
+
 def scan(text: str, novelty: _Novelty) -> list[tuple[int, int, str, float]]:
     """(start, end, kind, novelty share) of every span, by start, then kind."""
     base = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     base += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     base += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
     spans = [(s, e, k, novelty.share(text[s:e], text[max(0, s - AROUND) : s])) for s, e, k in base]
-    taken = sorted((s, e) for s, e, _ in base)
-    seen = set()
-    for word in _SENSITIVE.finditer(text):
-        stop = min(len(text), word.end() + REACH)
-        for m in _CANDIDATE.finditer(text, word.end(), min(len(text), stop + 512)):
-            s, e = m.span()
-            if s >= stop:
-                break
-            if s in seen or any(a < e and s < b for a, b in taken):
-                continue
-            seen.add(s)
-            token = m[0]
-            kinds = any(map(str.islower, token)) + any(map(str.isupper, token)) + any(map(str.isdigit, token))
-            if kinds + (not token.isalnum()) < CLASSES or not any(map(str.isdigit, token)):
-                continue
-            share = novelty.share(token, text[max(0, s - AROUND) : s] + text[e : e + AROUND])
-            if share >= NOVELTY:
-                spans.append((s, e, "novel", share))
+    spans += [(s, e, "novel", share) for s, e, share in _novel(text, sorted((s, e) for s, e, _ in base), novelty)]
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 
 
