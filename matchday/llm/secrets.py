@@ -8,7 +8,9 @@ it: all lines of a PEM block and all parts of a JWT are candidates.  zstandard i
 primed with a dictionary of identifiers and the text around the candidate; the
 bytes that the candidate adds to a compressed frame are its novelty.  Words
 and identifiers that the dictionary or the surroundings explain cost few
-bytes; a random string costs nearly its entropy and is reported.
+bytes; a random string costs nearly its entropy and is reported, whatever its
+alphabet.  The words of a tokenizer's vocabulary enlarge the dictionary: each one
+in a candidate costs no more than its number.
 
 Bytes decide first: a text that holds none of the literals that a pattern
 needs, nor a run of 24 hex digits, is passed without running any pattern.
@@ -17,9 +19,13 @@ needs, nor a run of 24 hex digits, is passed without running any pattern.
 from __future__ import annotations
 
 import hashlib
+import json
+import math
 import re
 from collections.abc import Iterator
+from functools import cache
 
+import public_tokenizers
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -50,9 +56,8 @@ _LAST_LINE = re.compile(r"""(?:\\[nr]|[\s"',\\|>#]){1,64}[A-Za-z0-9+/=]{1,15}(?=
 #: around a piece that prime the compressor, of a piece of a long candidate, and
 #: of the shortest candidate.
 REACH, AROUND, PIECE, SHORTEST = 64, 512, 512, 16
-#: Least share of the bytes of a random base-64 string that are novel, and
-#: least number of kinds (lower, upper, digit, sign) in a candidate.
-NOVELTY, CLASSES = 0.8, 3
+#: Least share of the bytes of a random string that are novel.
+NOVELTY = 0.8
 
 #: Identifiers that surround credentials in code; primes the compressor.
 IDENTIFIERS = " ".join(
@@ -70,6 +75,47 @@ _HEX_MAP = bytes(104 if chr(i) in "0123456789abcdef" else 46 for i in range(256)
 _LITERALS = tuple(sorted({w.encode() for w in CONTEXT} | {b"api"}))
 
 
+_LETTERS = re.compile(r"[A-Za-z]{0,32}\Z")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[A-Z]+")
+#: Alphabets smaller than base 64.
+_ALPHABETS = tuple((size, re.compile(f"[{x}]+")) for size, x in ((10, "0-9"), (16, "0-9a-f"), (16, "0-9A-F"), (26, "a-z"), (26, "A-Z")))
+#: Least letters of a known word that is a whole part of an identifier, or
+#: stands in a part; bytes of a word's number in the vocabulary.
+WHOLE, INSIDE, WORD_BYTES = 3, 5, 2
+
+
+@cache
+def _vocabulary() -> tuple[frozenset[str], int]:
+    """The lower-case ASCII words of a tokenizer's vocabulary, and the length
+    of the longest."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        pieces = json.load(file)["model"]["vocab"]
+    words = (piece.lstrip("\u0120").lower() for piece in pieces)
+    known = frozenset(w for w in words if len(w) >= WHOLE and w.isascii() and w.isalpha())
+    return known, max(map(len, known))
+
+
+def _words(token: str) -> list[tuple[int, int]]:
+    """Where the known words in a token start and end."""
+    known, longest = _vocabulary()
+    out = []
+    for m in _WORD.finditer(token):
+        low, i = m[0].lower(), 0
+        if len(low) >= WHOLE and low in known:
+            out.append(m.span())
+            continue
+        while i + INSIDE <= len(low):
+            size = next((n for n in range(min(longest, len(low) - i), INSIDE - 1, -1) if low[i : i + n] in known), 0)
+            out += [(m.start() + i, m.start() + i + size)] if size else []
+            i += size or 1
+    return out
+
+
+def _bits(token: str) -> float:
+    """Bits of a character of a random string in the alphabet of a token."""
+    return next((math.log2(size) for size, alphabet in _ALPHABETS if alphabet.fullmatch(token)), 6)
+
+
 class _Novelty:
     """Marginal compressed bytes under the identifier dictionary."""
 
@@ -85,6 +131,23 @@ class _Novelty:
         added = self._size(context + candidate.encode()) - self._size(context)
         return max(0.0, added / (0.75 * len(candidate)))
 
+    def unexplained(self, candidate: str, before: str, after: str) -> float:
+        """The share over the bytes of a random string in the candidate's own
+        alphabet, where each known word costs WORD_BYTES at most.  The first
+        word may start before the candidate."""
+        around, expected = before + after, _bits(candidate) / 8 * len(candidate)
+        share = self.share(candidate, around) * 0.75 * len(candidate) / expected
+        if share < NOVELTY:
+            return share
+        head = _LETTERS.search(before[-32:])[0]
+        words = [(s - len(head), e - len(head)) for s, e in _words(head + candidate) if e > len(head)]
+        rest, at = "", 0
+        for s, e in words:
+            rest, at = rest + candidate[at : max(s, 0)], e
+        rest += candidate[at:]
+        added = 0.75 * len(rest) * self.share(rest, around) if rest else 0
+        return min(share, (added + WORD_BYTES * len(words)) / expected) if words else share
+
 
 def _may_hold(data: bytes) -> bool:
     """Whether a text can match anything."""
@@ -102,11 +165,7 @@ def _measure(text: str, starts: list[int], end: int, novelty: _Novelty) -> tuple
     for start, stop in zip(starts, [*starts[1:], end]):
         for a in range(start, min(stop, end - SHORTEST + 1), PIECE):
             b = a + PIECE if end - a - PIECE >= SHORTEST else end
-            piece = text[a:b]
-            kinds = any(map(str.islower, piece)) + any(map(str.isupper, piece)) + any(map(str.isdigit, piece))
-            if kinds + (not piece.isalnum()) < CLASSES or not any(map(str.isdigit, piece)):
-                continue
-            share = novelty.share(piece, text[max(0, a - AROUND) : a] + text[b : b + AROUND])
+            share = novelty.unexplained(text[a:b], text[max(0, a - AROUND) : a], text[b : b + AROUND])
             if share >= NOVELTY:
                 return start, share
     return None

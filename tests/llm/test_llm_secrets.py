@@ -144,3 +144,29 @@ def test_redaction_takes_out_long_secrets(spark):
     out = {r["doc_id"]: r["text"] for r in secrets.redact(table).collect()}
     for i, (_, gone, stays) in enumerate(cases):
         assert stays in out[i] and not any(part in out[i] for part in gone)
+
+
+SAID = ["auth: {}", "credential = '{}';", "the request was sent with auth: {} and the reply was read later on", '{{\n  "bearer": "{}"\n}}']
+ALPHABETS = {
+    "base 32": B64[:26] + "234567", "base 36": B64[26:62], "lower": B64[26:52], "upper": B64[:26], "letters": B64[:52],
+    "hex": "0123456789ABCDEF", "base 64": B64,
+}
+
+
+def test_any_alphabet_is_novel():
+    novelty = secrets._Novelty()
+    assert [x[2] for x in secrets.scan("auth: JBSWY3DPEHPK3PXP2A7Q4ZTW6M5KHL2R", novelty)] == ["novel"]
+    for name, alphabet in ALPHABETS.items():
+        for n in (16, 20, 24, 32, 40, 600):
+            text = SAID[n % len(SAID)].format(made(n, n, alphabet))
+            assert [x[2] for x in secrets.scan(text, novelty)] == ["novel"], (name, text)
+
+
+def test_plain_identifiers_are_not_novel():
+    names = """responsibilities getAuthenticationProvider user_registration_form self-contained-example process_env_get_value
+        /usr/local/share/applications UserPasswordAuthenticationFilter MAX_CONNECTION_POOL_SIZE max_retry_attempts_per_minute
+        authorization_middleware src/main/java/com/example/auth/TokenProvider ----------------""".split()
+    novelty = secrets._Novelty()
+    for name in names:
+        for said in SAID:
+            assert secrets.scan(said.format(name), novelty) == [], said.format(name)
