@@ -44,8 +44,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
 #: Words after which a token may be a credential.
-CONTEXT = ("password", "passwd", "secret", "token", "apikey", "api_key", "api-key", "auth", "bearer", "credential", "private key", "access key")
-_SENSITIVE = re.compile("|".join(map(re.escape, CONTEXT)), re.ASCII | re.IGNORECASE)
+CONTEXT = ("password", "passwd", "pwd", "passphrase", "secret", "token", "auth", "bearer", "credential")
+#: Words that make a context with "key", written as one word or two.
+KEYS = ("private", "access", "secret", "signing", "encryption", "api")
+_SENSITIVE = re.compile(f"(?:{'|'.join(KEYS)})[ _-]?key|{'|'.join(CONTEXT)}", re.ASCII | re.IGNORECASE)
 _START = re.compile(r"[A-Za-z0-9+/_=-]{16}")
 _REST = re.compile(r"[A-Za-z0-9+/_=-]*")
 #: What may stand between a candidate and one that adjoins it (also line breaks
@@ -72,7 +74,7 @@ IDENTIFIERS = " ".join(
 ).encode()
 
 _HEX_MAP = bytes(104 if chr(i) in "0123456789abcdef" else 46 for i in range(256))
-_LITERALS = tuple(sorted({w.encode() for w in CONTEXT} | {b"api"}))
+_LITERALS, _KEYS = (tuple(w.encode() for w in words) for words in (CONTEXT, KEYS))
 
 
 _LETTERS = re.compile(r"[A-Za-z]{0,32}\Z")
@@ -154,7 +156,7 @@ def _may_hold(data: bytes) -> bool:
     if b"AKIA" in data or b"h" * 24 in data.translate(_HEX_MAP):
         return True
     low = data.lower()
-    return any(word in low for word in _LITERALS)
+    return any(word in low for word in _LITERALS) or (b"key" in low and any(word in low for word in _KEYS))
 
 
 def _measure(text: str, starts: list[int], end: int, novelty: _Novelty) -> tuple[int, float] | None:

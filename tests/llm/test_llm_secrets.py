@@ -170,3 +170,18 @@ def test_plain_identifiers_are_not_novel():
     for name in names:
         for said in SAID:
             assert secrets.scan(said.format(name), novelty) == [], said.format(name)
+
+
+def test_spellings_of_context_words(spark):
+    words = ["password", "passwd", "pwd", "passphrase", "secret", "token", "auth", "bearer", "credential"]
+    for first in ("private", "access", "secret", "signing", "encryption", "api"):
+        words += [f"{first}{gap}key" for gap in (" ", "_", "-", "")] + [f"{first}Key", f"{first.upper()}_KEY"]
+    forms = ['{{"{}": "{}"}}', "{} = {}", "the {} is {}"]
+    texts = [form.format(w, made(i, 40)) for i, w in enumerate(words) for form in forms]
+    for text in texts:
+        # some are spans of the base pattern, which goes first
+        assert covered(text) >= set(range(text.index(made(texts.index(text) // 3, 40)), len(text.rstrip('"}')))), text
+    table = docs(spark, [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)])
+    assert all("[REDACTED]" in r["text"] for r in secrets.redact(table).collect())
+    for text in ("the monkey has private access to {}", "an encryption of the donkey {}"):
+        assert not covered(text.format(made(1, 40)))
