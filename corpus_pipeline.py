@@ -17,10 +17,10 @@ from matchday.llm.queries import TOKENIZER
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents without a language: null texts and texts without a
-    letter.  Trained on every labelled row of ``docs``."""
-    named = language.predict(docs, language.train(docs), label="__label", score="__score")
-    return named.filter(named["__label"] != language.UNKNOWN).select(*docs.columns)
+    """Drop null texts and texts without a letter, and no others, whatever the
+    labels.  Trained on every labelled row of ``docs``."""
+    named = language.predict(docs, language.train(docs), label="__label", score="__score", lettered="__lettered")
+    return named.filter("__lettered").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

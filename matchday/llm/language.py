@@ -141,12 +141,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", buckets: int
     )
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lang_pred", score: str = "score") -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lang_pred", score: str = "score",
+            lettered: str | None = None) -> DataFrame:
     """Append the most probable language of every whole text and its posterior.
 
     Texts that are null or have no letter get ``und`` and score 0, as do all
     texts under a model without languages.  Equal posteriors go to the first
-    language by name.  Columns that already bear the two names are replaced.
+    language by name.  ``lettered`` names a third column, whether the text has a
+    letter; that depends on no model, and ``und`` may also be a language that
+    was learned.  Columns that already bear these names are replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -169,11 +172,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text", label: str = "lan
                 value = np.where(known, 1.0 / np.exp(sums - top).sum(1), 0.0)
             else:
                 best, value = np.zeros(len(texts), int), np.zeros(len(texts))
-            return [pa.array(names[best], pa.string()), pa.array(value)]
+                known[:] = [t is not None and any(map(str.isalpha, t)) for t in texts]
+            return [pa.array(names[best], pa.string()), pa.array(value), pa.array(known)]
 
         return compute
 
-    return map_text(docs, [field(label, "string"), field(score, "double")], make, text)
+    fields = [field(label, "string"), field(score, "double")]
+    return map_text(docs, fields + ([field(lettered, "boolean")] if lettered else []), make, text)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

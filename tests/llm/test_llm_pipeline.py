@@ -96,3 +96,11 @@ def test_every_query_reads_whole_tables(spark):
         assert entry.queries()[name](spark, SMALL).count() == counts["documents"], name
     assert len(rows()) > 40
     assert neardup.Settings().percent == 80
+
+
+@pytest.mark.parametrize("labels", [(None,), ("und",), ("und", "en", None)])
+def test_language_stage_keeps_every_text_with_a_letter(spark, labels):
+    table = docs(spark, [(d, text, labels[i % len(labels)], source, n) for i, (d, text, _, source, n) in enumerate(rows())])
+    kept = corpus_pipeline.identify_language(spark, table, SMALL).collect()
+    want = [r for r in table.collect() if r["text"] and any(map(str.isalpha, r["text"]))]
+    assert kept and Counter(r["doc_id"] for r in kept) == Counter(r["doc_id"] for r in want)
