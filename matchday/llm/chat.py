@@ -14,7 +14,7 @@ control string survives inside a text and the texts can be read back.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -110,14 +110,15 @@ def _turns(layout: Layout, value) -> Column:
     return F.array(*[F.struct(F.lit(r).alias("role"), text_of(p).alias("text")) for r, p in layout.turns]).cast(TURNS)
 
 
-def _select(print_: Column, layouts: Sequence[Layout], value) -> tuple[Column, Column]:
-    """(turns, layout name) by fingerprint; null turns and 'unknown' if none."""
-    turns, name = F.lit(None).cast(TURNS), F.lit("unknown")
+def _select(print_: Column, layouts: Sequence[Layout | TurnRows], made, none: Column) -> tuple[Column, Column]:
+    """(``made`` of the layout, layout name) by fingerprint; ``none`` and
+    'unknown' if none."""
+    out, name = none, F.lit("unknown")
     for layout in layouts:
         fits = print_ == fingerprint(layout.paths)
-        turns = F.when(fits, _turns(layout, value)).otherwise(turns)
+        out = F.when(fits, made(layout)).otherwise(out)
         name = F.when(fits, F.lit(layout.name)).otherwise(name)
-    return turns, name
+    return out, name
 
 
 def schema_paths(schema: T.StructType) -> list[str]:
@@ -145,7 +146,11 @@ def table_turns(records: DataFrame, layouts: Sequence[Layout] = LAYOUTS) -> Data
     """
     paths = [p for p in schema_paths(records.schema) if p in _known(layouts)]
     fitting = [layout for layout in layouts if set(layout.paths) <= set(paths)]
-    turns, name = _select(fingerprint(paths), fitting, lambda path, kind: F.col(path) if kind.startswith("array") else F.col(path).cast(kind))
+
+    def value(path: str, kind: str) -> Column:
+        return F.col(path) if kind.startswith("array") else F.col(path).cast(kind)
+
+    turns, name = _select(fingerprint(paths), fitting, lambda layout: _turns(layout, value), F.lit(None).cast(TURNS))
     return records.withColumns({"turns": turns, "layout": name})
 
 
@@ -166,9 +171,11 @@ def json_turns(records: DataFrame, record: str = "record", layouts: Sequence[Lay
         lambda p: p.isNotNull(),
     )
     held = records.withColumn("__record", parsed).withColumn("__print", F.xxhash64(F.array_join(found, "\n")))
-    turns, name = _select(
-        F.col("__print"), layouts, lambda path, kind: F.try_variant_get("__record", f"$.{path}", kind)
-    )
+
+    def value(path: str, kind: str) -> Column:
+        return F.try_variant_get("__record", f"$.{path}", kind)
+
+    turns, name = _select(F.col("__print"), layouts, lambda layout: _turns(layout, value), F.lit(None).cast(TURNS))
     return held.withColumns({"turns": turns, "layout": name}).drop("__record", "__print")
 
 
@@ -203,17 +210,22 @@ def row_turns(rows: DataFrame, layouts: Sequence[TurnRows] = TURN_ROWS) -> DataF
     conversation is one formatted text, hence one row, of at most 2 GB.
     """
     columns = [c for c in rows.columns if c in {p for layout in layouts for p in layout.paths}]
-    own = "\n".join(sorted(columns))
-    layout: Mapping[str, TurnRows] = {"\n".join(sorted(x.paths)): x for x in layouts}
-    if own not in layout:
+    fitting = [layout for layout in layouts if set(layout.paths) <= set(columns)]
+    if not any(set(layout.paths) == set(columns) for layout in fitting):
         raise ValueError(f"no layout of one row a turn has the columns {columns}")
-    chosen = layout[own]
-    turn = F.struct(
-        F.col(chosen.order).alias("turn"),
-        F.coalesce(F.col(chosen.role), F.lit("")).alias("role"),
-        F.coalesce(F.col(chosen.text), F.lit("")).alias("text"),
+
+    def row(layout: TurnRows) -> Column:
+        turn = F.struct(
+            F.col(layout.order).alias("turn"),
+            F.coalesce(F.col(layout.role), F.lit("")).alias("role"),
+            F.coalesce(F.col(layout.text), F.lit("")).alias("text"),
+        )
+        return F.struct(F.col(layout.conversation).alias("conv_id"), turn.alias("turn"))
+
+    mapped, _ = _select(fingerprint(columns), fitting, row, F.lit(None))
+    gathered = rows.select(mapped.alias("row")).groupBy(F.col("row.conv_id").alias("conv_id")).agg(
+        F.sort_array(F.collect_list("row.turn")).alias("found")
     )
-    gathered = rows.groupBy(F.col(chosen.conversation).alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("found"))
     return gathered.select(
         "conv_id", F.transform("found", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns")
     )

@@ -102,3 +102,10 @@ def test_empty_table_and_long_conversation(spark):
 def test_main_path_is_native(spark):
     plan = chat.report(spark.createDataFrame([], ROWS))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_come_through_the_hashed_mapping(spark):
+    for names in ("conv_id, turn, role, text", "thread_id, position, author, body"):
+        made = chat.row_turns(spark.sql(f"SELECT * FROM VALUES (1L, 1L, 'assistant', 'b'), (1L, 0L, 'user', NULL) AS t({names})"))
+        assert "xxhash64" in made._jdf.queryExecution().analyzed().toString()
+        assert [(r["conv_id"], [tuple(t) for t in r["turns"]]) for r in made.collect()] == [(1, [("user", ""), ("assistant", "b")])]
