@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values of the event data model (literal strings of the event feed).
@@ -109,3 +109,15 @@ def local_wall_clock(seconds: str | Column, zone: str = "UTC") -> Column:
     if zone.upper() in ("UTC", "ETC/UTC", "Z", "GMT"):
         return utc
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """For each name, one that no column of ``df`` bears: scratch columns
+    must not replace a user's own."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

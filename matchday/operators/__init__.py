@@ -30,8 +30,9 @@ from matchday.operators.presence import (
     presence_rows,
     substitution_rows,
 )
+from matchday.operators.ranking import global_positions, group_positions, numbered
 from matchday.operators.results import match_results, team_match_rows
-from matchday.operators.standings import competition_totals, league_table, season_standings
+from matchday.operators.standings import competition_totals, league_table, overall_table, season_standings
 from matchday.operators.summary import best_teams_from_events, match_summary
 from matchday.operators.topn import (
     best_teams,
@@ -58,7 +59,9 @@ __all__ = [
     "best_teams_from_events",
     "match_summary",
     "fit_label_index",
+    "global_positions",
     "goal_minutes",
+    "group_positions",
     "label_index_map",
     "league_table",
     "lineup_rows",
@@ -72,6 +75,8 @@ __all__ = [
     "most_minutes_by_role",
     "naive_bayes_job",
     "nonnegative_rows",
+    "numbered",
+    "overall_table",
     "pass_ratio_by_team",
     "player_presence",
     "presence_rows",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import signed_text
+from matchday.operators.ranking import global_positions
 
 
 def season_standings(team_rows: DataFrame) -> DataFrame:
@@ -80,3 +81,18 @@ def league_table(standings: DataFrame, competition: str | None = None, by_season
         signed_text("gd").alias("gd"),
         "pts",
     ).orderBy(*groups, "pos")
+
+
+def overall_table(standings: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Every team and season of all competitions in one order of merit.
+
+    Positions are those of a global sort in table order; equal rows go by
+    competition, then season, nulls first.  No group and no global window: see
+    ``ranking.global_positions``.
+
+    Output: position bigint (from 1), competition, season, team, pld, w, d, l,
+    gf, ga, gd bigint, pts.
+    """
+    order = [*table_order(), F.asc("competition"), F.asc("season")]
+    ranked = global_positions(competition_totals(standings, by_season=True), order, partitions=partitions)
+    return ranked.select("position", "competition", "season", "team", "pld", "w", "d", "l", "gf", "ga", "gd", "pts")

@@ -29,6 +29,11 @@ def league_table(spark: SparkSession, base: str, competition: str | None = None)
     return op.league_table(season_standings(spark, base), competition)
 
 
+def global_positions(spark: SparkSession, base: str) -> DataFrame:
+    """Positions of all teams and seasons of all competitions in one order."""
+    return op.overall_table(season_standings(spark, base))
+
+
 def match_pass_counts(spark: SparkSession, base: str) -> DataFrame:
     return op.match_pass_counts(events_view(spark, base))
 

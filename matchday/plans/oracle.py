@@ -402,6 +402,15 @@ FROM fb_totals
 """,
         "fb_totals",
     ),
+    "global_positions": with_views(
+        """
+SELECT row_number() OVER (ORDER BY pts DESC, gd DESC, gf DESC, team, competition, season) AS position, *
+FROM (SELECT competition, season, team, games AS pld, wins AS w, draws AS d, losses AS l, goals_scored AS gf,
+             goals_conceded AS ga, goals_scored - goals_conceded AS gd, points AS pts
+      FROM fb_standings) totals
+""",
+        "fb_standings",
+    ),
     "match_pass_counts": with_views("SELECT * FROM fb_pass_counts", "fb_pass_counts"),
     "pass_ratio_by_team": with_views("SELECT * FROM fb_ratios", "fb_ratios"),
     "lowest_pass_ratio": with_views(

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(
@@ -72,3 +73,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="matchday-ckpt-", dir=base)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, as Parquet in the session's checkpoint folder.
+
+    The rows outlive any executor, and what depends on the order of a single
+    run (partition numbers, places in a partition) stays as it was written.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,6 +8,7 @@ from helpers import canon
 
 NAMES = [
     "league_table",
+    "global_positions",
     "best_teams",
     "lowest_pass_ratio",
     "pass_ratio_by_team",
