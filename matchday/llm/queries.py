@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm import chat, curves, language, licenses, mixing, neardup, packing, secrets, tokens, topk
+from matchday.llm import chat, curves, language, licenses, merkle, mixing, neardup, packing, secrets, tokens, topk
 from matchday.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A proof of every document from the root over all languages."""
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_curve_neighbours": op1_curve_neighbours,
     "op2_language_id": op2_language_id,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_secret_scan": op10_secret_scan,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: DuckDB SQL of the queries whose rows SQL can state.
@@ -142,4 +148,55 @@ ORACLES: dict[str, str] = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
             vec_id, score
         FROM scored QUALIFY rank <= 5""",
+    "op13_merkle_manifest": """
+        WITH RECURSIVE encoded AS (
+            SELECT doc_id, lang, n_chars,
+                coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                coalesce(strlen(text) || ':' || text, '-') AS tail,
+                xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), lambda crc, b:
+                    list_reduce([0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda x, i:
+                        CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)),
+                    4294967295::BIGINT), 4294967295) % 7 = 0 AS hit
+            FROM documents),
+        leaves AS (
+            SELECT doc_id, lang, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                sha256(head || coalesce(strlen((n_chars + coalesce(hit, false)::INT)::VARCHAR) || ':'
+                    || (n_chars + coalesce(hit, false)::INT), '-') || tail) AS shown
+            FROM encoded),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                count(*) OVER (PARTITION BY lang) AS n
+            FROM leaves),
+        nodes AS (
+            SELECT 0 AS lvl, lang, pos, n, leaf AS h FROM ranked
+            UNION ALL SELECT lvl + 1, lang, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+            FROM nodes WHERE n > 1 GROUP BY lvl, lang, pos // 2),
+        subroots AS (
+            SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+            FROM nodes WHERE n = 1),
+        tops AS (
+            SELECT 0 AS lvl, pos, n, h FROM subroots
+            UNION ALL SELECT lvl + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+            FROM tops WHERE n > 1 GROUP BY lvl, pos // 2),
+        steps AS (
+            SELECT r.lang, r.pos, a.lvl, (a.pos & 1)::VARCHAR || coalesce(b.h, '') AS step
+            FROM ranked r JOIN nodes a ON a.lang IS NOT DISTINCT FROM r.lang AND a.pos = r.pos >> a.lvl AND a.n > 1
+            LEFT JOIN nodes b ON b.lang IS NOT DISTINCT FROM a.lang AND b.lvl = a.lvl AND b.pos = xor(a.pos, 1)
+            UNION ALL
+            SELECT r.lang, r.pos, 100 + a.lvl, (a.pos & 1)::VARCHAR || coalesce(b.h, '')
+            FROM ranked r JOIN subroots s ON s.lang IS NOT DISTINCT FROM r.lang
+            JOIN tops a ON a.pos = s.pos >> a.lvl AND a.n > 1
+            LEFT JOIN tops b ON b.lvl = a.lvl AND b.pos = xor(a.pos, 1)),
+        paths AS (
+            SELECT lang, pos, list(step ORDER BY lvl) AS path, string_agg(substr(step, 2), '' ORDER BY lvl) AS joined
+            FROM steps GROUP BY lang, pos),
+        folded AS (
+            SELECT r.doc_id, r.leaf, s.h AS subroot, (SELECT h FROM tops WHERE n = 1) AS root,
+                sha256(coalesce(joined, '')) AS proof_sha256,
+                CASE WHEN path IS NULL THEN shown ELSE list_reduce(path, lambda h, e:
+                    sha256(CASE WHEN e[1] = '1' THEN substr(e, 2) || h ELSE h || substr(e, 2) END), shown) END AS folded_root
+            FROM ranked r JOIN subroots s ON s.lang IS NOT DISTINCT FROM r.lang
+            LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM r.lang AND p.pos = r.pos)
+        SELECT *, folded_root = root AS verified FROM folded""",
 }
