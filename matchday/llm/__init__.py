@@ -11,6 +11,9 @@
 ``neardup``    near-duplicate groups from SetSketch registers
 ``topk``       exact top-k inner products with norm and residual bounds
 ``secrets``    secret scans by zstandard novelty
+``pii``        personal data by weak supervision (built-in functions)
+``negatives``  hard negatives from Hilbert-ordered blocks with zone maps
+``merkle``     Merkle manifests by content-addressed descent
 ``queries``    the registered queries over the given tables
 =============  =====================================================
 

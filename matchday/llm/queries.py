@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm import chat, curves, language, licenses, merkle, mixing, neardup, packing, secrets, tokens, topk
+from matchday.llm import chat, curves, language, licenses, merkle, mixing, neardup, negatives, packing, pii, secrets, tokens, topk
 from matchday.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 100th vector."""
+    return negatives.report(table(spark, sf_dir, "embeddings"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A proof of every document from the root over all languages."""
     return merkle.report(table(spark, sf_dir, "documents"))
@@ -90,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_secret_scan": op10_secret_scan,
+    "op11_pii": op11_pii,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -148,6 +160,25 @@ ORACLES: dict[str, str] = {
         SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
             vec_id, score
         FROM scored QUALIFY rank <= 5""",
+    "op12_hard_negatives": """
+        WITH vectors AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.v, c.v)::BIGINT AS score
+            FROM vectors a JOIN vectors c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+            (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+            vec_id AS negative_id, positive_score, score AS negative_score
+        FROM positives JOIN scored USING (anchor_id)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10""",
     "op13_merkle_manifest": """
         WITH RECURSIVE encoded AS (
             SELECT doc_id, lang, n_chars,
