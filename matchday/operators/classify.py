@@ -1,24 +1,25 @@
 """Train/test split, feature preparation and the two classifiers.
 
-Training and scoring are ``pyspark.ml`` jobs: statistics are aggregated on
-executors and only the fitted model (bounded by classes x features x tree
-nodes) reaches the driver.
+Naive Bayes is a ``pyspark.ml`` job, the forest one of ``forest``: statistics
+are aggregated on executors and only the fitted model (bounded by classes x
+features x tree nodes) reaches the driver.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from contextlib import contextmanager
 
-from pyspark import StorageLevel
-
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import NaiveBayes, RandomForestClassifier
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchday.functions.columns import int_div
+from matchday.functions.columns import free_names, int_div
+from matchday.operators.forest import Settings, apply_forest, fit_forest, row_key, spread
+from matchday.operators.joins import skew_join
+from matchday.operators.ranking import global_positions
+from matchday.operators.sampling import with_random_split
 
 LABEL_INDEX = "label_index"
 FEATURES = "features"
@@ -46,12 +47,14 @@ def split_rows(
     """Split into (train, test).
 
     ``method="key"``: deterministic key rule (``split_flag``), about
-    ``1/buckets`` test.  ``method="random"``: ``randomSplit(weights, seed)``,
-    which samples per partition and so changes with the input layout.
+    ``1/buckets`` test.  ``method="random"``: exactly the first of ``weights``
+    as its share of the rows, by a hash of each row and ``seed`` (see
+    ``sampling.with_random_split``).
     """
     if method == "random":
-        train, test = df.randomSplit(list(weights), seed=seed)
-        return train, test
+        drawn = with_random_split(df, float(weights[0]) / float(sum(weights)), seed, name=free_names(df, "_split")[0])
+        part = drawn.columns[-1]
+        return drawn.filter(F.col(part) == "train").drop(part), drawn.filter(F.col(part) == "test").drop(part)
     if method != "key":
         raise ValueError(f"unknown split method {method!r}")
     flag = split_flag(key, unit, buckets)
@@ -86,82 +89,40 @@ def label_index_map(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, (F.row_number().over(order) - 1).cast("double").alias(LABEL_INDEX), "n")
 
 
-#: Partitions of a training input.  Bootstrap samples are drawn by partition
-#: and row position, so this number is part of a seeded forest's definition,
-#: like the seed: raise it with the data, and expect another forest.
-TRAINING_PARTITIONS = 16
-
-
-def training_layout(df: DataFrame, partitions: int = TRAINING_PARTITIONS) -> DataFrame:
-    """The rows in a fixed order over a fixed number of partitions.
+def label_positions(df: DataFrame, label: str) -> DataFrame:
+    """The label index for any number of labels: positions in the order of
+    falling counts (ties by label text) over range partitions, no list of
+    labels on the driver and no window in one task.  Null labels have none.
 
-    Rows are dealt by a hash of all columns and sorted by all columns within a
-    partition.  The layout is a function of the rows and ``partitions`` alone,
-    whatever the cores, the input files or the order of the rows, and so is a
-    seeded forest trained on it.
+    Output: <label>, label_index double, n bigint.
     """
-    return df.repartition(partitions, *df.columns).sortWithinPartitions(*df.columns)
+    counts = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    placed = global_positions(counts, [F.desc("n"), F.col(label).cast("string")], LABEL_INDEX)
+    return placed.select(label, (F.col(LABEL_INDEX) - 1).cast("double").alias(LABEL_INDEX), "n")
+
+
+def with_label_index(df: DataFrame, label: str, **skew) -> DataFrame:
+    """Append ``label_index`` from ``label_positions`` to every row; a label
+    may hold any share of the rows (``joins.skew_join``, which takes ``skew``).
+    A null label has a null index."""
+    index = label_positions(df, label).drop("n")
+    return skew_join(df.drop(LABEL_INDEX), index, [label], "left", **skew).select(
+        *(c for c in df.columns if c != LABEL_INDEX), LABEL_INDEX
+    )
 
 
-@contextmanager
-def persisted(df: DataFrame):
-    """Keep ``df`` cached (memory, spilling to disk) for the block.  Lost
-    blocks are recomputed from lineage, so losing an executor is harmless."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
+def fit_label_indexes(df: DataFrame, labels: Sequence[str]) -> StringIndexerModel:
+    """One index for each of several labels, as ``fit_label_index``, in one
+    pass; their columns are ``label_index_<label>``."""
+    return StringIndexer(
+        inputCols=list(labels), outputCols=[f"{LABEL_INDEX}_{x}" for x in labels], stringOrderType="frequencyDesc", handleInvalid="error"
+    ).fit(df)
 
 
-def fit_input(df: DataFrame, features: Sequence[str], label: str, split: dict, partitions: int) -> DataFrame:
-    """The columns a fit needs; laid out for the random split, which draws by
-    position, so that fitting and scoring draw the same rows."""
-    cols = [*features, label]
-    if split.get("method", "key") == "key":
-        cols.append(split.get("key", "time"))
-    data = df.select(*dict.fromkeys(cols))
-    return data if split.get("method", "key") == "key" else training_layout(data, partitions)
-
-
-def fit_model(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    estimator,
-    split: dict | None = None,
-    indexer: StringIndexerModel | None = None,
-    partitions: int = TRAINING_PARTITIONS,
-    cache: bool = False,
-    suffix: str = "",
-) -> PipelineModel:
-    """Fit assembler, label index and classifier on the train part.
-
-    ``cache`` keeps the laid-out train part for the fit: worth it for trees,
-    which read it once a level, not for naive Bayes, which reads it once.
-    ``suffix`` sets apart the columns of several models on one table.
-    """
-    split = dict(split or {})
-    data = fit_input(df, features, label, split, partitions)
-    label_indexer = indexer or fit_label_index(data, label)
-    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES + suffix)
-    train = split_rows(data, **split)[0]
-    stages = [assembler, label_indexer, estimator]
-    if not cache:
-        return Pipeline(stages=stages).fit(train)
-    with persisted(training_layout(train, partitions)) as laid:
-        return Pipeline(stages=stages).fit(laid)
-
-
-def forest(num_trees: int = 8, seed: int = 1, suffix: str = "") -> RandomForestClassifier:
-    """A random forest of 8 trees, Spark's defaults otherwise.
-
-    The seed is explicit: left unset, PySpark derives it from a per-process
-    string hash and the forest changes between driver processes.
-    """
-    return RandomForestClassifier(
-        featuresCol=FEATURES + suffix, labelCol=LABEL_INDEX, numTrees=num_trees, seed=seed, **_outputs(suffix)
-    )
+def _columns(df: DataFrame, features: Sequence[str], label: str, split: dict) -> DataFrame:
+    """The columns that a job needs, its key rule's included."""
+    key = [split.get("key", "time")] if split.get("method", "key") == "key" else []
+    return df.select(*dict.fromkeys([*features, label, *key]))
 
 
 def bayes(smoothing: float = 1.0, suffix: str = "") -> NaiveBayes:
@@ -180,35 +141,35 @@ def _outputs(suffix: str) -> dict[str, str]:
 
 
 def random_forest_job(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    num_trees: int = 8,
-    seed: int = 1,
-    split: dict | None = None,
-    partitions: int = TRAINING_PARTITIONS,
+    df: DataFrame, features: Sequence[str], label: str, num_trees: int = 8, seed: int = 1, split: dict | None = None,
+    settings: Settings | None = None,
 ) -> DataFrame:
-    """Train a random forest on the train part and score the test part.
+    """Train a random forest on the train part and score the test part (see
+    ``forest``: 8 trees of depth 5 over 32 bins, unless ``settings`` say otherwise).
 
-    Output: the test rows with features, label_index, rawPrediction,
-    probability, prediction.
+    Output: the test rows with label_index, features (as a vector),
+    rawPrediction, probability, prediction.
     """
-    model = fit_model(df, features, label, forest(num_trees, seed), split, partitions=partitions, cache=True)
-    return model.transform(split_rows(fit_input(df, features, label, dict(split or {}), partitions), **(split or {}))[1])
+    split = dict(split or {})
+    data = _columns(df, features, label, split)
+    index = fit_label_index(data, label)
+    train, test = split_rows(data, **split)
+    settings = settings or Settings(trees=num_trees, seed=seed)
+    model = fit_forest(index.transform(train), features, LABEL_INDEX, len(index.labels), settings, row_key(data))
+    assembled = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(index.transform(spread(test)))
+    return apply_forest(assembled, model)
 
 
 def naive_bayes_job(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str,
-    smoothing: float = 1.0,
-    split: dict | None = None,
-    partitions: int = TRAINING_PARTITIONS,
+    df: DataFrame, features: Sequence[str], label: str, smoothing: float = 1.0, split: dict | None = None
 ) -> DataFrame:
     """Train multinomial naive Bayes (smoothing 1) on the train part and score
     the test part.  Features must be non-negative (see ``nonnegative_rows``).
 
     Output: as ``random_forest_job``.
     """
-    model = fit_model(df, features, label, bayes(smoothing), split, partitions=partitions)
-    return model.transform(split_rows(fit_input(df, features, label, dict(split or {}), partitions), **(split or {}))[1])
+    split = dict(split or {})
+    data = _columns(df, features, label, split)
+    assembler = VectorAssembler(inputCols=list(features), outputCol=FEATURES)
+    train, test = split_rows(data, **split)
+    return Pipeline(stages=[assembler, fit_label_index(data, label), bayes(smoothing)]).fit(train).transform(test)

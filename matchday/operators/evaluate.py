@@ -6,26 +6,20 @@ predictions (one job), not one action per metric.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import cyclic_within, half_up_ratio
-from matchday.operators.classify import (
-    LABEL_INDEX,
-    TRAINING_PARTITIONS,
-    bayes,
-    fit_input,
-    fit_label_index,
-    fit_model,
-    forest,
-    split_rows,
-)
+from matchday.operators.classify import LABEL_INDEX, bayes, fit_label_indexes, split_rows
+from matchday.operators.forest import Settings, apply_forest, fit_forest, row_key, spread
 from matchday.schemas import MEASUREMENT_FEATURES
 
 # English day names, Monday first, for calendar-order distances.
@@ -92,6 +86,27 @@ def evaluate_predictions(
     return preds.agg(F.count(F.lit(1)).alias("n_test"), *counts).select("n_test", *metrics)
 
 
+def evaluate_tables(preds: DataFrame, cycles: dict[str, int], orders: Sequence[str]) -> DataFrame:
+    """``evaluate_predictions`` for several labels of one table, in one pass.
+
+    Of each label, ``preds`` has label_index_<label>, prediction_<label> and
+    probability_<label>; ``cycles`` gives its cycle.
+
+    Output, a row a label and order: label, distance, cycle int, then as
+    ``evaluate_predictions``.
+    """
+    aggregates, rows = [], []
+    for name, cycle in cycles.items():
+        at = f"{LABEL_INDEX}_{name}"
+        for order in orders:
+            label, prediction = _compared(preds, order, at, f"prediction_{name}")
+            counts, metrics = _metrics(label, prediction, F.col(at), F.col(f"probability_{name}"), cycle, f"_{name}_{order}")
+            aggregates += counts
+            named = [F.lit(name).alias("label"), F.lit(order).alias("distance"), F.lit(cycle).alias("cycle"), F.col("n_test")]
+            rows.append(F.struct(*named, *metrics))
+    return preds.agg(F.count(F.lit(1)).alias("n_test"), *aggregates).select(F.inline(F.array(*rows)))
+
+
 def _compared(preds: DataFrame, order: str, label_col: str, prediction_col: str) -> tuple[Column, Column]:
     """True and predicted label as the numbers whose distance counts."""
     label, prediction = F.col(label_col), F.col(prediction_col)
@@ -107,6 +122,12 @@ def _compared(preds: DataFrame, order: str, label_col: str, prediction_col: str)
     return tuple(calendar_number(F.element_at(values, x.cast("int") + 1)) for x in (label, prediction))
 
 
+def exact_sum(probability: Column) -> Column:
+    """Sum of numbers between 0 and 1 that no order of summation changes: as
+    fixed point with 18 digits, whose sums are whole numbers that merge."""
+    return F.sum(probability.cast("decimal(19,18)"))
+
+
 def _metrics(
     label: Column, prediction: Column, index: Column, probability: Column, cycle: int, suffix: str = ""
 ) -> tuple[list[Column], list[Column]]:
@@ -118,14 +139,14 @@ def _metrics(
         F.count_if(label == prediction).alias(correct),
         F.count_if(cyclic_within(label, prediction, cycle, 1)).alias(one),
         F.count_if(cyclic_within(label, prediction, cycle, 2)).alias(two),
-        F.avg(true_prob).alias(prob),
+        exact_sum(true_prob).alias(prob),
     ]
     n = F.col("n_test")
     metrics = [
         half_up_ratio(correct, n, digits=2, scale=100).alias("correct"),
         half_up_ratio(one, n, digits=2, scale=100).alias("within_one"),
         half_up_ratio(two, n, digits=2, scale=100).alias("within_two"),
-        F.round(prob, 4).alias("avg_prob"),
+        F.round(F.col(prob).cast("double") / F.nullif(n, F.lit(0)), 4).alias("avg_prob"),
     ]
     return counts, metrics
 
@@ -192,68 +213,65 @@ def compare_models(*reports: DataFrame) -> DataFrame:
 def experiment_report(
     df: DataFrame,
     runs: Sequence[Run] = tuple(FOREST_RUNS),
-    order: str = "frequency",
+    order: str | Sequence[str] = "frequency",
     split: dict | None = None,
     parallelism: int = 1,
     seed: int = 1,
-    partitions: int = TRAINING_PARTITIONS,
 ) -> DataFrame:
     """One report row per run, in run order.
 
+    ``order``: how distances are measured; several give a row per order and
+    run, order by order, with a column ``distance``, from the same models.
+
     The runs are a short driver-side list.  Each is fitted by distributed
     jobs, up to ``parallelism`` at the same time from a thread pool, as
     ``CrossValidator(parallelism=...)`` does; each forest being fitted keeps
-    its train part in memory or on local disk, so that many train parts must
-    fit there.  All models then score the test part in one scan, each into its
-    own columns; one aggregation gives every metric of every run, and its row
-    is turned into one row per run.
+    the bins of its train part in memory or on local disk, so that many train
+    parts must fit there.  All models then score the test part in one scan,
+    each into its own columns; one aggregation gives every metric of every
+    run, and its row is turned into one row per run.
     """
-    split = dict(split or {})
+    split, orders = dict(split or {}), [order] if isinstance(order, str) else list(order)
+    unknown = [r.classifier for r in runs if r.classifier not in CLASSIFIER_NAMES]
+    if unknown:
+        raise ValueError(f"unknown classifier {unknown[0]!r}")
     columns = list(dict.fromkeys(c for r in runs for c in (*r.features, r.label)))
     if split.get("method", "key") == "key":
         columns.append(split.get("key", "time"))
     data = df.select(*dict.fromkeys(columns))
     # one label index per label, shared by the runs on that label
-    indexers = {
-        label: fit_label_index(data, label).setOutputCol(f"{LABEL_INDEX}_{label}") for label in dict.fromkeys(r.label for r in runs)
-    }
-
-    def fitted(position: int, run: Run):
-        suffix = f"_{position}"
-        if run.classifier not in CLASSIFIER_NAMES:
-            raise ValueError(f"unknown classifier {run.classifier!r}")
-        trees = run.classifier == "random_forest"
-        estimator = forest(seed=seed, suffix=suffix) if trees else bayes(suffix=suffix)
-        estimator = estimator.setLabelCol(f"{LABEL_INDEX}_{run.label}")
-        return fit_model(data, run.features, run.label, estimator, split, indexers[run.label], partitions, trees, suffix)
+    labels = list(dict.fromkeys(r.label for r in runs))
+    index = fit_label_indexes(data, labels)
+    classes = dict(zip(labels, map(len, index.labelsArray)))
+    train, test = (index.transform(part) for part in split_rows(data, **split))
+
+    def fitted(position: int, run: Run) -> Callable[[DataFrame], DataFrame]:
+        suffix, label = f"_{position}", f"{LABEL_INDEX}_{run.label}"
+        if run.classifier == "random_forest":
+            model = fit_forest(train, run.features, label, classes[run.label], Settings(seed=seed), row_key(data))
+            return lambda rows: apply_forest(rows, model, suffix)
+        assembler = VectorAssembler(inputCols=list(run.features), outputCol=f"features{suffix}")
+        return Pipeline(stages=[assembler, bayes(suffix=suffix).setLabelCol(label)]).fit(train).transform
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool:
         models = list(pool.map(lambda item: fitted(*item), enumerate(runs)))
 
-    features = list(dict.fromkeys(c for r in runs for c in r.features))
-    if split.get("method", "key") == "key":
-        test = split_rows(data, **split)[1]
-    else:  # drawn by position, hence from the layout of the fit
-        if len({(r.features, r.label) for r in runs}) > 1:
-            raise ValueError("a random split needs runs on the same columns")
-        test = split_rows(fit_input(data, features, runs[0].label, split, partitions), **split)[1]
-    for indexer in indexers.values():
-        test = indexer.transform(test)
+    test = spread(test)
+    for model in models:
+        test = model(test)
     aggregates, rows = [], []
-    for position, (run, model) in enumerate(zip(runs, models)):
-        assembler, _, classifier = model.stages
-        test = classifier.transform(assembler.transform(test))
-        suffix, index = f"_{position}", f"{LABEL_INDEX}_{run.label}"
-        label, prediction = _compared(test, order, index, f"prediction{suffix}")
-        cycle = parity_cycle(run.label) if order == "frequency" else calendar_cycle(run.label)
-        counts, metrics = _metrics(label, prediction, F.col(index), F.col(f"probability{suffix}"), cycle, suffix)
-        aggregates += counts
-        rows.append(
-            F.struct(
+    for distance in orders:
+        for position, run in enumerate(runs):
+            suffix, at = f"_{position}", f"{LABEL_INDEX}_{run.label}"
+            label, prediction = _compared(test, distance, at, f"prediction{suffix}")
+            cycle = parity_cycle(run.label) if distance == "frequency" else calendar_cycle(run.label)
+            counts, metrics = _metrics(label, prediction, F.col(at), F.col(f"probability{suffix}"), cycle, f"{suffix}_{distance}")
+            aggregates += counts
+            named = [
                 F.lit(CLASSIFIER_NAMES[run.classifier]).alias("classifier"),
                 F.lit(" ".join(run.features)).alias("input"),
                 F.lit(run.label).alias("label"),
                 *metrics,
-            )
-        )
+            ]
+            rows.append(F.struct(*named, *([] if isinstance(order, str) else [F.lit(distance).alias("distance")])))
     return test.agg(F.count(F.lit(1)).alias("n_test"), *aggregates).select(F.inline(F.array(*rows)))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.columns import SECOND_HALF
+from matchday.operators.joins import skew_join
 from matchday.schemas import MATCHES, require_columns
 
 _SUBS = ["substitution1", "substitution2", "substitution3"]
@@ -204,6 +205,29 @@ def player_presence(
     return rows.withColumn("minutes", F.col("end_minute") - F.col("start_minute"))
 
 
+def presence_from_flat(lineups: DataFrame, substitutions: DataFrame, **skew) -> DataFrame:
+    """``player_presence`` from flat tables: line-ups (as of ``lineup_rows``)
+    and substitutions (as of ``substitution_rows``) without a bounded array per match.
+
+    A left join on (match, player taken off) finds who was replaced.  One
+    match, or rows without ids, may hold any share of the rows: see
+    ``joins.skew_join``, which takes ``skew``.  Equal line-up rows give an
+    interval each.
+
+    Output: as ``player_presence``.
+    """
+    off = substitutions.select("match_id", F.col("player_out_id").alias("player_id"), "sub_minute")
+    started = skew_join(lineups, off, ["match_id", "player_id"], "left", **skew)
+    keys = ["match_id", "player_id", "competition", "season", "player_team"]
+    end = F.coalesce("sub_minute", "match_length").cast("long").alias("end_minute")
+    starters = started.select(*keys, "start_minute", end)
+    came_on = substitutions.select(
+        *keys, F.col("sub_minute").alias("start_minute"), F.col("match_length").cast("long").alias("end_minute")
+    )
+    rows = starters.unionByName(came_on)
+    return rows.withColumn("minutes", F.col("end_minute") - F.col("start_minute"))
+
+
 def minutes_per_player(presence: DataFrame) -> DataFrame:
     """Total minutes per player over all matches (partial aggregation first).
 

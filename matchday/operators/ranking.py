@@ -42,11 +42,13 @@ def numbered(df: DataFrame, name: str = "position") -> DataFrame:
     """Append gapless numbers from 0, in the order of the partitions.
 
     The order is that of one stored run: it does not change afterwards, and
-    means nothing where ``df`` has no order of its own.
+    means nothing where ``df`` has no order of its own.  A column that bears
+    ``name`` is replaced.
     """
     kept, part, place = _by_partition(df, "numbered")
     starts = list(accumulate(_counts(kept, part), initial=0))
-    return kept.withColumn(name, F.col(place) + _looked_up(starts, part)).drop(part, place)
+    own = [c for c in df.columns if c.lower() != name.lower()]
+    return kept.select(*own, (F.col(place) + _looked_up(starts, part)).alias(name))
 
 
 def global_positions(df: DataFrame, order: Sequence[Column | str], name: str = "position", partitions: int | None = None) -> DataFrame:

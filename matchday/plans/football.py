@@ -72,6 +72,12 @@ def player_presence(spark: SparkSession, base: str) -> DataFrame:
     return op.player_presence(matches_view(spark, base), events_view(spark, base))
 
 
+def presence_from_flat(spark: SparkSession, base: str) -> DataFrame:
+    """The same intervals from flat line-up and substitution tables, by a join
+    that splits hot keys."""
+    return op.presence_from_flat(lineup_rows(spark, base), substitution_rows(spark, base))
+
+
 def minutes_per_player(spark: SparkSession, base: str) -> DataFrame:
     return op.minutes_per_player(player_presence(spark, base))
 

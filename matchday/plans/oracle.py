@@ -697,3 +697,171 @@ WHERE (c.time // 60) % 5 = 0
     "fb_calendar",
     "cy_index_month",
 )
+
+
+# --- random forests, stated in SQL --------------------------------------------
+# Bins: quantiles of a histogram of 4096 equal cells between the least and the
+# greatest train value.  Bags: four hex digits of md5(row key : seed : tree div
+# 8) against the Poisson distribution.  Each node looks at the features with
+# the smallest md5(seed : tree : node : feature).  Cuts: all (node, feature,
+# bin) against all label weights of the node; the greatest sum of squares over
+# sum on both sides wins, then the first feature and bin.  Votes: a leaf's
+# label weights in units of 2^-40, rounded down, summed over trees.
+
+#: 65536 times the Poisson distribution function with mean 1, rounded down.
+_POISSON = [24109, 48218, 60273, 64291, 65296, 65497, 65530, 65535]
+_SEVEN = [
+    "temperature", "humidity", "wind_speed", "power_tenants", "power_maintenance", "power_solar_panels", "electricity_price",
+]
+
+
+def _forest_views(
+    name: str, rows: str, features: list[str], label: str, key: list[str], trees: int = 8, depth: int = 5, subset: int = 0, bagged: bool = True
+) -> str:
+    """Register the CTEs of one forest; the name of its predictions, a row a
+    test row: rid, columns of the rows, label_index, prediction, p."""
+    looked = subset or next(m for m in range(1, 10) if m * m >= len(features))
+    column = lambda template: ", ".join(template.format(i=i, f=f) for i, f in enumerate(features))
+    digests = ", ".join(f"md5({' || '.join(['concat_ws(' + repr('|') + ', ' + ', '.join(key) + ')', repr(f':1:{t}')])})" for t in range(-(-trees // 8)))
+    _cte(f"{name}_index", [rows], f"""
+SELECT {label}, row_number() OVER (ORDER BY n DESC, CAST({label} AS VARCHAR) ASC) - 1 AS label_index
+FROM (SELECT {label}, count(*) AS n FROM {rows} GROUP BY {label}) counts
+""")
+    _cte(f"{name}_rows", [rows, f"{name}_index"], f"""
+SELECT row_number() OVER () AS rid, r.*, i.label_index, (r.time // 60) % 5 = 0 AS is_test, [{digests}] AS digests
+FROM {rows} r JOIN {name}_index i ON r.{label} = i.{label}
+""")
+    _cte(f"{name}_ends", [f"{name}_rows"], "UNION ALL".join(f"""
+SELECT {i} AS feature, min({f}) AS low, max({f}) AS high FROM {name}_rows WHERE NOT is_test
+""" for i, f in enumerate(features)))
+    _cte(f"{name}_cells", [f"{name}_rows", f"{name}_ends"], f"""
+SELECT rid, is_test, feature, CASE WHEN high > low
+    THEN greatest(0, least(4095, floor((x - low) / (high - low) * 4096.0::DOUBLE)))::BIGINT ELSE 0 END AS cell
+FROM (SELECT rid, is_test, unnest([{column("{i}")}]) AS feature, unnest([{column("{f}")}]) AS x FROM {name}_rows) long
+JOIN {name}_ends USING (feature)
+""")
+    _cte(f"{name}_grid", [f"{name}_cells"], f"""
+SELECT feature, cell, coalesce(sum(n) OVER (PARTITION BY feature ORDER BY cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    * 32 // sum(n) OVER (PARTITION BY feature) AS bin
+FROM (SELECT f.feature, c.cell, coalesce(k.n, 0) AS n
+      FROM range(0, {len(features)}) AS f(feature) CROSS JOIN range(0, 4096) AS c(cell)
+      LEFT JOIN (SELECT feature, cell, count(*) AS n FROM {name}_cells WHERE NOT is_test GROUP BY feature, cell) k
+        ON k.feature = f.feature AND k.cell = c.cell) counts
+""")
+    _cte(f"{name}_bins", [f"{name}_cells", f"{name}_grid"], f"""
+SELECT rid, feature, bin FROM {name}_cells JOIN {name}_grid USING (feature, cell)
+""")
+    drawn = "CAST('0x' || substr(digests[t.tree // 8 + 1], 1 + 4 * (t.tree % 8)::INT, 4) AS INTEGER)"
+    weight = " + ".join(f"({drawn} >= {x})::INT" for x in _POISSON) if bagged else "1"
+    _cte(f"{name}_at0", [f"{name}_rows"], f"""
+SELECT rid, is_test, label_index, t.tree, {weight} AS w, 1 AS node FROM {name}_rows CROSS JOIN range(0, {trees}) AS t(tree)
+""")
+    for d in range(depth):
+        _cte(f"{name}_sums{d}", [f"{name}_at{d}", f"{name}_bins"], f"""
+SELECT tree, node, feature, bin, label_index, sum(w) AS w
+FROM {name}_at{d} JOIN (
+    SELECT tree, node, feature
+    FROM (SELECT DISTINCT tree, node FROM {name}_at{d} WHERE node >= {1 << d}) nodes CROSS JOIN range(0, {len(features)}) AS f(feature)
+    QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY md5('1:' || tree || ':' || node || ':' || feature)) <= {looked}
+) looked USING (tree, node) JOIN {name}_bins USING (rid, feature)
+WHERE NOT is_test AND w > 0
+GROUP BY tree, node, feature, bin, label_index
+""")
+        _cte(f"{name}_cut{d}", [f"{name}_sums{d}"], f"""
+SELECT tree, node, feature, bin
+FROM (SELECT tree, node, feature, bin, sum(l) AS nl, sum(a) AS na, sum(l * l) AS sl, sum((a - l) * (a - l)) AS sr, sum(a * a) AS sa
+      FROM (SELECT c.tree, c.node, c.feature, c.bin, s.label_index, sum(s.w) AS a,
+                   coalesce(sum(s.w) FILTER (s.bin <= c.bin), 0) AS l
+            FROM (SELECT DISTINCT tree, node, feature, bin FROM {name}_sums{d}) c JOIN {name}_sums{d} s USING (tree, node, feature)
+            GROUP BY c.tree, c.node, c.feature, c.bin, s.label_index) sides
+      GROUP BY tree, node, feature, bin) weighed
+WHERE nl < na AND sl::DOUBLE / nl::DOUBLE + sr::DOUBLE / (na - nl)::DOUBLE > sa::DOUBLE / na::DOUBLE
+QUALIFY row_number() OVER (
+    PARTITION BY tree, node ORDER BY sl::DOUBLE / nl::DOUBLE + sr::DOUBLE / (na - nl)::DOUBLE DESC, feature, bin) = 1
+""")
+        _cte(f"{name}_at{d + 1}", [f"{name}_at{d}", f"{name}_cut{d}", f"{name}_bins"], f"""
+SELECT a.rid, a.is_test, a.label_index, a.tree, a.w,
+       CASE WHEN c.feature IS NULL THEN a.node ELSE 2 * a.node + (b.bin > c.bin)::INT END AS node
+FROM {name}_at{d} a LEFT JOIN {name}_cut{d} c ON c.tree = a.tree AND c.node = a.node
+LEFT JOIN {name}_bins b ON b.rid = a.rid AND b.feature = c.feature
+""")
+    _cte(f"{name}_votes", [f"{name}_at{depth}"], f"""
+SELECT tree, node, label_index, (w::HUGEINT * 1099511627776 // sum(w) OVER (PARTITION BY tree, node))::BIGINT AS votes
+FROM (SELECT tree, node, label_index, sum(w) AS w FROM {name}_at{depth} WHERE NOT is_test GROUP BY tree, node, label_index) leaves
+WHERE w > 0
+""")
+    _cte(f"{name}_pred", [f"{name}_rows", f"{name}_at{depth}", f"{name}_votes"], f"""
+SELECT r.*, p.prediction, p.true_prob
+FROM {name}_rows r JOIN (
+    SELECT rid, arg_max(label, (votes, -label)) AS prediction,
+           coalesce(sum(votes) FILTER (label = label_index), 0)::DOUBLE / sum(votes)::DOUBLE AS true_prob
+    FROM (SELECT a.rid, a.label_index, v.label_index AS label, sum(v.votes)::BIGINT AS votes
+          FROM {name}_at{depth} a JOIN {name}_votes v USING (tree, node) WHERE a.is_test GROUP BY a.rid, a.label_index, v.label_index) summed
+    GROUP BY rid) p USING (rid)
+""")
+    return f"{name}_pred"
+
+
+def _forest_rows(pred: str, *columns: str) -> str:
+    return f"""
+SELECT {", ".join(columns)}, CAST(label_index AS DOUBLE) AS label_index, CAST(prediction AS DOUBLE) AS prediction,
+       round(true_prob, 6) AS true_prob
+FROM {pred}
+"""
+
+
+def _forest_report(pred: str, features: list[str], label: str, cycle: int) -> str:
+    return f"""
+SELECT 'RandomForest' AS classifier, '{" ".join(features)}' AS input, '{label}' AS label,
+       {_percents("label_index", "prediction", cycle)}, round(avg(true_prob), 4) AS avg_prob
+FROM {pred}
+"""
+
+
+_WEATHER, _POWER = _SEVEN[:3], _SEVEN[3:6]
+_pred = _forest_views("rf_month", "fb_calendar", _SEVEN, "month", [*_SEVEN, "r.month", "time"])
+ENERGY["rf_predictions"] = with_views(_forest_rows(_pred, "time", "month"), _pred)
+_pred = _forest_views(
+    "rf_tree", "fb_calendar", _WEATHER, "month", [*_WEATHER, "r.month", "time"], trees=1, depth=3, subset=3, bagged=False
+)
+ENERGY["tree_predictions"] = with_views(_forest_rows(_pred, "time", *_WEATHER, "month"), _pred)
+_reports, _used = [], []
+for _number, (_features, _label, _cycle) in enumerate([
+    (_SEVEN, "month", 12), (_WEATHER, "month", 12), (_POWER, "month", 12), (_SEVEN, "hour", 24), (_POWER, "hour", 24), (_WEATHER, "hour", 24),
+]):
+    _key = [*_SEVEN, *("r.month" if c == _label == "month" else "r.hour" if c == _label else c for c in ("month", "hour")), "time"]
+    _used.append(_forest_views(f"rf_run{_number}", "fb_calendar", _features, _label, _key))
+    _reports.append(_forest_report(_used[-1], _features, _label, _cycle))
+ENERGY["rf_experiments"] = with_views("UNION ALL".join(_reports), *_used)
+_pred = _forest_views("rf_weekday", "fb_weekday", _WEATHER, "weekday", [*_WEATHER, "r.weekday", "time"])
+ENERGY["model_comparison"] = with_views(
+    _nb_report("weekday", "label_index", "prediction", 24) + "UNION ALL" + _forest_report(_pred, _WEATHER, "weekday", 24),
+    "nb_pred_weekday", _pred,
+)
+
+# --- splits, many labels, periods -----------------------------------------------
+
+ENERGY["random_split"] = with_views(
+    f"""
+SELECT * EXCLUDE (place), CASE WHEN place <= count(*) OVER () * 8 // 10 THEN 'train' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', time, {", ".join(_SEVEN)}) || ':1')) AS place FROM fb_clean) placed
+""",
+    "fb_clean",
+)
+ENERGY["part_label_index"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, label_index
+FROM lineitem JOIN (
+    SELECT l_partkey, CAST(row_number() OVER (ORDER BY count(*) DESC, CAST(l_partkey AS VARCHAR)) - 1 AS DOUBLE) AS label_index
+    FROM lineitem GROUP BY l_partkey) parts USING (l_partkey)
+"""
+ENERGY["period_measurements"] = with_views(
+    """
+SELECT period_id, period_start, period_end, count(*) AS n, CAST(sum(power_tenants) AS BIGINT) AS power, max(electricity_price) AS top_price
+FROM (SELECT o_orderkey AS period_id, start AS period_start,
+             start + CASE WHEN o_orderkey % 499 = 0 THEN 45 * 86400 ELSE 600 * (1 + o_custkey % 24) END AS period_end
+      FROM (SELECT *, CAST(epoch_ms(o_orderdate) // 1000 AS BIGINT) + o_orderkey * 7919 % 86400 AS start FROM orders) started) periods
+JOIN fb_clean ON time BETWEEN period_start AND period_end
+GROUP BY period_id, period_start, period_end
+""",
+    "fb_clean",
+)

@@ -201,3 +201,14 @@ def measurements_view(spark: SparkSession, base: str) -> DataFrame:
         "CAST((l_partkey * 7 + l_linenumber) % 300 AS DOUBLE) AS power_solar_panels",
         "CAST((l_orderkey + l_linenumber) % 120 AS DOUBLE) AS electricity_price",
     )
+
+
+def periods_view(spark: SparkSession, base: str) -> DataFrame:
+    """Overlapping periods (period_id, period_start, period_end in seconds)
+    from ``orders``: ten minutes to four hours, every 499th one 45 days."""
+    return read_table(spark, base, "orders").selectExpr(
+        "o_orderkey AS period_id",
+        "unix_timestamp(o_orderdate) + o_orderkey * 7919 % 86400 AS period_start",
+        "unix_timestamp(o_orderdate) + o_orderkey * 7919 % 86400"
+        " + CASE WHEN o_orderkey % 499 = 0 THEN 45 * 86400 ELSE 600 * (1 + o_custkey % 24) END AS period_end",
+    )

@@ -48,8 +48,8 @@ def test_every_query_documented_and_oracles_read_driver_tables_only():
     driver_tables = {"lineitem", "orders"}
     for name, sql in ORACLES.items():
         used = set()
-        for a, b in re.findall(r"\b(?:FROM|JOIN)\s+([a-z_]+)|,\s*([a-z_]+)\s+AS\s+t\(", sql, flags=re.I):
+        for a, b in re.findall(r"\b(?:FROM|JOIN)\s+([a-z_0-9]+)|,\s*([a-z_0-9]+)\s+AS\s+t\(", sql, flags=re.I):
             used.add((a or b).lower())
-        ctes = set(re.findall(r"\b([a-z_]+)\s+AS\s+\(", sql, flags=re.I))
+        ctes = set(re.findall(r"\b([a-z_0-9]+)\s+AS\s+\(", sql, flags=re.I))
         base = {t for t in used if t not in ctes and t not in ("range",)}
         assert base <= driver_tables, (name, base)

@@ -15,6 +15,10 @@ NAMES = [
     "most_minutes_by_role",
     "plus_minus",
     "label_index",
+    "cyclic_accuracy",
+    "tree_predictions",
+    "random_split",
+    "part_label_index",
 ]
 
 
