@@ -18,7 +18,7 @@ needs, nor a run of 24 hex digits, is passed without running any pattern.
 
 from __future__ import annotations
 
-import hashlib
+import base64
 import json
 import math
 import re
@@ -31,6 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchday.functions.columns import free_names
 from matchday.llm.common import field, map_text
 
 #: Kinds in the order in which spans with one start are listed.
@@ -47,7 +48,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 CONTEXT = ("password", "passwd", "pwd", "passphrase", "secret", "token", "auth", "bearer", "credential")
 #: Words that make a context with "key", written as one word or two.
 KEYS = ("private", "access", "secret", "signing", "encryption", "api")
-_SENSITIVE = re.compile(f"(?:{'|'.join(KEYS)})[ _-]?key|{'|'.join(CONTEXT)}", re.ASCII | re.IGNORECASE)
+#: What may stand before a context word without a gap.
+JOINED = ("access", "auth", "refresh", "session", "user", "db", "admin", "root", "api", "client", "app", "my", "id")
+#: Whole words, plurals too, or parts of an identifier: not "author",
+#: "tokenization" or "secretary".  A part begins with a capital after a small
+#: letter, and ends before a capital unless it is in capitals itself.
+_SENSITIVE = re.compile(
+    rf"(?:(?<![A-Za-z])(?:(?i:{'|'.join(JOINED)}))?|(?<=[a-z])(?=[A-Z]))"
+    rf"(?i:(?:{'|'.join(KEYS)})[ _-]?key|{'|'.join(w for w in CONTEXT if w != 'auth')}|auth(?:orization|entication|enticate|orize)?)"
+    r"(?:[sS](?![A-Za-z]))?(?![a-z])(?!(?<=[A-Z])[A-Z])",
+    re.ASCII,
+)
 _START = re.compile(r"[A-Za-z0-9+/_=-]{16}")
 _REST = re.compile(r"[A-Za-z0-9+/_=-]*")
 #: What may stand between a candidate and one that adjoins it (also line breaks
@@ -84,6 +95,12 @@ _ALPHABETS = tuple((size, re.compile(f"[{x}]+")) for size, x in ((10, "0-9"), (1
 #: Least letters of a known word that is a whole part of an identifier, or
 #: stands in a part; bytes of a word's number in the vocabulary.
 WHOLE, INSIDE, WORD_BYTES = 3, 5, 2
+#: Least letters of an unknown word that its letters may explain, and the bits of
+#: a letter below which they do (16 random letters take 4.6 to 6.5, words 3 to 4.4).
+SPELLED, LIKELY = 6, 4.5
+_RECORD = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}|[A-Za-z]{1,8}[-_]?[0-9]{4,}|[0-9]+(?:[-/_][0-9]+)+[Xx]?")
+_CASED = re.compile("[A-Z]?[a-z]+|[A-Z]+")
+_SHORT_PART = re.compile(r"[A-Za-z]{0,3}[0-9]{1,8}|[A-Za-z]{1,3}|[0-9]{1,8}[A-Za-z]{1,3}")
 
 
 @cache
@@ -97,22 +114,79 @@ def _vocabulary() -> tuple[frozenset[str], int]:
     return known, max(map(len, known))
 
 
-def _words(token: str) -> list[tuple[int, int]]:
-    """Where the known words in a token start and end."""
+@cache
+def _letters() -> tuple[dict[str, int], dict[str, int], dict[str, int], int]:
+    """Counts of letter runs of three, two and one (and their number) in the
+    lower-case ASCII words of two vocabularies, one of many languages; ``^``
+    stands before and after a word."""
+    with open(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), "rb") as file:
+        pieces = (base64.b64decode(line.split()[0]).decode(errors="replace") for line in file)
+        words = {p.strip().lower() for p in pieces}
+    words = {w for w in words | _vocabulary()[0] if len(w) >= WHOLE and w.isascii() and w.isalpha()}
+    counts: tuple[dict[str, int], ...] = ({}, {}, {})
+    for word in words:
+        padded = f"^^{word}^"
+        for i in range(2, len(padded)):
+            for n, held in zip((3, 2, 1), counts):
+                run = padded[i + 1 - n : i + 1]
+                held[run] = held.get(run, 0) + 1
+    heads: dict[str, int] = {}
+    for held in counts[:2]:
+        for run, n in held.items():
+            heads[run[:-1]] = heads.get(run[:-1], 0) + n
+    return counts[0] | counts[1], counts[2], heads, sum(counts[2].values())
+
+
+def letter_bits(word: str) -> float:
+    """Bits of a word under a model of letters that is of no one language:
+    a mixture of what follows the last two letters, the last one, and any."""
+    runs, ones, heads, total = _letters()
+    padded, bits = f"^^{word.lower()}", 0.0
+    for i in range(2, len(padded)):
+        two, one, letter = padded[i - 2 : i], padded[i - 1], padded[i]
+        chance = 0.005 + 0.095 * ones.get(letter, 0) / total
+        chance += 0.3 * runs.get(one + letter, 0) / max(1, heads.get(one, 0))
+        chance += 0.6 * runs.get(two + letter, 0) / max(1, heads.get(two, 0))
+        bits -= math.log2(chance)
+    return bits
+
+
+def _words(token: str) -> list[tuple[int, int, float]]:
+    """Where the words in a token start and end, and what they cost in bytes:
+    known ones their number, others that are spelled like words their letters."""
     known, longest = _vocabulary()
     out = []
     for m in _WORD.finditer(token):
         low, i = m[0].lower(), 0
         if len(low) >= WHOLE and low in known:
-            out.append(m.span())
+            out.append((*m.span(), WORD_BYTES))
+            continue
+        if len(low) >= SPELLED and (bits := letter_bits(low)) < LIKELY * len(low):
+            out.append((*m.span(), bits / 8))
             continue
         while i + INSIDE <= len(low):
             size = next((n for n in range(min(longest, len(low) - i), INSIDE - 1, -1) if low[i : i + n] in known), 0)
-            out += [(m.start() + i, m.start() + i + size)] if size else []
+            out += [(m.start() + i, m.start() + i + size, WORD_BYTES)] if size else []
             i += size or 1
     return out
 
 
+def _is_word(part: str) -> bool:
+    """Whether a part is a known word or spelled like one, in any language."""
+    if not _CASED.fullmatch(part):
+        return False
+    return part.lower() in _vocabulary()[0] or (len(part) >= SPELLED and letter_bits(part) < LIKELY * len(part))
+
+
+def _ordinary(token: str) -> bool:
+    """Whether a token is a word, a number, a date, a record or UUID, or a path
+    of words, short numbers and initials."""
+    if _RECORD.fullmatch(token):
+        return True
+    parts = [p for p in re.split("[/_=+-]+", token) if p]
+    return all(_is_word(p) or (len(parts) > 1 and _SHORT_PART.fullmatch(p)) for p in parts)
+
+
 def _bits(token: str) -> float:
     """Bits of a character of a random string in the alphabet of a token."""
     return next((math.log2(size) for size, alphabet in _ALPHABETS if alphabet.fullmatch(token)), 6)
@@ -135,20 +209,22 @@ class _Novelty:
 
     def unexplained(self, candidate: str, before: str, after: str) -> float:
         """The share over the bytes of a random string in the candidate's own
-        alphabet, where each known word costs WORD_BYTES at most.  The first
-        word may start before the candidate."""
+        alphabet, where each word costs at most what ``_words`` says.  The
+        first word may start before the candidate."""
+        if _ordinary(candidate):
+            return 0.0
         around, expected = before + after, _bits(candidate) / 8 * len(candidate)
         share = self.share(candidate, around) * 0.75 * len(candidate) / expected
         if share < NOVELTY:
             return share
         head = _LETTERS.search(before[-32:])[0]
-        words = [(s - len(head), e - len(head)) for s, e in _words(head + candidate) if e > len(head)]
+        words = [(s - len(head), e - len(head), cost) for s, e, cost in _words(head + candidate) if e > len(head)]
         rest, at = "", 0
-        for s, e in words:
+        for s, e, _ in words:
             rest, at = rest + candidate[at : max(s, 0)], e
         rest += candidate[at:]
         added = 0.75 * len(rest) * self.share(rest, around) if rest else 0
-        return min(share, (added + WORD_BYTES * len(words)) / expected) if words else share
+        return min(share, (added + sum(cost for *_, cost in words)) / expected) if words else share
 
 
 def _may_hold(data: bytes) -> bool:
@@ -280,36 +356,47 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
+def redact(docs: DataFrame, mark: str = "[REDACTED]", text: str = "text") -> DataFrame:
     """``docs`` with every span of its texts replaced by ``mark``.
 
     Overlapping spans become one mark.  Texts without spans, null texts and
-    all other columns stay; ``n_chars``, if there, is the new length of the
-    texts that changed.
+    all other columns stay, whatever their names; ``n_chars``, if there, is
+    the new length of the texts that changed.  A text is cut once, in time in
+    proportion to its length and spans; repeated rows are cut alike.
     """
+    data, new = free_names(docs, "_data", "_new")
 
-    def cut(text, spans):
-        # (kept text, end of the last span): spans come by start
-        start = F.struct(F.lit("").alias("kept"), F.lit(0).cast("long").alias("at"))
+    def make():
+        novelty = _Novelty()
 
-        def step(acc, s):
-            gap = F.substring(text, (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-            new = F.when(s["start"] >= acc["at"], F.concat(acc["kept"], gap, F.lit(mark))).otherwise(acc["kept"])
-            return F.struct(new.alias("kept"), F.greatest(acc["at"], s["end"]).alias("at"))
+        def compute(part: pa.RecordBatch) -> list:
+            out = []
+            for held in part.column(data).to_pylist():
+                spans = scan(held.decode(), novelty) if held and _may_hold(held) else []
+                out.append(_cut(held.decode(), spans, mark) if spans else None)
+            return [out]
 
-        return F.aggregate(
-            spans, start, step, lambda acc: F.concat(acc["kept"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
-        )
+        return compute
 
-    changed = F.size("secrets") > 0
-    found = find(docs).withColumn("__new", F.when(changed, cut(F.col("text"), F.col("secrets"))).otherwise(F.col("text")))
+    held = docs.withColumn(data, F.col(text).cast("binary"))
+    found = map_text(held, [field(new, "string")], make, data, drop=[data])
     columns = []
     for name in docs.columns:
-        if name == "text":
-            columns.append(F.col("__new").alias("text"))
+        if name == text:
+            columns.append(F.coalesce(new, name).alias(name))
         elif name == "n_chars":
-            length = F.length("__new").cast(docs.schema["n_chars"].dataType)
-            columns.append(F.when(changed, length).otherwise(F.col("n_chars")).alias("n_chars"))
+            length = F.length(new).cast(docs.schema[name].dataType)
+            columns.append(F.when(F.col(new).isNotNull(), length).otherwise(F.col(name)).alias(name))
         else:
             columns.append(F.col(name))
     return found.select(*columns)
+
+
+def _cut(text: str, spans: list[tuple[int, int, str, float]], mark: str) -> str:
+    """The text with a mark for each run of overlapping spans, which come by start."""
+    out, at = [], 0
+    for start, end, *_ in spans:
+        if start >= at:
+            out += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*out, text[at:]])

@@ -185,3 +185,72 @@ def test_spellings_of_context_words(spark):
     assert all("[REDACTED]" in r["text"] for r in secrets.redact(table).collect())
     for text in ("the monkey has private access to {}", "an encryption of the donkey {}"):
         assert not covered(text.format(made(1, 40)))
+
+
+#: Long words of six languages, and names, numbers and paths that prose holds.
+ORDINARY = """Rechtsschutzversicherung Geschwindigkeitsbegrenzung Wahrscheinlichkeitsrechnung Bundesverfassungsgericht
+    Lebensversicherungsgesellschaft Arbeitsunterbrechungen Krankenversicherungskarte Verkehrsinfrastruktur
+    Sicherheitsvorkehrungen Entwicklungszusammenarbeit Straßenverkehrsordnung Wettbewerbsbedingungen
+    Aufmerksamkeitsdefizit Grundstücksverkehrsgenehmigung Handelsvertretungen Donaudampfschifffahrt
+    lentokonesuihkuturbiinimoottori kansainvälistyminen peruskoulunopettajat tietokoneohjelmistot kaupunginvaltuusto
+    ammattikorkeakoulussa työttömyysvakuutus yhteiskuntatieteellinen vastaanottokeskuksessa ympäristönsuojelulaki
+    arbeidsongeschiktheidsverzekering ziektekostenverzekering verantwoordelijkheden levensverzekeringsmaatschappij
+    gemeenteraadsverkiezingen wetenschappelijkheid vertegenwoordigers samenwerkingsverbanden onderwijsinstellingen
+    electroencefalografista anticonstitucionalmente desproporcionadamente internacionalizaciones responsabilidades
+    otorrinolaringología desafortunadamente constitucionalidad representatividades extraordinariamente
+    konstantynopolitanka niezapomnianych odpowiedzialności najprawdopodobniej przedsiębiorstwami
+    niebezpieczeństwo międzynarodowego wykorzystywaniem przeprowadzonych współpracownikami
+    anticonstitutionnellement professionnellement incompréhensibilités développementales constitutionnellement
+    responsabilizzazione precipitevolissimevolmente incomprehensibility straightforwardness internationalization
+    characteristically uncharacteristically counterrevolutionary disproportionately electromagnetically
+    550e8400-e29b-41d4-a716-446655440000 123E4567-E89B-12D3-A456-426614174000 978-3-16-148410-0 10.1038/s41586-020-2649-2
+    10.1000/journal.pone.0123456 ENSG00000139618451 NM_0012345678901 2024-05-17/2024-06-18 +49-30-1234567-89
+    https://www.example.org/wiki/Special/Contributions /articles/2024/05/how-to-bake-sourdough-bread
+    https://en.example.org/history/of-the-roman-empire/chapter-12 self-determination-theory-2 mother-in-law-relationships
+    Villeneuve-Saint-Georges Baden-Wuerttemberg-Stiftung Clermont-Ferrand-Auvergne Newcastle-upon-Tyne-Hospital
+    0123-4567-8901-2345 US-2019-0123456-A1 ISO-8601-1-2019-02 doc/user/manual/page/17 README_for_contributors
+    Nachhaltigkeitsstrategie perustuslakivaliokunta verkeersveiligheidsbeleid gewestelijkeoverheid Hauptverhandlungstermin
+    multidisciplinariedad zabezpieczeniami administrativement elinkeinoelämästä January-February-March north-north-westerly Fig-12-and-Table-34""".split()
+PROSE = [
+    "The author wrote about {} in the book.", "Die Autorin (author) und {} waren da.", "the tokenization of {} is easy",
+    "the secretary mentioned {} to them", "an authentic {} was found", "authority over {} and more", "Tokenizer, see {}, was used",
+    "the secret of {} is time", "a token of {} for all", "her password manager told of {} twice", "credentials and {} matter",
+]
+
+
+def test_ordinary_strings_in_prose_are_left_alone():
+    assert len(ORDINARY) >= 100
+    novelty = secrets._Novelty()
+    wrong = [(p, w) for p in PROSE for w in ORDINARY if secrets.scan(p.format(w), novelty)]
+    assert len(wrong) < 0.02 * len(PROSE) * len(ORDINARY), wrong
+
+
+def test_random_letters_are_not_spelled_like_words():
+    assert sum(secrets._is_word(made(i, 16, B64[26:52])) for i in range(2000)) < 20
+    plain = [w for w in ORDINARY if w.isascii() and w.isalpha()]
+    assert sum(map(secrets._is_word, plain)) >= 0.95 * len(plain)
+
+
+def test_context_words_are_whole_words():
+    token = made(3, 32)
+    for said in ("author {}", "AUTHOR {}", "tokenize {}", "TOKENIZATION {}", "secretary {}", "authority {}", "the Secretariat {}"):
+        assert not covered(said.format(token)), said
+    for said in ("authToken {}", "access_token {}", "ACCESS_TOKEN {}", "userPassword {}", "dbpassword {}", "two tokens {}", "Authentication {}"):
+        assert covered(said.format(token)), said
+
+
+def test_redaction_is_linear_and_keeps_columns(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    text = f"password = hunter2222 and {made(1, 20)}, " * 16_000
+    table = docs(spark, [(1, text, "en", "s", len(text)), (2, None, None, None, None)]).withColumns(
+        {n: F.concat(F.lit(f"{n} of "), F.col("doc_id")) for n in ("secrets", "_data", "_new", "__new", "__data", "__key", "spans")}
+    )
+    start = time.time()
+    out = {r["doc_id"]: r for r in secrets.redact(table).collect()}
+    assert time.time() - start < 12
+    assert out[1]["text"].count("[REDACTED]") >= 16_000 and out[1]["n_chars"] == len(out[1]["text"])
+    for r in table.collect():
+        assert all(r[c] == out[r["doc_id"]][c] for c in table.columns if c not in ("text", "n_chars"))
