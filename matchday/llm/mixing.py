@@ -9,6 +9,9 @@ seeded: those with the smallest hash of id and seed.
 
 The plan of a source depends on its counts by size alone, so it is made in one
 task per source from a table that has at most one row for each size.
+
+Texts of any length count whole; a long document is one number here.  Columns
+other than id, text and source play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,13 +20,18 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from matchday.functions.columns import free_names
 from matchday.llm.common import rank_in_cells, ship, written
 
-#: Sums up to which the knapsack is solved exactly.
-KNAPSACK = 1 << 14
+#: Least sums that the knapsack is solved over, and the bits that its sets may
+#: take in all: a bound on work and memory, not on sizes.  Up to it, the whole
+#: budget is one knapsack and the result the best there is; beyond it, there are
+#: so many documents that a window of twice the longest one reaches any sum.
+KNAPSACK, BITS = 1 << 14, 1 << 30
 
 
 def words(text: Column) -> Column:
@@ -70,32 +78,46 @@ def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
 
 
 def _fill(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    total = int(sizes @ counts)
+    longest = int(sizes.max(initial=1))
+    steps = sum(int(c).bit_length() for c, n in zip(counts, sizes) if n > 0)
+    if (budget + longest) * steps <= BITS:
+        return _knapsack(sizes, counts, np.zeros_like(counts), budget, budget + longest)
+    total, window = int(sizes @ counts), max(KNAPSACK, 2 * longest)
     taken = (counts * (budget / total)).astype(np.int64)
     left = budget - int(sizes @ taken)
     for i in np.argsort(-sizes, kind="stable"):  # long documents while they fit
-        if left < KNAPSACK:
+        if left < window:
             break
         if 0 < sizes[i] <= left:
-            more = min(int(counts[i] - taken[i]), (left - KNAPSACK) // int(sizes[i]) + 1)
+            more = min(int(counts[i] - taken[i]), (left - window) // int(sizes[i]) + 1)
             more = max(0, min(more, left // int(sizes[i])))
             taken[i] += more
             left -= more * int(sizes[i])
-    # bounded knapsack: bit k of a set is on if the sum k can be reached
-    goal = min(left, KNAPSACK) + KNAPSACK  # somewhat more than the budget is near it, too
+    return _knapsack(sizes, counts, taken, left, left + window)
+
+
+def _knapsack(sizes: np.ndarray, counts: np.ndarray, taken: np.ndarray, left: int, goal: int) -> np.ndarray:
+    """``taken`` and, of the rest, what adds up to ``left`` or as near as sums
+    up to ``goal`` come; bit k of a set is on if the sum k can be reached."""
+    taken = taken.copy()
     mask = (1 << (goal + 1)) - 1
     reach, steps = [1], []
-    for i in np.argsort(-sizes, kind="stable"):
+    # sizes in no order: should the bits run out, long and short have taken part
+    for i in np.random.default_rng(len(sizes)).permutation(len(sizes)):
         room, size, times = int(counts[i] - taken[i]), int(sizes[i]), 1
         while room > 0 and 0 < size * times <= goal:
             times = min(times, room)
             reach.append((reach[-1] | reach[-1] << (size * times)) & mask)
             steps.append((i, times))
             room, times = room - times, times * 2
-        if reach[-1] >> min(left, goal) & 1:
+        if reach[-1] >> max(left, 0) & 1 or len(reach) * goal > 2 * BITS:
             break
-    sums = np.flatnonzero(np.array(list(bin(reach[-1])[:1:-1])) == "1")
-    at = int(sums[np.argmin(np.abs(sums - left))])
+    below = (reach[-1] & ((1 << (max(left, 0) + 1)) - 1)).bit_length() - 1
+    over = reach[-1] >> (max(left, 0) + 1)
+    at = below
+    if over:
+        above = left + (over & -over).bit_length()
+        at = above if above - left < left - below else below
     for k in range(len(steps) - 1, -1, -1):
         if not reach[k] >> at & 1:
             i, times = steps[k]
@@ -166,20 +188,25 @@ def report(docs: DataFrame) -> DataFrame:
 
 def repeat(docs: DataFrame) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; rows that it
-    doesn't take go.  Of equal rows, all together come as often as the mix
-    takes them."""
-    by = [F.coalesce("doc_id", F.lit(0)).alias("__id"), "text_key"]
-    totals = mix(docs).groupBy(*by).agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows")).filter("__all > 0")
-    totals = written(totals, "copies").withColumnsRenamed({"text_key": "__key"})
-    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(0)), "__key": F.xxhash64("text")})
-
-    def times(rows: DataFrame, copies) -> DataFrame:
-        return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies))).select(*docs.columns)
-
-    out = times(keyed.join(totals.filter("__all >= __rows"), ["__id", "__key"]), F.expr("__all div __rows"))
-    odd = totals.filter("__all % __rows > 0")
+    doesn't take go.  Rows that repeat id and text come, all together, as
+    often as the mix takes them; what does not divide goes to the least one
+    in its other columns.  Columns keep their values, whatever their names."""
+    identity, key, copies, many, copy = free_names(docs, "_id", "_key", "_copies", "_rows", "_copy")
+    totals = mix(docs).groupBy("doc_id", "text_key").agg(F.sum("copies").alias(copies), F.count(F.lit(1)).alias(many))
+    totals = written(totals.filter(F.col(copies) > 0), "copies").withColumnsRenamed({"doc_id": identity, "text_key": key})
+    text = free_names(docs, "_text")[0]
+    keyed = docs.withColumn(text, F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(identity)) & (F.col(text) == F.col(key))
+
+    def times(rows: DataFrame, n: str) -> DataFrame:
+        return rows.withColumn(copy, F.explode(F.expr(f"sequence(1, {n})"))).select(*docs.columns)
+
+    out = times(keyed.join(totals.filter(F.col(copies) >= F.col(many)), same), f"int(`{copies}` div `{many}`)")
+    odd = totals.filter(F.col(copies) % F.col(many) > 0)
     if not odd.isEmpty():
-        out = out.unionByName(
-            times(keyed.join(odd, ["__id", "__key"]).dropDuplicates(["__id", "__key"]), F.expr("__all % __rows"))
-        )
+        # of rows that repeat id and text, the least in its other columns
+        order = [F.col(c) for c in docs.columns if not isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType))]
+        first = Window.partitionBy("doc_id", text).orderBy(*order)
+        one = keyed.join(odd, same).withColumn(copy, F.row_number().over(first)).filter(F.col(copy) == 1)
+        out = out.unionByName(times(one, f"int(`{copies}` % `{many}`)"))
     return out

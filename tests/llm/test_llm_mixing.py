@@ -23,7 +23,31 @@ def test_fit_comes_as_near_as_it_can(histogram, share):
         if reach is None:
             return
     best = min(abs(r - budget) for r in reach)
-    assert abs(int(sizes @ taken) - budget) <= best + sizes.max() // 2
+    assert abs(int(sizes @ taken) - budget) == best
+
+
+def test_long_documents_take_part():
+    """Sources of few long documents: the best of all subsets."""
+    r = np.random.default_rng(1)
+    for _ in range(300):
+        lengths = r.integers(33_000, 200_000, 8)
+        sizes, counts = np.unique(lengths, return_counts=True)
+        budget = int(r.integers(1, lengths.sum()))
+        taken = mixing.fit(sizes, counts, budget)
+        sums = np.array([0])
+        for n in lengths:
+            sums = np.concatenate([sums, sums + n])
+        assert abs(int(sizes @ taken) - budget) == np.abs(sums - budget).min()
+    sizes, counts = np.array([40_000, 45_000, 52_000]), np.array([3, 4, 5])
+    assert abs(int(sizes @ mixing.fit(sizes, counts, 200_000)) - 200_000) == 1_000
+
+
+@pytest.mark.parametrize("n", [300, 3_000, 30_000])
+def test_many_long_documents_reach_the_word(n):
+    lengths = np.random.default_rng(n).integers(33_000, 2_000_000, n)
+    sizes, counts = np.unique(lengths, return_counts=True)
+    budget = int(0.37 * lengths.sum())
+    assert int(sizes @ mixing.fit(sizes, counts, budget)) == budget
 
 
 def test_fit_with_long_documents():
@@ -78,6 +102,19 @@ def test_repeat_gives_rows_as_often_as_taken(spark):
     assert out.count() == want
 
 
+def test_repeat_keeps_columns_by_value(spark):
+    from pyspark.sql import functions as F
+
+    scratch = ("__id", "__key", "__copy", "_id", "_key", "_copies", "_rows", "_copy", "_text")
+    items = [(1, "a b c", "en", "s", 1), (1, "a b c", "fr", "s", 2), (None, "d e", "en", "s", 3), (0, "d e", "en", "s", 4)]
+    table = docs(spark, items).withColumns({n: F.concat(F.lit(f"{n} "), F.col("n_chars")) for n in scratch})
+    out = mixing.repeat(table)
+    assert out.columns == table.columns
+    for r in out.collect():
+        assert all(r[n] == f"{n} {r['n_chars']}" for n in scratch)
+        assert (r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) in items
+
+
 def test_empty_table_and_no_words(spark):
     assert mixing.report(docs(spark, [])).collect() == []
     found = mixing.report(docs(spark, [(1, None, None, "a", 0), (2, "", None, None, 0)])).collect()
