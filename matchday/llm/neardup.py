@@ -31,7 +31,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from matchday.functions.columns import free_names
 from matchday.llm.common import field, map_text, written
 
 
@@ -379,22 +381,27 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 def first_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` that stay: one of each group, with its columns.
 
-    The row with the smallest doc_id stays; of repeated rows, one.  Rows with
-    an empty set are linked with nothing and all stay.
+    The row with the smallest doc_id stays; of rows that repeat id and text,
+    the least in its other columns.  Rows with an empty set (null, empty and
+    blank texts) are linked with nothing and all stay.  Columns keep their
+    values, whatever their names.
     """
-    # rows of equal id (null as 0) and text have equal sets, hence one group
+    # rows of equal id and text have equal sets, hence one group
+    identity, key, row = free_names(docs, "_id", "_key", "_row")
     groups = written(
-        near_duplicates(docs, settings)
-        .filter("root is not null")
-        .select("root", F.coalesce("doc_id", F.lit(0)).alias("__id"), "text_key", "component_id"),
-        "groups",
+        near_duplicates(docs, settings).filter("root is not null").select("root", "doc_id", "text_key", "component_id"), "groups"
     )
-    rank = F.struct(F.when(F.col("__id").eqNullSafe(F.col("component_id")), 0).otherwise(1), "__id", "text_key")
-    first = groups.groupBy("root").agg(F.min_by(F.struct("__id", "text_key"), rank).alias("first")).select("first.*")
-    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(0)), "__key": F.xxhash64("text")})
+    rank = F.struct(
+        F.when(F.col("doc_id").eqNullSafe(F.col("component_id")), 0).otherwise(1), F.col("doc_id").isNull(), "doc_id", "text_key"
+    )
+    first = groups.groupBy("root").agg(F.min_by(F.struct("doc_id", "text_key"), rank).alias("first")).select("first.*")
+    first = first.distinct().toDF(identity, row)
     blank = F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\f\r", "     ")) == ""
-    same = (F.col("__id") == F.col("f.__first")) & (F.col("__key") == F.col("f.text_key"))
-    chosen = keyed.filter(~blank).join(first.withColumnRenamed("__id", "__first").distinct().alias("f"), same)
-    one = Window.partitionBy("__id", "__key").orderBy("doc_id")
-    chosen = chosen.withColumn("__row", F.row_number().over(one)).filter("__row = 1")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col(identity)) & (F.col(key) == F.col(row))
+    chosen = keyed.filter(~blank).join(first, same).drop(row)
+    # of rows that repeat id and text, one: the least in all its columns that can be compared
+    order = [F.col(c) for c in docs.columns if not isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType))]
+    one = Window.partitionBy("doc_id", key).orderBy(*order)
+    chosen = chosen.withColumn(row, F.row_number().over(one)).filter(F.col(row) == 1)
     return chosen.select(*docs.columns).unionByName(docs.filter(blank))

@@ -120,3 +120,20 @@ def test_first_of_each_group_stays(spark):
     assert not {106, 107, 108, 109} & set(ids)
     assert {100, 101, 102} <= set(ids)  # empty sets are linked with nothing
     assert sum(r["doc_id"] is None for r in kept.collect()) == 2
+
+
+def test_first_of_each_keeps_columns_by_value(spark):
+    from pyspark.sql import functions as F
+
+    scratch = ("__id", "__key", "__row", "_id", "_key", "_row", "root", "text_key", "component_id")
+    table = docs(spark).withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id")) for n in scratch})
+    out = neardup.first_of_each(table)
+    assert out.columns == table.columns
+    whole = {repr(r) for r in table.collect()}
+    kept = out.collect()
+    assert kept and all(repr(r) in whole for r in kept)
+
+
+def test_first_of_each_tells_a_null_id_from_0(spark):
+    items = [(None, "some words that stand here", "en", "s", 1), (0, "other words that are not like them", "en", "s", 2)]
+    assert neardup.first_of_each(docs(spark, items)).count() == 2

@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from llm_samples import clashing, docs, rows
 
 import __spark_entry__ as entry
@@ -35,7 +36,8 @@ def test_run_equals_the_stages_by_hand(spark):
     table = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = language.train(table)
     texts = {r["doc_id"]: r["text"] for r in table.collect()}
-    known = language.predict(table, model).filter("lang_pred <> 'und'").select(*table.columns).collect()
+    named = language.predict(table, model).filter("lang_pred <> 'und'")
+    known = named.selectExpr("doc_id", "text", "coalesce(lang, lang_pred) AS lang", "source", "n_chars").collect()
     assert {r["doc_id"] for r in known} == {d for d, t in texts.items() if t and any(map(str.isalpha, t))}
 
     def shingles(text):
@@ -68,9 +70,9 @@ def test_run_equals_the_stages_by_hand(spark):
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found) == want
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_operators_and_the_pipeline_are_registered():
     names = list(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names
 
@@ -104,3 +106,28 @@ def test_language_stage_keeps_every_text_with_a_letter(spark, labels):
     kept = corpus_pipeline.identify_language(spark, table, SMALL).collect()
     want = [r for r in table.collect() if r["text"] and any(map(str.isalpha, r["text"]))]
     assert kept and Counter(r["doc_id"] for r in kept) == Counter(r["doc_id"] for r in want)
+
+
+def test_language_stage_gives_the_predicted_language(spark, monkeypatch):
+    """Fails if the model is replaced by a constant."""
+    items = [(d, text, None if d is not None and d % 3 == 0 else lang, source, n) for d, text, lang, source, n in rows()]
+    table = docs(spark, items)
+    known = {(d, t): lang for d, t, lang, *_ in rows()[:40]}
+    out = {(r["doc_id"], r["text"]): r["lang"] for r in corpus_pipeline.identify_language(spark, table, SMALL).collect()}
+    assert all(out[k] == lang for k, lang in known.items() if k in out)
+    constant = lambda docs, model, **names: language_predict(docs, model, **names).withColumn(names["label"], F.lit("en"))
+    language_predict = language.predict
+    monkeypatch.setattr(language, "predict", constant)
+    out = {(r["doc_id"], r["text"]): r["lang"] for r in corpus_pipeline.identify_language(spark, table, SMALL).collect()}
+    assert any(out[k] != lang for k, lang in known.items() if k in out)
+
+
+def test_stages_keep_columns_by_value(spark):
+    names = ["secrets", "__new", "__key", "__id", "__copy", "_new", "_data", "_key", "_id", "_copy", "_label", "_score", "_lettered"]
+    table = docs(spark).withColumns({n: F.concat(F.lit(f"{n} "), F.coalesce(F.col("doc_id"), F.lit(-1)), F.lit(" "), F.coalesce("source", F.lit("-"))) for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, SMALL)
+        assert out.columns == table.columns
+        for r in out.collect():
+            own = f"{r['doc_id'] if r['doc_id'] is not None else -1} {r['source'] or '-'}"
+            assert all(r[n] == f"{n} {own}" for n in names), name
