@@ -30,7 +30,8 @@ _PIECE = re.compile(
 )
 _UNSURE = re.compile("[^ -~\t\n\r¡-¬®-ɏ‐-‧]")
 #: Pieces that a worker remembers, about 170 bytes each; it starts anew beyond.
-REMEMBERED = 1_000_000
+#: Code points of the longest one that it remembers.
+REMEMBERED, LONGEST = 1_000_000, 256
 
 
 @cache
@@ -90,6 +91,9 @@ class PieceEncoder:
                 for _ in range(ids.count(None)):
                     at = ids.index(None, at + 1)
                     ids[at] = known[pieces[at]]
+            for piece in new:
+                if len(piece) > LONGEST:
+                    del known[piece]
             return found
         finally:
             if collecting:

@@ -1,6 +1,6 @@
 """Token counts of whole texts, huge ones by resynchronised chunks.
 
-A text of more than ``chunk`` code points is encoded in chunks that overlap,
+A text of more than ``chunk`` code points is cut in chunks that overlap,
 each with the offsets where its pieces end.  Two neighbours are spliced at the
 first offset in their overlap at which both end a piece, provided that offset
 is proven in the earlier chunk.  The proof is by induction: the cut into
@@ -10,13 +10,15 @@ the whole text, up to a margin before its end (a contraction or special token
 that the end may cut through); and at a common boundary the later chunk joins
 the true ones.  If an overlap holds no common boundary (a run of one class
 that is longer), the earlier chunk is widened, doubling, until there is one or
-the later chunk is swallowed.
+the later chunk is swallowed; the width is kept, so that a run of any length
+is cut about twice.  Pieces are encoded once, when a splice proves them.
 
-The work space is a chunk, not a text.
+The work space is a chunk or the longest run, not a text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -29,37 +31,44 @@ from matchday.llm.common import field, map_text
 CHUNK, OVERLAP = 1 << 14, 256
 
 
-def count_chunked(text: str, encoder: PieceEncoder, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
-    """Tokens of one text, encoded ``chunk`` code points at a time."""
+def spliced(text: str, encoder: PieceEncoder, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[list[str]]:
+    """The pieces of one text, cut ``chunk`` code points at a time."""
 
-    def encoded(begin: int, end: int) -> tuple[list[int], list[int]]:
+    def cut(begin: int, end: int) -> tuple[list[str], list[int]]:
         pieces = encoder.cut(text[begin:end])
-        ids = encoder.encode([pieces])[0]
-        return list(accumulate(map(len, pieces), initial=begin)), list(accumulate(map(len, ids), initial=0))
+        return pieces, list(accumulate(map(len, pieces), initial=begin))
 
-    total, begin, end = 0, 0, min(len(text), chunk)
-    ends, sums = encoded(begin, end)  # begin is a true boundary
+    begin, end, wider = 0, min(len(text), chunk), overlap
+    pieces, ends = cut(begin, end)  # begin is a true boundary
     while end < len(text):
         later, stop = end - overlap, min(len(text), end + chunk - overlap)
-        next_ends, next_sums = encoded(later, stop)
-        wider = overlap
+        next_pieces, next_ends = cut(later, stop)
+        both = set(next_ends)
         while True:
-            both = set(next_ends)
             common = next((k for k, p in enumerate(ends) if p >= later and p <= end - encoder.margin and p in both), None)
             if common is not None or end >= stop:
                 break
             wider *= 2
             end = min(end + wider, len(text))
-            ends, sums = encoded(begin, end)
-        if end == len(text) and common is None:
-            break  # the earlier chunk holds all that is left
-        if common is None:  # the later chunk is swallowed
+            pieces, ends = cut(begin, end)
+        if common is None:  # the later chunk is swallowed, or nothing is left for it
             continue
-        total += sums[common]
-        begin = ends[common]
+        yield pieces[:common]
+        begin, wider = ends[common], overlap
         at = next_ends.index(begin)
-        ends, sums, end = next_ends[at:], [x - next_sums[at] for x in next_sums[at:]], stop
-    return (total + sums[-1]) // 4  # an id has 4 bytes
+        pieces, ends, end = next_pieces[at:], next_ends[at:], stop
+    yield pieces
+
+
+def ids_chunked(text: str, encoder: PieceEncoder, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[bytes]:
+    """The ids of one text, some at a time."""
+    for pieces in spliced(text, encoder, chunk, overlap):
+        yield b"".join(encoder.encode([pieces])[0])
+
+
+def count_chunked(text: str, encoder: PieceEncoder, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
+    """Tokens of one text, encoded ``chunk`` code points at a time."""
+    return sum(map(len, ids_chunked(text, encoder, chunk, overlap))) // 4  # an id has 4 bytes
 
 
 def count(docs: DataFrame, tokenizer: str, limit: int = 1024, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:

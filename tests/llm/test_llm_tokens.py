@@ -57,3 +57,16 @@ def test_every_text_is_counted(spark):
             n = len(library.encode(text, add_special_tokens=False).ids)
             assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(text.encode()), n, n > 1024)
     assert tokens.count(docs(spark, []), PATH).collect() == []
+
+
+@pytest.mark.parametrize("run", ["a", " ", "7", "!", "é", "ab "])
+def test_long_runs_cost_little_more_than_the_library(encoder, run):
+    from time import perf_counter
+
+    text = "some words. " + run * (600_000 // len(run)) + " and an end"
+    start = perf_counter()
+    want = len(encoder._library.encode(text, add_special_tokens=False).ids)
+    library, start = perf_counter() - start, perf_counter()
+    assert tokens.count_chunked(text, encoder) == want
+    assert perf_counter() - start < 3 * library + 1
+    assert all(len(p) <= 256 for p in encoder._known if p not in encoder._ids)
