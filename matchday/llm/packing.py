@@ -30,8 +30,11 @@ from pyspark.sql import functions as F
 
 from matchday.llm.bpe import encoder
 from matchday.llm.common import field, map_text, rank_in_cells, ship, written
+from matchday.llm.tokens import ids_chunked
 
 CAPACITY = 2048
+#: Code points up to which a text is encoded whole.
+LONG = 1 << 18
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int | None = 0) -> DataFrame:
@@ -39,7 +42,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int |
 
     A document's ids end with the id ``end``; null texts are empty, so they
     have this id alone.  Documents of more than ``capacity`` ids are cut; all
-    pieces but the first are full.
+    pieces but the first are full.  A very long text is encoded in chunks, so
+    that beside it only its ids (4 bytes each) are held.  Repeated rows have
+    pieces each; other columns, whatever their names, play no part.
     """
     last = b"" if end is None else np.array([end], "<u4").tobytes()
 
@@ -48,8 +53,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int |
 
         def compute(part: pa.RecordBatch) -> list:
             out = []
-            for ids in own.ids([t or "" for t in part.column("text").to_pylist()]):
-                ids += last
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            short = own.ids([t if len(t) <= LONG else "" for t in texts])
+            for text, ids in zip(texts, short):
+                ids = memoryview(b"".join([*ids_chunked(text, own), last]) if len(text) > LONG else ids + last)
                 n = len(ids) // 4
                 first = n - (n - 1) // capacity * capacity if n else 0
                 bounds = [0, *range(first, n + 1, capacity)] if n else []
@@ -109,12 +116,16 @@ def _patterns(cells: np.ndarray, full: int) -> list[tuple[int, ...]]:
     return sorted(out)
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, cells: int = 64, share: float = 0.9) -> list[tuple[int, tuple[int, ...]]]:
+def plan(
+    histogram: dict[int, int], capacity: int = CAPACITY, cells: int = 64, shares: tuple[float, ...] = (0.9, 0.6, 0.3, 0.0)
+) -> list[tuple[int, tuple[int, ...]]]:
     """(how many sequences, lengths in each) that use up the histogram.
 
     The grid is for the fit alone: a pattern takes real lengths of its cells
-    that fill a sequence to the last token.  ``share`` of the fitted repeats
-    are taken, so that pieces of all lengths are left to fill what remains.
+    that fill a sequence to the last token.  Of the fitted repeats each share
+    of ``shares`` is tried, so that pieces of all lengths are left to fill
+    what remains, and the plan of fewest sequences is taken: with the share 0
+    among them, never more than best fit alone needs.
     """
     left = {n: c for n, c in histogram.items() if c > 0}
     width = max(1, -(-capacity // cells))
@@ -122,30 +133,39 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, cells: int = 64, s
     members: dict[int, list[int]] = defaultdict(list)
     for n in sorted(left):
         members[of(n)].append(n)
+    if not members:
+        return []
+    occupied = np.array(sorted(members))
+    patterns = _patterns(occupied, of(capacity))
+    row = {int(c): i for i, c in enumerate(occupied)}
+    matrix = np.zeros((len(occupied), len(patterns)))
+    for k, pattern in enumerate(patterns):
+        for c in pattern:
+            matrix[row[c], k] += 1
+    goal = np.array([sum(left[n] for n in members[c]) for c in occupied], float)
+    # short pieces can fill what patterns leave, so long ones weigh more
+    weight = np.sqrt((occupied + 1) / (occupied.max() + 1))[:, None]
+    repeats = nonnegative_least_squares(matrix * weight, goal * weight[:, 0], 3 * len(occupied))
+    fitted = [(patterns[k], float(repeats[k])) for k in np.flatnonzero(repeats >= 1)]
+    fitted.sort(key=lambda x: (-x[0][0], x[0]))
+    plans = (_packed(fitted, share, members, dict(left), capacity) for share in shares)
+    return min(plans, key=lambda bins: sum(count for count, _ in bins))
+
+
+def _packed(fitted, share: float, members, left: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
+    """A share of the fitted repeats, and best fit for what is left."""
     bins: list[tuple[int, tuple[int, ...]]] = []
-    if members:
-        occupied = np.array(sorted(members))
-        patterns = _patterns(occupied, of(capacity))
-        row = {int(c): i for i, c in enumerate(occupied)}
-        matrix = np.zeros((len(occupied), len(patterns)))
-        for k, pattern in enumerate(patterns):
-            for c in pattern:
-                matrix[row[c], k] += 1
-        goal = np.array([sum(left[n] for n in members[c]) for c in occupied], float)
-        # short pieces can fill what patterns leave, so long ones weigh more
-        weight = np.sqrt((occupied + 1) / (occupied.max() + 1))[:, None]
-        repeats = nonnegative_least_squares(matrix * weight, goal * weight[:, 0], 3 * len(occupied))
-        for k in sorted(np.flatnonzero(repeats >= 1), key=lambda k: (-patterns[k][0], patterns[k])):
-            times = int(repeats[k] * share)
-            while times > 0:
-                chosen = _real_lengths(patterns[k], members, left, capacity)
-                if not chosen:
-                    break
-                run = min([times, *(left[n] // chosen.count(n) for n in chosen)])
-                for n in chosen:
-                    left[n] -= run
-                bins.append((run, chosen))
-                times -= run
+    for pattern, repeats in fitted:
+        times = int(repeats * share)
+        while times > 0:
+            chosen = _real_lengths(pattern, members, left, capacity)
+            if not chosen:
+                break
+            run = min([times, *(left[n] // chosen.count(n) for n in chosen)])
+            for n in chosen:
+                left[n] -= run
+            bins.append((run, chosen))
+            times -= run
     return _best_fit(bins, left, capacity)
 
 
