@@ -14,6 +14,7 @@ known words are streamed; these are found for a whole text at once.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 
 import numpy as np
@@ -48,6 +49,17 @@ TEMPLATES = (
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this work"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("isc", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("epl", "the accompanying program is provided under the terms of this eclipse public license"),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0"),
+    ("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"),
+    ("gpl", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose see the gnu general public license for more details"),
     ("proprietary", "all rights reserved no part of this publication may be reproduced or transmitted in any form without permission"),
 )
 
@@ -196,15 +208,17 @@ class Scanner:
                 if 0 <= at - (before + size) <= APART and place >= earlier + size:
                     score = max(score, (best[j][0] + length, best[j][1]))
             best.append(score)
-        spans, taken = [], -1
-        order = sorted(range(len(anchors)), key=lambda i: (-best[i][0], i))
-        used: list[tuple[int, int]] = []
-        for i in order:
+        spans = []
+        used: list[tuple[int, int]] = []  # disjoint, in order
+        for i in sorted(range(len(anchors)), key=lambda i: (-best[i][0], i)):
             covered, first = best[i]
             start, stop = anchors[first][0], anchors[i][0] + anchors[i][2]
-            if covered < COVERED * self.lengths[template] or any(a < stop and start < b for a, b in used):
+            if covered < COVERED * self.lengths[template]:
+                break  # the chains to come cover no more
+            at = bisect_left(used, (start, stop))
+            if (at and used[at - 1][1] > start) or (at < len(used) and used[at][0] < stop):
                 continue
-            used.append((start, stop))
+            used.insert(at, (start, stop))
             spans.append({
                 "label": self.labels[template], "first_word": start, "end_word": stop,
                 "covered": covered / self.lengths[template],

@@ -79,3 +79,14 @@ def test_clean_documents_have_no_label(spark):
 def test_awkward_rows_and_empty_table(spark):
     assert licenses.report(docs(spark)).count() == len(rows())
     assert licenses.report(docs(spark, [])).collect() == []
+
+
+def test_many_notices_in_one_text():
+    from time import perf_counter
+
+    scanner = licenses.Scanner()
+    text = ("This project is licensed under the MIT License. Words between them stand here, and more. " * 100_000).encode()
+    start = perf_counter()
+    base, spans = scanner.scan(scanner.words(text))
+    assert perf_counter() - start < 30
+    assert len(base) == 100_000 and len(spans) >= 100_000 and {s["label"] for s in spans} == {"mit"}
