@@ -9,7 +9,12 @@ Spark ranges every curve by its keys into blocks of equally many vectors (from
 approximate quantiles, one small list a curve).  A query meets the vectors of
 its own block and both neighbours on every curve, is scored exactly against
 them, and the windows' best are merged by query.  A block is dealt into parts
-of bounded size, each a group of rows, so no task holds a whole block.
+of bounded size, and the queries that meet it into columns of bounded size;
+each pair of a part and a column is a group of rows.
+
+Large inner products come from near directions and from long vectors.  So the
+curves order directions (vectors over their lengths), and one order more goes
+by falling length: every query enters it at its start.
 
 The window is a share of all vectors, because the share decides recall where
 the data have little structure.
@@ -17,6 +22,7 @@ the data have little structure.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -33,8 +39,9 @@ from matchday.llm.topk import dimension, floats, second_moments, usable
 @dataclass(frozen=True)
 class Settings:
     """``share`` of all vectors in a window of three blocks, but at least
-    ``least`` vectors; up to that many vectors the search is exact.  ``rows``:
-    vectors of a group."""
+    ``least`` vectors; up to that many vectors the search is exact.  ``rows``
+    and ``queries``: of a group, about.  ``longest``: share of the vectors, the
+    longest ones, that every query meets."""
 
     curves: int = 32
     axes: int = 8
@@ -42,6 +49,8 @@ class Settings:
     share: float = 0.025
     least: int = 1024
     rows: int = 4096
+    queries: int = 2048
+    longest: float = 0.05
     seed: int = 11
 
     def blocks(self, n: int) -> int:
@@ -91,7 +100,7 @@ class Curves:
 
     @staticmethod
     def fit(moments: np.ndarray, settings: Settings) -> Curves:
-        """From the second moments of (vector, 1)."""
+        """From the second moments of (direction, 1)."""
         size, n = len(moments) - 1, moments[-1, -1]
         mean = moments[-1, :-1] / n
         spread = moments[:-1, :-1] / n - np.outer(mean, mean)
@@ -111,15 +120,24 @@ class Curves:
         hash of the id, another on each curve, so that near copies fill as many
         blocks as they need and meet others of them on every curve."""
         out = np.empty((len(self.axes), len(vectors)), np.int64)
+        turned = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         for t, (axes, centre, scale, shift) in enumerate(zip(self.axes, self.centres, self.scales, self.shifts)):
             noise = (ids.astype(np.uint64) ^ np.uint64(t)) * np.uint64(self.factors[t]) >> np.uint64(44)
-            z = np.clip((vectors @ axes - centre) / scale, -30, 30)
+            z = np.clip((turned @ axes - centre) / scale, -30, 30)
             share = 1 / (1 + np.exp(-1.702 * z))  # about the normal distribution function
             cells = np.floor(share * ((1 << self.bits) - 1) + shift).astype(np.uint32)
             out[t] = hilbert_keys(np.minimum(cells, (1 << self.bits) - 1), self.bits) << 20 | noise.astype(np.int64)
         return out
 
 
+def _by_length(vectors: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """A row of keys that fall with the length; equal lengths (up to 32 bits
+    of a double, whose bits are ordered as it is) go by a hash of the id."""
+    bits = np.linalg.norm(vectors, axis=1).view(np.int64) >> 20 << 20
+    noise = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)
+    return -(bits | noise.astype(np.int64))[None, :]
+
+
 def _prepared(vectors: DataFrame, query: Column, identity: str, column: str, size: int) -> DataFrame:
     """vec_id, query, vector: as bytes of its own element type."""
     single = "float" if vectors.schema[column].dataType.elementType.typeName() == "float" else "double"
@@ -159,7 +177,8 @@ def nearest(
     have null or non-finite components take no part, nor do null ids.  Of
     equal vectors, the k + 1 smallest ids are candidates: the others cannot be
     among the k best of any query.  A repeated id counts once, with
-    its first vector.  An empty table gives an empty result.
+    its first vector.  Other columns play no part, whatever their names.  An
+    empty table gives an empty result.
     """
     spark = ship(vectors.sparkSession)
     schema = "query_id long, rank int, vec_id long, score double"
@@ -182,13 +201,17 @@ def nearest(
     blocks = settings.blocks(n)
     parts = -(-n // (blocks * settings.rows))
 
-    one = usable(vectors, column, size).select(F.concat(F.transform(column, lambda x: x.cast("double")), F.array(F.lit(1.0))).alias("v"))
+    own = F.transform(column, lambda x: x.cast("double"))
+    norm = F.sqrt(F.aggregate(own, F.lit(0.0), lambda a, x: a + x * x))
+    one = usable(vectors, column, size).select(own.alias("v"), norm.alias("n")).filter("n > 0")
+    one = one.select(F.concat(F.transform("v", lambda x: x / F.col("n")), F.array(F.lit(1.0))).alias("v"))
     curves = spark.sparkContext.broadcast(Curves.fit(second_moments(one, "v", size + 1), settings))
 
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keys = curves.value.keys(_matrix(batch.column("vector"), size), batch.column("vec_id").to_numpy())
+                x, ids = _matrix(batch.column("vector"), size), batch.column("vec_id").to_numpy()
+                keys = np.vstack([curves.value.keys(x, ids), _by_length(x, ids)])
                 of = np.repeat(np.arange(len(keys), dtype=np.int32), keys.shape[1])
                 yield pa.RecordBatch.from_arrays([pa.array(of), pa.array(keys.ravel())], ["curve", "key"])
 
@@ -198,8 +221,11 @@ def nearest(
     )
     found = {r["curve"]: r["bounds"] for r in quantiles.collect()}  # curves x blocks numbers
     bounds = spark.sparkContext.broadcast(
-        np.array([found[t] if blocks > 1 else [] for t in range(settings.curves)], np.int64).reshape(settings.curves, blocks - 1)
+        np.array([found[t] if blocks > 1 else [] for t in range(settings.curves + 1)], np.int64).reshape(settings.curves + 1, blocks - 1)
     )
+    first = min(blocks, max(3, math.ceil(settings.longest * blocks)))  # blocks of the longest vectors
+    columns = max(1, -(-3 * asked.count() // (blocks * settings.queries)))
+    every = max(1, -(-columns * blocks // 3))  # columns where every query comes
 
     def deal(searching: bool):
         """Rows for every group a vector is in: candidates in their own block,
@@ -210,18 +236,24 @@ def nearest(
                 for at in range(0, whole.num_rows, 1024):
                     batch = whole.slice(at, 1024)
                     ids = batch.column("vec_id").to_numpy()
-                    keys = curves.value.keys(_matrix(batch.column("vector"), size), ids)
+                    x = _matrix(batch.column("vector"), size)
+                    keys = np.vstack([curves.value.keys(x, ids), _by_length(x, ids)])
                     row = np.arange(len(ids))
+                    dealt = (ids.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)).astype(np.int64)
                     for t, own in enumerate(keys):
+                        last = t == settings.curves
                         block = np.searchsorted(bounds.value[t], own, side="right")
+                        wide = every if last else columns
+                        # a query goes to one column of every part, a vector to one part of every column
                         if searching:
-                            near = np.add.outer(block, [-1, 0, 1])
+                            near = np.add.outer(block * 0, np.arange(first)) if last else np.add.outer(block, [-1, 0, 1])
                             r, c = np.nonzero((near >= 0) & (near < blocks))
                             r, b = np.repeat(r, parts), np.repeat(near[r, c], parts)
-                            part = np.tile(np.arange(parts), len(r) // parts)
+                            part = np.tile(np.arange(parts), len(r) // parts) * wide + dealt[r] % wide
                         else:
-                            r, b = row, block
-                            part = (ids.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(33)).astype(np.int64) % parts
+                            kept = row[block < first] if last else row
+                            r, b = np.repeat(kept, wide), np.repeat(block[kept], wide)
+                            part = dealt[r] % parts * wide + np.tile(np.arange(wide), len(kept))
                         yield pa.RecordBatch.from_arrays(
                             [
                                 pa.array(np.full(len(r), t, np.int32)), pa.array(b.astype(np.int32)), pa.array(part.astype(np.int32)),
@@ -245,7 +277,9 @@ def nearest(
                 score = a[at : at + 1024] @ b.T
                 if len(b) > k + 1:
                     least = np.partition(score, len(b) - k - 1, axis=1)[:, -k - 1 :].min(1)
-                    q, v = np.nonzero(score >= least[:, None] - 1e-9)
+                    # above the rounding error of sums in another order
+                    margin = 1e-12 * np.linalg.norm(a[at : at + 1024], axis=1) * np.linalg.norm(b, axis=1).max()
+                    q, v = np.nonzero(score >= (least - margin)[:, None])
                 else:
                     q, v = (x.ravel() for x in np.indices(score.shape))
                 # sums in one order for any group: equal pairs get equal scores

@@ -105,6 +105,40 @@ def test_curve_search_recall_in_windows(spark):
     assert all(abs(exact[q, i] - s) < 1e-12 for q, v in found.items() for _, i, s in v if (q, i) in exact)
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.7])
+def test_recall_under_the_registered_settings(spark, tmp_path, spread):
+    """60,000 vectors, of one length and of lognormal lengths."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    r = np.random.default_rng(8)
+    x = r.normal(size=(60_000, 64))
+    x *= np.exp(spread * r.normal(size=(60_000, 1))) / np.linalg.norm(x, axis=1, keepdims=True)
+    x = x.astype(np.float32)
+    ids = np.arange(len(x))
+    pq.write_table(pa.table({"vec_id": ids, "embedding": list(x)}), tmp_path / "x.parquet", row_group_size=8000)
+    table = spark.read.parquet(str(tmp_path / "x.parquet"))
+    found = got(curves.nearest(table, F.col("vec_id") % 250 == 0, 20))
+    hits = 0
+    for q, v in found.items():
+        score = x.astype(float) @ x[q].astype(float)
+        score[q] = -np.inf
+        hits += len({i for _, i, _ in v} & set(np.argsort(-score)[:20].tolist()))
+    print("recall", spread, hits / (20 * len(found)))
+    assert len(found) == 240 and hits >= 0.9 * 20 * len(found)
+
+
+def test_queries_and_candidates_are_dealt_into_groups_of_bounded_size(spark):
+    """Many small columns and parts give the same answers."""
+    rows = vectors()
+    table = spark.createDataFrame(rows, ROWS)
+    small = curves.Settings(rows=16, queries=4)
+    for settings in (small, curves.Settings(rows=16, queries=4, least=64, share=0.5)):
+        found = got(curves.nearest(table, F.col("vec_id") % 5 == 0, 20, settings=settings))
+        whole = curves.Settings(least=settings.least, share=settings.share)
+        assert found == got(curves.nearest(table, F.col("vec_id") % 5 == 0, 20, settings=whole))
+
+
 def test_hilbert_curve_visits_neighbours():
     for axes, bits in ((2, 3), (3, 2), (4, 2)):
         grid = np.stack(np.meshgrid(*[np.arange(1 << bits)] * axes, indexing="ij"), -1).reshape(-1, axes)
