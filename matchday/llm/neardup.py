@@ -11,10 +11,13 @@
    the register comparisons and the known set sizes drops pairs that cannot
    reach the threshold; the rest are confirmed on full sets.
 4. Members of a centre's buckets that are not linked with it may still be
-   linked with each other.  They are compared with all members of the centre,
-   in blocks, on full sets; a block yields links that join what it finds
-   connected, at most one a member.  So the star loses no link, and a group of
-   any size gives a number of rows in proportion.
+   linked with each other.  Two sets that reach the threshold share one of
+   their rarest shingles (the prefix filter: of n shingles in one order, one of
+   the first n - ceil(t n) + 1), so members that share none of theirs with
+   another are done, in time in proportion to their sets.  The others are
+   compared with each other, in blocks bounded by rows and by
+   shingles, on full sets; a block yields links that join what it finds
+   connected, at most one a member.  So the star loses no link.
 5. Links become components.
 
 All of it stays in Spark tables: no pair, link or component reaches the driver.
@@ -44,7 +47,8 @@ class Settings:
     With 40 bands of 5 registers, a pair at 80 percent misses every band once
     in ten million.  ``slack`` is the likelihood ratio (twice the difference
     of log likelihoods) up to which a lower estimate is still confirmed:
-    20 is 4.5 standard deviations.
+    20 is 4.5 standard deviations.  ``block`` and ``shingles``: members of a
+    block, and shingles of them, about.
     """
 
     width: int = 5
@@ -55,6 +59,7 @@ class Settings:
     rate: float = 20.0
     slack: float = 20.0
     block: int = 1024
+    shingles: int = 1 << 20
     seed: int = 17
 
     @property
@@ -212,6 +217,31 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
     return both.mapInArrow(run, "u binary, v binary, wide boolean, likely boolean")
 
 
+def _rivals(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """The members (node, centre, linked) that may be linked with another of
+    their centre, one of the two not ``linked`` with it; with ``n``, the size
+    of their sets.
+
+    In each centre, shingles are ordered by how many members have them, after
+    those that no such pair shares.  Of n shingles that must share
+    ceil(t n), all but the last ceil(t n) - 1 are looked at.
+    """
+    each = members.join(sets, "node").select(
+        "centre", "node", "linked", F.size("hashes").alias("n"), F.explode("hashes").alias("h")
+    )
+    held = [F.count(F.lit(1)).alias("df"), F.min("linked").alias("closed")]
+    common = each.groupBy("centre", "h").agg(*held).filter("df > 1 and not closed").select("centre", "h", "df")
+    own = each.join(common, ["centre", "h"]).groupBy("centre", "node").agg(
+        F.first("linked").alias("linked"), F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared")
+    )
+    must = F.ceil(F.col("n") * settings.percent / 100).cast("int")
+    first = F.greatest(F.size("shared") - must + 1, F.lit(0))
+    looked = own.select("centre", "node", "linked", "n", F.explode(F.slice("shared", F.lit(1), first)).alias("s"))
+    looked = looked.select("centre", "node", "linked", "n", F.col("s.h").alias("h"))
+    met = looked.groupBy("centre", "h").agg(*held).filter("df > 1 and not closed").select("centre", "h")
+    return looked.join(met, ["centre", "h"]).select("node", "centre", "linked", "n").distinct()
+
+
 def _links_within(groups: DataFrame, settings: Settings) -> DataFrame:
     """Links (u, v) that connect what is linked within a group.
 
@@ -316,7 +346,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     component, null for an empty set), text_key (64-bit hash of the text).
 
     Null, empty and blank texts have an empty set and are linked with nothing.
-    Repeated rows are linked like any equal texts and all returned.  A null
+    A very long text is one set of hashes (8 bytes a distinct shingle).  Other
+    columns, whatever their names, play no part.  Repeated rows are linked like any equal texts and all returned.  A null
     doc_id is linked by its text and never the smallest unless alone.
     """
     sketched = written(sketch(docs, settings), "sketches")
@@ -350,12 +381,15 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         F.col("u").alias("node"), F.col("v").alias("centre"), F.coalesce("linked", F.lit(False)).alias("linked")
     )
     wide = written(wide, "wide")
-    opened = wide.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.min("linked").alias("closed"))
-    opened = opened.filter("size > 1 and not closed").select("centre", "size")
-    blocks = F.ceil((F.col("size") + 1) / settings.block).cast("int")
-    own = opened.select(F.col("centre").alias("node"), "centre", F.lit(True).alias("linked"), "size")
+    opened = wide.groupBy("centre").agg(F.min("linked").alias("closed")).filter("not closed").select("centre")
+    members = wide.join(opened, "centre").select("node", "centre", "linked").union(
+        opened.select(F.col("centre").alias("node"), "centre", F.lit(True).alias("linked"))
+    )
+    rivals = written(_rivals(members, sets, settings), "rivals")
+    opened = rivals.groupBy("centre").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("all"))
+    blocks = F.greatest(F.ceil(F.col("size") / settings.block), F.ceil(F.col("all") / settings.shingles)).cast("int")
     dealt = (
-        wide.join(opened, "centre").select("node", "centre", "linked", "size").union(own)
+        rivals.join(opened, "centre")
         .withColumn("block", F.pmod(F.xxhash64("node", "centre"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("node", "centre", "linked", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))

@@ -137,3 +137,45 @@ def test_first_of_each_keeps_columns_by_value(spark):
 def test_first_of_each_tells_a_null_id_from_0(spark):
     items = [(None, "some words that stand here", "en", "s", 1), (0, "other words that are not like them", "en", "s", 2)]
     assert neardup.first_of_each(docs(spark, items)).count() == 2
+
+
+def shared_words(n, seed=3, share=2 / 3, words=60):
+    """Texts of which a share is the same in all and the rest their own."""
+    r = random.Random(seed)
+    same = [f"same{i}" for i in range(round(words * share))]
+    return [(i, " ".join(same + [f"own{i}x{j}x{r.random()}" for j in range(words - len(same))]), "en", "s", 1) for i in range(n)]
+
+
+def test_members_that_share_no_rare_shingle_are_not_compared(spark):
+    items = shared_words(300)
+    near = items[17][1].split()
+    items += [(1000, " ".join(near[:-1] + ["else"]), "en", "s", 1)]  # linked with one of them, not with their centre
+    table = docs(spark, items)
+    settings = Settings(width=1, bands=40, rows=2)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(table, settings).collect()}
+    assert got == {**{i: i for i in range(300)}, 1000: 17}
+    nodes = spark.createDataFrame(
+        [(bytes([i]), b"c", i == 0, list(range(40)) + [1000 * i + j for j in range(20)]) for i in range(100)],
+        "node binary, centre binary, linked boolean, hashes array<long>",
+    )
+    assert neardup._rivals(nodes.drop("hashes"), nodes.select("node", "hashes"), Settings()).count() == 0
+
+
+def test_rivals_hold_every_pair_that_reaches_the_threshold(spark):
+    r = random.Random(6)
+    base = [r.sample(range(400), 60) for _ in range(12)]
+    sets = []
+    for i in range(150):
+        own = set(r.choice(base))
+        for _ in range(r.randint(0, 9)):
+            own.discard(r.choice(sorted(own)))
+            own.add(r.randrange(400))
+        sets.append((bytes([i]), b"c", i % 5 == 0, sorted(own)))
+    df = spark.createDataFrame(sets, "node binary, centre binary, linked boolean, hashes array<long>")
+    kept = {bytes(x["node"]) for x in neardup._rivals(df.drop("hashes"), df.select("node", "hashes"), Settings()).collect()}
+    want = set()
+    for i, (a, _, la, x) in enumerate(sets):
+        for b, _, lb, y in sets[:i]:
+            if not (la and lb) and 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y}):
+                want |= {a, b}
+    assert want and want <= kept
