@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 from dataclasses import dataclass
 from functools import reduce
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from matchday.functions.columns import cyclic_within, half_up_ratio
 from matchday.operators.classify import LABEL_INDEX, bayes, fit_label_indexes, split_rows
-from matchday.operators.forest import Settings, apply_forest, fit_forest, row_key, spread
+from matchday.operators.forest import Settings, apply_forest, binned, grow, row_key, spread
 from matchday.schemas import MEASUREMENT_FEATURES
 
 # English day names, Monday first, for calendar-order distances.
@@ -225,9 +226,8 @@ def experiment_report(
 
     The runs are a short driver-side list.  Each is fitted by distributed
     jobs, up to ``parallelism`` at the same time from a thread pool, as
-    ``CrossValidator(parallelism=...)`` does; each forest being fitted keeps
-    the bins of its train part in memory or on local disk, so that many train
-    parts must fit there.  All models then score the test part in one scan,
+    ``CrossValidator(parallelism=...)`` does; all forests share the cached bins
+    and bags of the train part.  All models then score the test part in one scan,
     each into its own columns; one aggregation gives every metric of every
     run, and its row is turned into one row per run.
     """
@@ -244,16 +244,19 @@ def experiment_report(
     index = fit_label_indexes(data, labels)
     classes = dict(zip(labels, map(len, index.labelsArray)))
     train, test = (index.transform(part) for part in split_rows(data, **split))
+    forests = [r for r in runs if r.classifier == "random_forest"]
+    grown_on = list(dict.fromkeys(c for r in forests for c in r.features))
+    bins = binned(train, grown_on, [f"{LABEL_INDEX}_{x}" for x in labels], Settings(seed=seed), row_key(data))
 
     def fitted(position: int, run: Run) -> Callable[[DataFrame], DataFrame]:
         suffix, label = f"_{position}", f"{LABEL_INDEX}_{run.label}"
         if run.classifier == "random_forest":
-            model = fit_forest(train, run.features, label, classes[run.label], Settings(seed=seed), row_key(data))
-            return lambda rows: apply_forest(rows, model, suffix)
+            model = grow(rows, run.features, label, classes[run.label])
+            return lambda scored: apply_forest(scored, model, suffix)
         assembler = VectorAssembler(inputCols=list(run.features), outputCol=f"features{suffix}")
         return Pipeline(stages=[assembler, bayes(suffix=suffix).setLabelCol(label)]).fit(train).transform
 
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool, bins if forests else nullcontext() as rows:
         models = list(pool.map(lambda item: fitted(*item), enumerate(runs)))
 
     test = spread(test)

@@ -117,7 +117,7 @@ def test_forest_equals_plain_python(spark, settings):
 
 def test_bags_are_poisson(spark):
     df = spark.range(40_000).select(F.col("id").cast("string").alias("k"))
-    weights = df.select(F.posexplode(forest.bag_weights(F.col("k"), Settings(trees=9))).alias("t", "w"))
+    weights = forest.with_bags(df, F.col("k"), Settings(trees=9), "b").select(F.posexplode("b").alias("t", "w"))
     by_tree = weights.groupBy("t").agg(F.avg("w").alias("m"), F.variance("w").alias("v"), F.avg((F.col("w") == 0).cast("int")).alias("z"))
     for r in by_tree.collect():
         assert abs(r["m"] - 1) < 0.03 and abs(r["v"] - 1) < 0.05 and abs(r["z"] - math.exp(-1)) < 0.02
