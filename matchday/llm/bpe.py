@@ -31,7 +31,7 @@ _PIECE = re.compile(
 _UNSURE = re.compile("[^ -~\t\n\r¡-¬®-ɏ‐-‧]")
 #: Pieces that a worker remembers, about 170 bytes each; it starts anew beyond.
 #: Code points of the longest one that it remembers.
-REMEMBERED, LONGEST = 1_000_000, 256
+REMEMBERED, LONGEST = 400_000, 256
 
 
 @cache
