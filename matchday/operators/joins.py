@@ -67,7 +67,7 @@ def _cell(at: Column, width: Column) -> Column:
 
 def interval_join(
     points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, cell: int = 3600, on: Sequence[str] = (),
-    share: float = HOT_SHARE, salts: int | None = None, spread: Sequence[str] | None = None,
+    share: float = HOT_SHARE, salts: int | None = None, spread: Sequence[str] | None = None, merged: Sequence[Column] = (),
 ) -> DataFrame:
     """Every point with every interval, closed at both ends, that holds it.
 
@@ -82,7 +82,13 @@ def interval_join(
     do intervals that end before they start.  Output: the columns of
     ``points``, then those of ``intervals`` but for ``on``; other names that
     both have are an error of the caller, as in any join.
+
+    The pairs grow with points times intervals.  Where they are only to be
+    aggregated, ``merged`` (named aggregates over the points) keeps them from
+    being made: see ``_merged_join``.
     """
+    if merged:
+        return _merged_join(points, intervals, at, start, end, on, share, salts, spread, merged)
     level, number = free_names(points, *free_names(intervals, "_level", "_cell"))
     length = F.col(end) - F.col(start)
     over = int_div(length, F.lit(cell))
@@ -102,3 +108,61 @@ def interval_join(
     placed = placed.withColumn(number, _cell(F.col(at), width(level)))
     joined = skew_join(placed, covered, [*on, level, number], "inner", share, salts, [*spread, level] if spread else None)
     return joined.filter(F.col(at).between(F.col(start), F.col(end))).drop(level, number)
+
+
+#: Bits of a child's number in its parent's cell: a parent has 16 children.
+FAN_BITS = 4
+
+
+def _merged_join(
+    points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, on: Sequence[str], share: float, salts: int | None,
+    spread: Sequence[str] | None, merged: Sequence[Column],
+) -> DataFrame:
+    """Every interval with the aggregates of cells that together hold each of
+    its points once.
+
+    Cells are 1 unit wide, and 16 times as wide at each level above.  Points
+    are aggregated by cell, once a level.  An interval is cut into the largest
+    cells that lie whole in it: at each level at most two runs of children,
+    each of one parent, which is what both sides meet on.  So an interval gives
+    a few rows that depend on its length alone, and a parent gives 16 at most,
+    however many points it has.
+
+    Output: ``on``, the names of ``merged``, then the columns of ``intervals``
+    but for ``on``.  Aggregates of the output that merge those of cells (sums
+    of counts and sums, greatest and least values) are those of the pairs.
+    """
+    level, parent, child, first, last, runs = free_names(
+        points, *free_names(intervals, "_level", "_parent", "_child", "_first", "_last", "_runs")
+    )
+    on, names = list(on), intervals.columns
+    held = intervals.filter(F.col(end) >= F.col(start))
+    longest = held.agg(F.max(F.col(end).cast("long") - F.col(start).cast("long"))).first()[0]
+    levels = max(((longest or 0) + 1).bit_length() - 1, 0) // FAN_BITS + 1
+
+    def shifted(x: Column, to: Column) -> Column:
+        return F.call_function("shiftright", x, (to * FAN_BITS).cast("int"))  # rounds down, also below 0
+
+    # whole cells of a level: from first to before last
+    length = F.col(end).cast("long") - F.col(start).cast("long") + 1
+    own = F.floor((F.length(F.bin(length)) - 1) / FAN_BITS).cast("int")
+    each = held.withColumn(level, F.explode(F.sequence(F.lit(0), own)))
+    up = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col(level) * FAN_BITS).cast("int")) - 1
+    each = each.withColumns({
+        first: shifted(F.col(start).cast("long") + up, F.col(level)), last: shifted(F.col(end).cast("long") + 1, F.col(level))
+    }).filter(F.col(first) < F.col(last))
+    # those of them that no whole cell of the next level holds
+    one, fan = F.lit(1), 1 << FAN_BITS
+    above, below = shifted(F.col(first) + (fan - 1), one), shifted(F.col(last), one)
+    run = lambda p, a, b: F.struct(p.alias(parent), a.alias(first), b.alias(last))
+    two = F.array(run(above - 1, F.col(first), above * fan), run(below, below * fan, F.col(last)))
+    cut = F.when(above <= below, two).otherwise(F.array(run(below, F.col(first), F.col(last))))
+    parts = each.select(*names, level, cut.alias(runs)).select(*names, level, F.inline(runs)).filter(F.col(first) < F.col(last))
+
+    placed = points.filter(F.col(at).isNotNull()).withColumn(level, F.explode(F.sequence(F.lit(0), F.lit(levels - 1))))
+    placed = placed.withColumn(child, shifted(F.col(at).cast("long"), F.col(level)))
+    cells = placed.groupBy(*on, level, child).agg(*merged).withColumn(parent, shifted(F.col(child), one))
+    made = [c for c in cells.columns if c not in (*on, level, child, parent)]
+    joined = skew_join(parts, cells, [*on, level, parent], "inner", share, salts, spread)
+    inside = (F.col(child) >= F.col(first)) & (F.col(child) < F.col(last))
+    return joined.filter(inside).select(*on, *made, *(c for c in names if c not in on))

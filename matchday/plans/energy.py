@@ -60,9 +60,12 @@ def period_measurements(spark: SparkSession, base: str) -> DataFrame:
     """Cleaned measurements of every period, however periods overlap: how many,
     the power that tenants took, and the highest price."""
     points = clean_measurements(spark, base).select("time", "power_tenants", "electricity_price")
-    held = op.interval_join(points, periods_view(spark, base), "time", "period_start", "period_end")
-    return held.groupBy("period_id", "period_start", "period_end").agg(
+    merged = [
         F.count(F.lit(1)).alias("n"), F.sum(F.col("power_tenants").cast("long")).alias("power"), F.max("electricity_price").alias("top_price")
+    ]
+    held = op.interval_join(points, periods_view(spark, base), "time", "period_start", "period_end", merged=merged)
+    return held.groupBy("period_id", "period_start", "period_end").agg(
+        F.sum("n").alias("n"), F.sum("power").alias("power"), F.max("top_price").alias("top_price")
     )
 
 

@@ -63,6 +63,55 @@ def test_interval_join_equals_brute_force(spark, cell):
     assert op.interval_join(p.limit(0), v, "t", "s", "e", cell).collect() == []
 
 
+@pytest.mark.parametrize("spans", [(0, 1, 14, 15, 16, 17, 31, 63), (0, 127, 255, 256, 4095, 4096, 4097, 9000)])
+def test_merged_interval_join_equals_brute_force(spark, spans):
+    """Aggregates of whole cells, with nulls, repeated rows and times below 0."""
+    r = random.Random(len(spans) + spans[-1])
+    points = [(r.choice("ab"), r.choice([r.randint(-9000, 9000), 77, None]), i) for i in range(900)]
+    intervals = [(r.choice("ab"), s, s + r.choice(spans), i) for i, s in enumerate(r.choices(range(-9000, 9000), k=150))]
+    intervals += [("a", 64, 127, 500), ("b", -64, -1, 501), ("a", 5, 4, 900), ("a", None, 4, 901), ("a", 4, None, 902), ("c", 0, 9, 903)]
+    p, v = spark.createDataFrame(points, "k string, t long, p long"), spark.createDataFrame(intervals, "k string, s int, e int, v long")
+    merged = [F.count(F.lit(1)).alias("n"), F.sum("p").alias("p"), F.max("p").alias("m")]
+    for on in ([], ["k"]):
+        want = {}
+        for k, s, e, w in intervals:
+            found = [q for j, t, q in points if None not in (t, s, e) and s <= t <= e and (not on or j == k)]
+            if found:
+                want[w] = (2 * len(found), 2 * sum(found), max(found))
+        held = op.interval_join(p if on else p.drop("k"), v.union(v), "t", "s", "e", on=on, merged=merged, share=0.2, salts=4)
+        got = held.groupBy("v").agg(F.sum("n"), F.sum("p"), F.max("m")).collect()
+        assert {x[0]: tuple(x)[1:] for x in got} == want
+    assert op.interval_join(p.limit(0), v, "t", "s", "e", on=["k"], merged=merged).collect() == []
+    assert op.interval_join(p, v.limit(0), "t", "s", "e", on=["k"], merged=merged).collect() == []
+
+
+def test_merged_interval_join_makes_few_rows_of_many_points(spark):
+    """At most two runs of 15 cells a level, however many points there are."""
+    merged = [F.count(F.lit(1)).alias("n")]
+    v = spark.createDataFrame([(7 * i, 7 * i + 4999, i) for i in range(50)], "s long, e long, v long")
+    for copies in (1, 8):
+        p = spark.range(6000 * copies).select(F.expr(f"id div {copies}").alias("t"))
+        held = op.interval_join(p, v, "t", "s", "e", merged=merged)
+        rows, pairs = held.agg(F.count(F.lit(1)), F.sum("n")).first()
+        assert pairs == 50 * 5000 * copies and rows <= 50 * 2 * 15 * 4
+
+
+def test_period_measurements_do_not_make_every_pair(spark, tmp_path):
+    from matchday.plans import energy
+    from matchday.sources.tables import read_table
+
+    again, seen, join = spark.range(16).withColumnRenamed("id", "i"), [], op.interval_join
+    for name, keys in (("lineitem", ("l_orderkey", "l_partkey")), ("orders", ("o_orderkey",))):
+        table = read_table(spark, "/root/testdata/sf0.001", name)
+        ends = table.agg(*(F.max(k).alias(k) for k in keys)).first()
+        moved = table.crossJoin(again).withColumns({k: F.col(k) + F.col("i") * (ends[k] + 1) for k in keys}).drop("i")
+        moved.write.parquet(f"{tmp_path}/{name}.parquet")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(energy.op, "interval_join", lambda *a, **k: seen.append(join(*a, **k)) or seen[0])
+        pairs = energy.period_measurements(spark, str(tmp_path)).agg(F.sum("n")).first()[0]
+    assert seen[0].count() < pairs / 2
+
+
 def test_interval_join_with_an_equality_too(spark):
     p = spark.createDataFrame([("a", 5), ("b", 5)], "k string, t long")
     v = spark.createDataFrame([("a", 0, 9), ("c", 0, 9)], "k string, s long, e long")
