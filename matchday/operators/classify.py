@@ -134,9 +134,9 @@ def bayes(smoothing: float = 1.0, suffix: str = "") -> NaiveBayes:
 
 def _outputs(suffix: str) -> dict[str, str]:
     return {
-        "predictionCol": "prediction" + suffix,
-        "probabilityCol": "probability" + suffix,
         "rawPredictionCol": "rawPrediction" + suffix,
+        "probabilityCol": "probability" + suffix,
+        "predictionCol": "prediction" + suffix,
     }
 
 
@@ -156,8 +156,9 @@ def random_forest_job(
     train, test = split_rows(data, **split)
     settings = settings or Settings(trees=num_trees, seed=seed)
     model = fit_forest(index.transform(train), features, LABEL_INDEX, len(index.labels), settings, row_key(data))
-    assembled = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(index.transform(spread(test)))
-    return apply_forest(assembled, model)
+    given = index.transform(spread(test))
+    scored = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(apply_forest(given, model))
+    return scored.select(*given.columns, FEATURES, *_outputs("").values())
 
 
 def naive_bayes_job(

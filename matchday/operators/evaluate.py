@@ -6,13 +6,13 @@ predictions (one job), not one action per metric.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import nullcontext
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from matchday.functions.columns import cyclic_within, half_up_ratio
 from matchday.operators.classify import LABEL_INDEX, bayes, fit_label_indexes, split_rows
-from matchday.operators.forest import Settings, apply_forest, binned, grow, row_key, spread
+from matchday.operators.forest import Forest, Settings, binned, grow, judge_forests, row_key, spread
 from matchday.schemas import MEASUREMENT_FEATURES
 
 # English day names, Monday first, for calendar-order distances.
@@ -83,7 +83,7 @@ def evaluate_predictions(
     Output (one row): n_test bigint, correct, within_one, within_two, avg_prob.
     """
     label, prediction = _compared(preds, order, label_col, prediction_col)
-    counts, metrics = _metrics(label, prediction, F.col(label_col), F.col(probability_col), cycle)
+    counts, metrics = _metrics(label, prediction, _true_probability(F.col(label_col), F.col(probability_col)), cycle)
     return preds.agg(F.count(F.lit(1)).alias("n_test"), *counts).select("n_test", *metrics)
 
 
@@ -101,7 +101,7 @@ def evaluate_tables(preds: DataFrame, cycles: dict[str, int], orders: Sequence[s
         at = f"{LABEL_INDEX}_{name}"
         for order in orders:
             label, prediction = _compared(preds, order, at, f"prediction_{name}")
-            counts, metrics = _metrics(label, prediction, F.col(at), F.col(f"probability_{name}"), cycle, f"_{name}_{order}")
+            counts, metrics = _metrics(label, prediction, _true_probability(F.col(at), F.col(f"probability_{name}")), cycle, f"_{name}_{order}")
             aggregates += counts
             named = [F.lit(name).alias("label"), F.lit(order).alias("distance"), F.lit(cycle).alias("cycle"), F.col("n_test")]
             rows.append(F.struct(*named, *metrics))
@@ -129,12 +129,14 @@ def exact_sum(probability: Column) -> Column:
     return F.sum(probability.cast("decimal(19,18)"))
 
 
-def _metrics(
-    label: Column, prediction: Column, index: Column, probability: Column, cycle: int, suffix: str = ""
-) -> tuple[list[Column], list[Column]]:
+def _true_probability(index: Column, probability: Column) -> Column:
+    """The probability given to the class with a row's label index, or 0."""
+    return F.coalesce(F.get(vector_to_array(probability), index.cast("int")), F.lit(0.0))
+
+
+def _metrics(label: Column, prediction: Column, true_prob: Column, cycle: int, suffix: str = "") -> tuple[list[Column], list[Column]]:
     """The aggregates over prediction rows, and the four metrics from them and
     ``n_test``."""
-    true_prob = F.coalesce(F.get(vector_to_array(probability), index.cast("int")), F.lit(0.0))
     correct, one, two, prob = (f"_{x}{suffix}" for x in ("correct", "one", "two", "prob"))
     counts = [
         F.count_if(label == prediction).alias(correct),
@@ -248,27 +250,31 @@ def experiment_report(
     grown_on = list(dict.fromkeys(c for r in forests for c in r.features))
     bins = binned(train, grown_on, [f"{LABEL_INDEX}_{x}" for x in labels], Settings(seed=seed), row_key(data))
 
-    def fitted(position: int, run: Run) -> Callable[[DataFrame], DataFrame]:
+    def fitted(position: int, run: Run) -> Forest | PipelineModel:
         suffix, label = f"_{position}", f"{LABEL_INDEX}_{run.label}"
         if run.classifier == "random_forest":
-            model = grow(rows, run.features, label, classes[run.label])
-            return lambda scored: apply_forest(scored, model, suffix)
+            return grow(rows, run.features, label, classes[run.label])
         assembler = VectorAssembler(inputCols=list(run.features), outputCol=f"features{suffix}")
-        return Pipeline(stages=[assembler, bayes(suffix=suffix).setLabelCol(label)]).fit(train).transform
+        return Pipeline(stages=[assembler, bayes(suffix=suffix).setLabelCol(label)]).fit(train)
 
     with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(runs)))) as pool, bins if forests else nullcontext() as rows:
         models = list(pool.map(lambda item: fitted(*item), enumerate(runs)))
 
-    test = spread(test)
+    scored_on = dict.fromkeys(c for r in runs for c in (*r.features, f"{LABEL_INDEX}_{r.label}"))
+    test = judge_forests(spread(test.select(*scored_on)), {
+        f"_{i}": (m, f"{LABEL_INDEX}_{r.label}") for i, (m, r) in enumerate(zip(models, runs)) if isinstance(m, Forest)
+    })
     for model in models:
-        test = model(test)
+        test = test if isinstance(model, Forest) else model.transform(test)
     aggregates, rows = [], []
     for distance in orders:
         for position, run in enumerate(runs):
             suffix, at = f"_{position}", f"{LABEL_INDEX}_{run.label}"
             label, prediction = _compared(test, distance, at, f"prediction{suffix}")
             cycle = parity_cycle(run.label) if distance == "frequency" else calendar_cycle(run.label)
-            counts, metrics = _metrics(label, prediction, F.col(at), F.col(f"probability{suffix}"), cycle, f"{suffix}_{distance}")
+            judged = isinstance(models[position], Forest)
+            prob = F.col(f"true_prob{suffix}") if judged else _true_probability(F.col(at), F.col(f"probability{suffix}"))
+            counts, metrics = _metrics(label, prediction, prob, cycle, f"{suffix}_{distance}")
             aggregates += counts
             named = [
                 F.lit(CLASSIFIER_NAMES[run.classifier]).alias("classifier"),

@@ -144,3 +144,49 @@ def test_weights_of_squares_beyond_longs(spark):
         "tree int, node int, feature int, bin int, label int, w long",
     )
     assert [tuple(r) for r in forest.best_cuts(sums).collect()] == [(0, 1, 0, 1)]
+
+
+def test_rows_alike_in_bins_and_label_are_added_up(spark, monkeypatch):
+    """Levels pass over combinations of bins and label, not over all rows, and
+    the forest is the one of the rows themselves."""
+    data = frame(spark, rows_of(400, 3) * 20 + [(1, 2.0, 3.0, 0.5, None)]).repartition(5)
+    settings = Settings(trees=17, depth=3, bins=4)
+    with forest.binned(data, ["a", "b", "c"], ["label"], settings, F.col("id").cast("string")) as binned:
+        with forest._gathered(binned, [0, 2], "label", 3) as counted:
+            assert counted.rows.count() <= 4 * 4 * 3
+        added = forest.grow(binned, ["a", "c"], "label", 3)
+        monkeypatch.setattr(forest, "GATHERED", 0)
+        with forest._gathered(binned, [0, 2], "label", 3) as counted:
+            assert counted.rows.count() == 400 * 20
+        monkeypatch.setattr(forest, "COUNTED", 100)
+        assert forest.grow(binned, ["a", "c"], "label", 3) == added
+        assert forest.grow(binned, ["a", "b", "c"], "label", 3).cuts[0]
+
+
+def test_judged_rows_equal_scored_ones(spark):
+    """Odd values as in SQL; labels without a class have no probability; other
+    columns, with what is known of them, stay as they are."""
+    odd = [None, float("nan"), float("inf"), float("-inf"), -1e300, 1e300, 17.0]
+    model = forest.fit_forest(frame(spark, rows_of(300, 4)), ["a", "b", "c"], "label", 3, Settings(trees=3))
+    rows = [(i, x, 2.0, y, t) for i, (x, y, t) in enumerate((x, y, t) for x in odd for y in odd for t in (0.0, 2.0, 3.0, None))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, t double")
+    df = df.withColumn("t", F.col("t").alias("t", metadata={"known": 1}))
+    cells = df.select("id", *(forest._cell(f, lo, hi).alias(f) for f, lo, hi in zip("abc", model.lows, model.highs)))
+    cells = {r["id"]: [table[r[f]] for f, table in zip("abc", model.bin_of)] for r in cells.collect()}
+    scored = {r["id"]: r for r in forest.apply_forest(df, model, "_x").collect()}
+    judged = forest.judge_forests(df, {"_0": (model, "t"), "_1": (model, "t")})
+    assert judged.schema["t"].metadata == {"known": 1} and judged.columns[:5] == df.columns
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "lambda" not in plan
+    for r in judged.collect():
+        votes = [0] * 3
+        for cuts, leaves in zip(model.cuts, model.votes):
+            node = 1
+            while node in cuts:
+                node = 2 * node + (cells[r["id"]][cuts[node][0]] > cuts[node][1])
+            votes = [a + b for a, b in zip(votes, leaves.get(node, [0] * 3))]
+        own = scored[r["id"]]
+        assert r["prediction_0"] == r["prediction_1"] == own["prediction_x"] == votes.index(max(votes))
+        assert list(own["probability_x"]) == [v / sum(votes) for v in votes]
+        known = r["t"] is not None and r["t"] < 3
+        assert r["true_prob_0"] == r["true_prob_1"] == (own["probability_x"][int(r["t"])] if known else 0.0)
