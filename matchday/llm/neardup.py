@@ -274,12 +274,38 @@ def _links_within(groups: DataFrame, settings: Settings) -> DataFrame:
     return groups.groupBy("centre", "lo", "hi").applyInArrow(compare, "u binary, v binary")
 
 
+#: Bits of the filter of wanted texts (4 MB), in bitmaps of 32,768 bits each.
+FILTER_BITS = 1 << 25
+
+
+def _only_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` (with their hash, ``key``) that may be among ``wanted``
+    (by ``text_key``): all that are, and a few of the others, so that a join to
+    come does not move the texts of all documents.
+
+    A bit set of the hashes, of a fixed size, is made by Spark's bitmap
+    aggregates and broadcast.
+    """
+
+    def place(of: str) -> tuple:
+        at = F.pmod(F.col(of), F.lit(FILTER_BITS)) + 1
+        return F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
+
+    bucket, bit = place("text_key")
+    bitmaps = wanted.groupBy(bucket.alias("_bucket")).agg(F.bitmap_construct_agg(bit).alias("_bitmap"))
+    bucket, bit = place("key")
+    own = texts.withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(bitmaps), "_bucket")
+    held = F.conv(F.hex(F.expr("substring(_bitmap, CAST(_bit div 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1), F.pmod("_bit", F.lit(8)).cast("int"))
+    return own.filter(held.bitwiseAND(mask) != 0).select(*texts.columns)
+
+
 def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """(node, hashes) of the full shingle sets of some classes, from the text
     of the document that stands for the class."""
     wanted = classes.join(nodes, "node").select("first_doc", "text_key", F.col("node").alias("wanted"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("data"))
-    chosen = texts.join(
+    chosen = _only_wanted(texts, wanted).join(
         wanted, (F.col("key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("first_doc"))
     ).select("wanted", "data")
 
@@ -362,9 +388,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         .select("node", F.col("ref.doc_id").alias("first_doc"), "ref.text_key", "n_shingles", "sketch"),
         "classes",
     )
+    # most bands are of one class: only numbers are moved to find the others
     banded = _bands(classes, settings)
+    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    banded = written(banded.join(shared, "band"), "banded")
     centre = F.min(F.struct(F.col("first_doc").isNull().alias("last"), "first_doc", "node"))
-    buckets = banded.groupBy("band").agg(centre.alias("centre"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    buckets = banded.groupBy("band").agg(centre.alias("centre"))
     stars = (
         banded.join(buckets, "band")
         .filter("node <> centre.node")

@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 from llm_samples import clashing, docs, prose, rows
+from pyspark.sql import functions as F
 
 from matchday.llm import neardup
 from matchday.llm.neardup import Settings
@@ -179,3 +180,14 @@ def test_rivals_hold_every_pair_that_reaches_the_threshold(spark):
             if not (la and lb) and 100 * len({*x} & {*y}) >= 80 * len({*x} | {*y}):
                 want |= {a, b}
     assert want and want <= kept
+
+
+def test_only_wanted_texts_are_moved(spark):
+    """The filter before the join keeps every wanted text and few others."""
+    texts = spark.range(-3000, 3000).select("id", F.xxhash64("id").alias("key"), F.col("id").cast("string").alias("data"))
+    wanted = texts.filter("id % 20 = 0").select(F.col("key").alias("text_key"))
+    kept = neardup._only_wanted(texts, wanted)
+    assert kept.columns == texts.columns
+    ids = [r["id"] for r in kept.select("id").collect()]
+    assert set(range(-3000, 3000, 20)) <= set(ids) and len(ids) == len(set(ids)) <= 310
+    assert neardup._only_wanted(texts, wanted.limit(0)).count() == 0
