@@ -6,8 +6,8 @@
    merge, and two registers are equal about as often as the sets are similar.
 2. Documents with equal sets form one class, represented by one row.
 3. Registers are banded.  Classes that share a band are candidates: each
-   member of a bucket with the bucket's earliest document, its centre (a star,
-   so a bucket of any size gives one pair a member).  A joint likelihood of
+   member of a bucket with the class of the bucket's smallest id, its centre (a
+   star, so a bucket of any size gives one pair a member).  A joint likelihood of
    the register comparisons and the known set sizes drops pairs that cannot
    reach the threshold; the rest are confirmed on full sets.
 4. Members of a centre's buckets that are not linked with it may still be
@@ -179,7 +179,7 @@ def sketch(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _bands(classes: DataFrame, settings: Settings) -> DataFrame:
-    """A row (band, node, first_doc) for each band of each class."""
+    """A row (band, id) for each band of each class; ``id``: 64-bit hash of the node."""
 
     def make():
         def compute(part: pa.RecordBatch) -> list:
@@ -195,15 +195,36 @@ def _bands(classes: DataFrame, settings: Settings) -> DataFrame:
         return compute
 
     keyed = map_text(
-        classes.select("node", "first_doc", "sketch"), [field("bands", "array<bigint>")], make, "sketch", drop=["sketch"]
+        classes.select(F.xxhash64("node").alias("id"), "sketch"), [field("bands", "array<bigint>")], make, "sketch", drop=["sketch"]
+    )
+    return keyed.select(F.explode("bands").alias("band"), "id")
+
+
+def _stars(classes: DataFrame, settings: Settings) -> DataFrame:
+    """(u, v, wide): ids of the classes that share a band with its smallest id,
+    v, and whether one of these bands has more classes than the two.
+
+    Rows of a band are moved once, as two numbers, and counted and paired where
+    they meet.
+    """
+    banded = _bands(classes, settings).repartition("band")
+    buckets = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("centre")).filter("size > 1")
+    return (
+        banded.join(buckets, "band")
+        .filter("id <> centre")
+        .groupBy(F.col("id").alias("u"), F.col("centre").alias("v"))
+        .agg(F.max(F.col("size") > 2).alias("wide"))
     )
-    return keyed.select(F.explode("bands").alias("band"), "node", "first_doc")
 
 
 def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFrame:
-    """Append whether the sketches leave a pair (u, v) likely enough."""
-    part = classes.select("node", "n_shingles", "sketch")
-    both = pairs.join(part.toDF("u", "nu", "su"), "u").join(part.toDF("v", "nv", "sv"), "v")
+    """The nodes of pairs of ids (u, v), and whether their sketches leave them
+    likely enough."""
+    part = _only_wanted(
+        classes.select(F.xxhash64("node").alias("key"), "node", "n_shingles", "sketch"),
+        pairs.select(F.explode(F.array("u", "v")).alias("text_key")),
+    )
+    both = pairs.join(part.toDF("u", "node_u", "nu", "su"), "u").join(part.toDF("v", "node_v", "nv", "sv"), "v")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +232,7 @@ def _likely(pairs: DataFrame, classes: DataFrame, settings: Settings) -> DataFra
                 a, b = _as_registers(batch.column("su")), _as_registers(batch.column("sv"))
                 n, m = batch.column("nu").to_numpy(), batch.column("nv").to_numpy()
                 _, lost = similarity((a > b).sum(1), (a < b).sum(1), (a == b).sum(1), n, m, settings.percent)
-                kept = batch.select(["u", "v", "wide"])
+                kept = batch.select(["node_u", "node_v", "wide"]).rename_columns(["u", "v", "wide"])
                 yield kept.append_column("likely", pa.array(lost <= settings.slack))
 
     return both.mapInArrow(run, "u binary, v binary, wide boolean, likely boolean")
@@ -225,21 +246,31 @@ def _rivals(members: DataFrame, sets: DataFrame, settings: Settings) -> DataFram
     In each centre, shingles are ordered by how many members have them, after
     those that no such pair shares.  Of n shingles that must share
     ceil(t n), all but the last ceil(t n) - 1 are looked at.
+
+    A shingle of a member is moved as two numbers: the member's (odd if it is
+    ``linked``) and a hash of centre and shingle.  Hashes that meet by chance
+    only make a shingle more frequent, so no pair is lost.
     """
-    each = members.join(sets, "node").select(
-        "centre", "node", "linked", F.size("hashes").alias("n"), F.explode("hashes").alias("h")
-    )
-    held = [F.count(F.lit(1)).alias("df"), F.min("linked").alias("closed")]
-    common = each.groupBy("centre", "h").agg(*held).filter("df > 1 and not closed").select("centre", "h", "df")
-    own = each.join(common, ["centre", "h"]).groupBy("centre", "node").agg(
-        F.first("linked").alias("linked"), F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared")
-    )
+    members = members.join(sets.select("node", F.size("hashes").alias("n")), "node")
+    number = 2 * F.monotonically_increasing_id() + F.col("linked").cast("long")
+    # said here, as Spark would say it of some readers of ``each`` only, which then had an exchange each
+    members = written(members.withColumn("m", number), "members").filter("m is not null")
+
+    def common(rows: DataFrame) -> DataFrame:
+        held = rows.groupBy("h").agg(F.count(F.lit(1)).alias("df"), F.min(F.col("m") % 2).alias("closed"))
+        return held.filter("df > 1 and closed = 0").select("h", "df")
+
+    each = members.join(_held(sets, members), "node").select("m", "centre", F.explode("hashes").alias("h"))
+    each = each.select("m", F.xxhash64("centre", "h").alias("h")).repartition("h")
+    # moved row by row: lists made before would be of one shingle or two, and longer only where partitions are few
+    own = each.join(common(each), "h").repartition("m")
+    own = own.groupBy("m").agg(F.array_sort(F.collect_list(F.struct("df", "h"))).alias("shared"))
     must = F.ceil(F.col("n") * settings.percent / 100).cast("int")
     first = F.greatest(F.size("shared") - must + 1, F.lit(0))
-    looked = own.select("centre", "node", "linked", "n", F.explode(F.slice("shared", F.lit(1), first)).alias("s"))
-    looked = looked.select("centre", "node", "linked", "n", F.col("s.h").alias("h"))
-    met = looked.groupBy("centre", "h").agg(*held).filter("df > 1 and not closed").select("centre", "h")
-    return looked.join(met, ["centre", "h"]).select("node", "centre", "linked", "n").distinct()
+    looked = own.join(members.select("m", "n"), "m").select("m", F.explode(F.slice("shared", F.lit(1), first)).alias("s"))
+    looked = looked.select("m", F.col("s.h").alias("h")).repartition("h")
+    met = looked.join(common(looked), "h").select("m").distinct()
+    return members.join(met, "m").select("node", "centre", "linked", "n")
 
 
 def _links_within(groups: DataFrame, settings: Settings) -> DataFrame:
@@ -303,11 +334,13 @@ def _only_wanted(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """(node, hashes) of the full shingle sets of some classes, from the text
     of the document that stands for the class."""
-    wanted = classes.join(nodes, "node").select("first_doc", "text_key", F.col("node").alias("wanted"))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("key"), F.col("text").cast("binary").alias("data"))
-    chosen = _only_wanted(texts, wanted).join(
-        wanted, (F.col("key") == F.col("text_key")) & F.col("doc_id").eqNullSafe(F.col("first_doc"))
-    ).select("wanted", "data")
+    # ids and texts that meet by chance are dropped with their sets: those have another node
+    row = F.xxhash64("first_doc", "text_key").alias("text_key")
+    wanted = classes.join(nodes, "node").select(row, F.col("node").alias("wanted"))
+    texts = docs.select(F.xxhash64("doc_id", F.xxhash64("text")).alias("key"), F.col("text").cast("binary").alias("data"))
+    chosen = _only_wanted(texts, wanted).join(wanted, F.col("key") == F.col("text_key"))
+    # repeated rows have met in this join
+    chosen = chosen.select("key", "wanted", "data").distinct().drop("key")
 
     def make():
         words = _WordHashes()
@@ -322,7 +355,13 @@ def _sets(docs: DataFrame, classes: DataFrame, nodes: DataFrame, settings: Setti
         return compute
 
     made = map_text(chosen, [field("node", "binary"), field("hashes", "array<bigint>")], make, "data", drop=["data"])
-    return made.filter("node = wanted").select("node", "hashes").dropDuplicates(["node"])
+    return made.filter("node = wanted").select("node", "hashes")
+
+
+def _held(sets: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The sets that may be of ``nodes``: a join to come does not move the others."""
+    keyed = sets.withColumn("key", F.xxhash64("node"))
+    return _only_wanted(keyed, nodes.select(F.xxhash64("node").alias("text_key"))).drop("key")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -388,18 +427,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         .select("node", F.col("ref.doc_id").alias("first_doc"), "ref.text_key", "n_shingles", "sketch"),
         "classes",
     )
-    # most bands are of one class: only numbers are moved to find the others
-    banded = _bands(classes, settings)
-    shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    banded = written(banded.join(shared, "band"), "banded")
-    centre = F.min(F.struct(F.col("first_doc").isNull().alias("last"), "first_doc", "node"))
-    buckets = banded.groupBy("band").agg(centre.alias("centre"))
-    stars = (
-        banded.join(buckets, "band")
-        .filter("node <> centre.node")
-        .groupBy(F.col("node").alias("u"), F.col("centre.node").alias("v"))
-        .agg(F.max(F.col("size") > 2).alias("wide"))
-    )
+    stars = written(_stars(classes, settings), "stars")
     pairs = written(_likely(stars, classes, settings).filter("likely or wide"), "pairs")
     nodes = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     sets = written(_sets(docs, classes, nodes, settings), "sets")
@@ -422,7 +450,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         .withColumn("block", F.pmod(F.xxhash64("node", "centre"), blocks).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select("node", "centre", "linked", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-        .join(sets, "node")
+        .join(_held(sets, rivals), "node")
     )
     roots = components(links.union(_links_within(dealt, settings)))
 

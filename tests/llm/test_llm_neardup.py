@@ -191,3 +191,76 @@ def test_only_wanted_texts_are_moved(spark):
     ids = [r["id"] for r in kept.select("id").collect()]
     assert set(range(-3000, 3000, 20)) <= set(ids) and len(ids) == len(set(ids)) <= 310
     assert neardup._only_wanted(texts, wanted.limit(0)).count() == 0
+
+
+def moved_rows(df):
+    """Rows written by the exchanges of a query that has run, reused ones once."""
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        plan = todo.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(plan.plan())
+        elif kind != "ReusedExchangeExec":
+            if kind == "ShuffleExchangeExec":
+                total += plan.metrics().apply("shuffleRecordsWritten").value()
+            todo += [plan.children().apply(i) for i in range(plan.children().size())]
+    return total
+
+
+@pytest.fixture
+def without_broadcasts(spark):
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "-1")
+    yield spark
+    for n, value in zip(names, before):
+        spark.conf.set(n, value)
+
+
+def test_rivals_move_a_shingle_twice_whatever_the_partitions(without_broadcasts):
+    """Lists made before an exchange came in as many pieces as there were partitions."""
+    spark = without_broadcasts
+    sets = [(bytes([i]), b"c", i == 0, list(range(40)) + [1000 * (i // 2) + j for j in range(100, 160)]) for i in range(60)]
+    df = neardup.written(spark.createDataFrame(sets, "node binary, centre binary, linked boolean, hashes array<long>"), "given")
+    moved = []
+    for partitions in (2, 32):
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        rivals = neardup._rivals(df.drop("hashes"), df.select("node", "hashes"), Settings())
+        assert len(rivals.collect()) == 60
+        moved.append(moved_rows(rivals))
+    shingles = sum(len(s[3]) for s in sets)
+    assert 2 * shingles <= moved[0] < 3 * shingles and moved[1] < 1.1 * moved[0]
+
+
+def test_rows_of_bands_are_moved_once(without_broadcasts):
+    spark, settings = without_broadcasts, Settings()
+    table = docs(spark, shared_words(60, share=0.9))
+    classes = neardup.written(neardup.sketch(table, settings).select("node", "sketch"), "classes")
+    stars = neardup._stars(classes, settings)
+    found = {(r["u"], r["v"]): r["wide"] for r in stars.collect()}
+    moved = moved_rows(stars)
+    buckets = {}
+    for r in neardup._bands(classes, settings).collect():
+        buckets.setdefault(r["band"], []).append(r["id"])
+    want = {}
+    for ids in buckets.values():
+        for u in ids:
+            if u != min(ids):
+                want[u, min(ids)] = want.get((u, min(ids)), False) or len(ids) > 2
+    assert want and found == want
+    pairs = sum(len(ids) - 1 for ids in buckets.values())
+    assert moved <= 60 * settings.bands + pairs
+
+
+def test_copies_under_other_ids_are_not_moved_for_their_set(without_broadcasts):
+    spark = without_broadcasts
+    items = [(i, "one text that many documents have", "en", "s", 1) for i in range(400)]
+    table = docs(spark, items + items[:1])  # and one row is repeated
+    classes = neardup.sketch(table, Settings()).filter("doc_id = 0").dropDuplicates(["node"])
+    classes = neardup.written(classes.withColumnRenamed("doc_id", "first_doc"), "classes")
+    sets = neardup._sets(table, classes, classes.select("node"), Settings())
+    assert len(sets.collect()) == 1
+    assert moved_rows(sets) < 20
